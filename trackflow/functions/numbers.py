@@ -34,5 +34,12 @@ def int_div(a: Column, b) -> Column:
 
 
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator rounded half up, for non-negative integers, without floats."""
-    return int_div(numerator * 2 + denominator, denominator * 2)
+    """numerator / denominator rounded half away from zero, for integers, without floats."""
+    whole = int_div(F.abs(numerator) * 2 + denominator, denominator * 2)
+    return F.when(numerator < 0, -whole).otherwise(whole)
+
+
+def three_to_two_decimals(value: Column) -> Column:
+    """Round a number that already has at most three decimals to two, half away from zero."""
+    thousandths = F.round(value * 1000).cast("bigint")
+    return half_up_ratio(thousandths, F.lit(10).cast("bigint")) / 100.0

@@ -59,24 +59,29 @@ class Ordered:
         return cls(out.drop("_key", "_lo", "_shift"), [key], order, True)
 
     @classmethod
-    def globally(cls, df: DataFrame, order: str, chunk_bits: int = 20) -> "Ordered":
-        """One sequence over all rows: chunks of 2**chunk_bits order values, never one task."""
-        out = df.withColumn(CHUNK, F.expr(f"shiftright(cast({order} as bigint), {chunk_bits})"))
-        return cls(out, [], order, True)
+    def globally(cls, df: DataFrame, order: str, max_group_rows: int) -> "Ordered":
+        """One sequence over all rows, cut into chunks of the order column when it is long."""
+        n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
+        if n <= max_group_rows:
+            return cls(df.withColumn(CHUNK, F.lit(WHOLE).cast("bigint")), [], order, False)
+        shift = max(0, int(np.log2(max(1.0, (hi - lo + 1) / n * max_group_rows))))
+        chunk = F.expr(f"shiftright(cast({order} as bigint) - {lo}, {shift})")
+        return cls(df.withColumn(CHUNK, chunk), [], order, True)
+
+    def like(self, df: DataFrame) -> "Ordered":
+        """The same key, order and chunks over a DataFrame derived from this one."""
+        return Ordered(df, self.key, self.order, self.cut_keys)
 
     # -- plain DataFrame steps -------------------------------------------------------------
 
-    def _with(self, df: DataFrame) -> "Ordered":
-        return Ordered(df, self.key, self.order, self.cut_keys)
-
     def where(self, condition: Column) -> "Ordered":
-        return self._with(self.df.where(condition))
+        return self.like(self.df.where(condition))
 
     def add(self, **columns: Column) -> "Ordered":
-        return self._with(self.df.withColumns(columns))
+        return self.like(self.df.withColumns(columns))
 
     def drop(self, *names: str) -> "Ordered":
-        return self._with(self.df.drop(*names))
+        return self.like(self.df.drop(*names))
 
     def rows(self) -> DataFrame:
         return self.df.drop(CHUNK)
@@ -102,7 +107,7 @@ class Ordered:
         before = self._window(descending=descending).rowsBetween(Window.unboundedPreceding, -1)
         local = {n: F.last(v, ignorenulls=True).over(before) for n, v in values.items()}
         if not self.cut_keys:
-            return self._with(self.df.withColumns(local))
+            return self.like(self.df.withColumns(local))
         pick = F.min_by if descending else F.max_by
         summary = self._cut_rows(self.df).withColumns({f"_v{n}": v for n, v in values.items()})
         summary = summary.groupBy(*self.key, CHUNK).agg(
@@ -122,7 +127,7 @@ class Ordered:
         )
         out = self._attach(self.df.withColumns(local), carry)
         out = out.withColumns({n: F.coalesce(F.col(n), F.col(f"_c{n}")) for n in values})
-        return self._with(out.drop(*[f"_c{n}" for n in values]))
+        return self.like(out.drop(*[f"_c{n}" for n in values]))
 
     def sum_since(self, reset: Column | None, exact: bool = False, **values: Column) -> "Ordered":
         """Running sums including the row, starting anew after each row where ``reset`` holds.
@@ -162,7 +167,7 @@ class Ordered:
                     for n in names
                 }
             ).drop(*[f"_c{n}" for n in names])
-        return self._with(out.drop("_reset", "_part", *[f"_v{n}" for n in names]))
+        return self.like(out.drop("_reset", "_part", *[f"_v{n}" for n in names]))
 
     def _sums_into_chunks(self, df: DataFrame, names: list[str]) -> DataFrame:
         rows = self._cut_rows(df)
@@ -215,7 +220,7 @@ class Ordered:
             F.max(F.when(F.col("_place") == 1, F.col("_last"))).alias("_last"),
         )
         kept = folds.select(*self.key, CHUNK, F.inline(F.expr(_fold_sql(interval, time))))
-        return self._with(kept.drop("_restart"))
+        return self.like(kept.drop("_restart"))
 
     def _kept_before_chunks(self, df: DataFrame, interval: int, time: str) -> DataFrame:
         keep = [*self.key, CHUNK]

@@ -47,3 +47,31 @@ def events_to_pings(events: DataFrame) -> DataFrame:
 
 def load_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_pings(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def raw_pings(pings: DataFrame) -> DataFrame:
+    """Dirty raw rows: bad coordinates, missing ids, unparsable times and repeated lines."""
+    k = F.col("k")
+    copies = F.when(k == 6, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    time = F.date_format(F.timestamp_seconds("event_s"), "yyyy-MM-dd HH:mm:ss")
+    bad_time = (k == 5) & (F.col("event_type") == "click")
+    return pings.withColumn("_copy", F.explode(copies)).select(
+        F.when(k != 4, F.col("taxi_id")).alias("taxi_id"),
+        F.when(bad_time, "bad").otherwise(time).alias("timestamp"),
+        F.when(k == 1, 500.0).when(k == 2, None).otherwise(F.col("longitude")).alias("longitude"),
+        F.when(k == 3, -95.0).otherwise(F.col("latitude")).alias("latitude"),
+        F.concat(F.col("taxi_id").cast("string"), F.lit(".txt")).alias("file"),
+        (F.col("seq") * 2 + F.col("_copy")).alias("line"),
+        "trip_status",
+    )
+
+
+def conflict_pings(pings: DataFrame) -> DataFrame:
+    """Pings, and for some of them a second position at the same time."""
+    rows = pings.select(
+        "seq", "taxi_id", F.col("event_s").alias("timestamp"), "latitude", "longitude", "k"
+    )
+    moved = rows.where(F.col("k") == 7).withColumns(
+        {"latitude": F.col("latitude") + 0.01, "seq": F.col("seq") + 1_000_000}
+    )
+    return rows.unionByName(moved).drop("k")

@@ -4,31 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Column names and types of every message.
-RAW_CSV = T.StructType.fromDDL(
-    "taxi_id int, timestamp string, longitude double, latitude double"
-)
-RAW_MESSAGE = T.StructType.fromDDL(
-    "taxi_id int, timestamp string, longitude double, latitude double,"
-    " trip_status string, sent_at_utc_ms bigint"
+INT, LONG, DOUBLE, TEXT, FLAG = (
+    T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType()
 )
-RECORD = T.StructType.fromDDL(
-    "taxi_id int, longitude double, latitude double, timestamp string,"
-    " sent_at_utc_ms bigint, trip_status string, received_at_utc_ms bigint,"
-    " speed double, is_valid_speed boolean, avg_speed double, total_distance_km double,"
-    " distance_from_forbidden_city_km double, is_in_range boolean"
+
+
+def row(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+# Column names and types of every message.
+RAW_CSV = row(taxi_id=INT, timestamp=TEXT, longitude=DOUBLE, latitude=DOUBLE)
+RAW_MESSAGE = row(
+    taxi_id=INT, timestamp=TEXT, longitude=DOUBLE, latitude=DOUBLE, trip_status=TEXT,
+    sent_at_utc_ms=LONG,
 )
-PROCESSED_MESSAGE = T.StructType(
-    RECORD.fields + [T.StructField("processed_at_utc_ms", T.LongType())]
+RECORD = row(
+    taxi_id=INT, longitude=DOUBLE, latitude=DOUBLE, timestamp=TEXT, sent_at_utc_ms=LONG,
+    trip_status=TEXT, received_at_utc_ms=LONG, speed=DOUBLE, is_valid_speed=FLAG, avg_speed=DOUBLE,
+    total_distance_km=DOUBLE, distance_from_forbidden_city_km=DOUBLE, is_in_range=FLAG,
 )
-ALERT_MESSAGE = T.StructType.fromDDL(
-    "taxi_id int, latitude double, longitude double, timestamp string, trip_status string,"
-    " distance_km double, speed double, alert_type string"
+PROCESSED_MESSAGE = T.StructType([*RECORD.fields, T.StructField("processed_at_utc_ms", LONG)])
+ALERT_MESSAGE = row(
+    taxi_id=INT, latitude=DOUBLE, longitude=DOUBLE, timestamp=TEXT, trip_status=TEXT,
+    distance_km=DOUBLE, speed=DOUBLE, alert_type=TEXT,
 )
-_COUNT = "struct<count:bigint,change_from_last_hour:double>"
-_DISTANCE = "struct<distance:double,change_from_last_hour:double>"
-FLEET_MESSAGE = T.StructType.fromDDL(
-    f"active_taxis {_COUNT}, inactive_taxis {_COUNT}, trip_ended_taxis {_COUNT},"
-    f" total_distance {_DISTANCE}, in_transit_taxis {_COUNT}"
+_COUNT = row(count=LONG, change_from_last_hour=DOUBLE)
+FLEET_MESSAGE = row(
+    active_taxis=_COUNT, inactive_taxis=_COUNT, trip_ended_taxis=_COUNT,
+    total_distance=row(distance=DOUBLE, change_from_last_hour=DOUBLE), in_transit_taxis=_COUNT,
 )
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
