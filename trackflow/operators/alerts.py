@@ -12,33 +12,59 @@ from trackflow.operators.motion import is_end, located
 from trackflow.operators.ordered import Ordered
 
 
-def geofence(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
-    """Distance to the centre, range flag, and ``geofence_alert`` on the first valid row in the ring.
+def centred(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
+    """Rows with a position, and their distance to the centre."""
+    km = distance_to_centre(F.col("latitude"), F.col("longitude"), cfg)
+    return pings.where(located()).add(_km=km)
+
+
+def in_ring(cfg: Settings) -> Column:
+    ring = (F.col("_km") > cfg.warning_km) & (F.col("_km") <= cfg.range_km)
+    return ring & is_valid(F.col("is_valid_speed"))
+
+
+def warned_state(cfg: Settings) -> Column:
+    """Whether the key counts as warned after this row; null leaves that as it was.
 
-    The alert is armed again by a row inside the warning radius and by the end of the trip; a row
-    beyond the outer radius leaves it as it is.
+    A row inside the warning radius and the end of a trip arm the alert again; a row beyond the
+    outer radius does nothing.
     """
-    rows = pings.where(located())
-    rows = rows.add(_km=distance_to_centre(F.col("latitude"), F.col("longitude"), cfg))
-    valid = is_valid(F.col("is_valid_speed"))
-    ring = (F.col("_km") > cfg.warning_km) & (F.col("_km") <= cfg.range_km) & valid
-    warned = F.when(is_end() | (F.col("_km") <= cfg.warning_km), False).when(ring, True)
-    rows = rows.last_before(_warned=warned)
+    armed = is_end() | (F.col("_km") <= cfg.warning_km)
+    return F.when(armed, False).when(in_ring(cfg), True)
+
+
+def alerted_state(cfg: Settings) -> Column:
+    """Whether the key counts as alerted for speed after this row; null leaves that as it was."""
+    return F.when(speed_known(), (F.col("speed") > cfg.speed_limit_kmph) & ~is_end())
+
+
+def speed_known() -> Column:
+    return F.col("speed").isNotNull() & is_valid(F.col("is_valid_speed"))
+
+
+def add_geofence(rows: Ordered, cfg: Settings) -> Ordered:
     return rows.add(
         distance_from_forbidden_city_km=F.round("_km", 2),
         is_in_range=F.col("_km") <= cfg.range_km,
-        geofence_alert=ring & ~F.coalesce(F.col("_warned"), F.lit(False)),
+        geofence_alert=in_ring(cfg) & ~F.coalesce(F.col("_warned"), F.lit(False)),
     ).drop("_km", "_warned")
 
 
+def add_speeding(rows: Ordered, cfg: Settings) -> Ordered:
+    above = speed_known() & (F.col("speed") > cfg.speed_limit_kmph)
+    alert = above & ~F.coalesce(F.col("_alerted"), F.lit(False))
+    return rows.add(speed_alert=F.coalesce(alert, F.lit(False))).drop("_alerted")
+
+
+def geofence(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
+    """Distance to the centre, range flag, and ``geofence_alert`` on entering the ring."""
+    rows = centred(pings, cfg)
+    return add_geofence(rows.last_before(_warned=warned_state(cfg)), cfg)
+
+
 def speeding(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
     """``speed_alert`` on the first row above the limit; at or below it arms the alert again."""
-    accepted = F.col("speed").isNotNull() & is_valid(F.col("is_valid_speed"))
-    above = F.col("speed") > cfg.speed_limit_kmph
-    state = F.when(accepted, above & ~is_end())
-    rows = pings.last_before(_alerted=state)
-    alert = accepted & above & ~F.coalesce(F.col("_alerted"), F.lit(False))
-    return rows.add(speed_alert=F.coalesce(alert, F.lit(False))).drop("_alerted")
+    return add_speeding(pings.last_before(_alerted=alerted_state(cfg)), cfg)
 
 
 def _alert_rows(processed: DataFrame, flag: str, kind: str, value: Column, name: str) -> DataFrame:

@@ -101,10 +101,17 @@ def travelled(pings: Ordered) -> Ordered:
     )
 
 
+def last_position():
+    """What the next counting row of the key needs from this one."""
+    return F.struct("latitude", "longitude", is_end().alias("ended"))
+
+
 def distance(pings: Ordered) -> Ordered:
     """``total_distance_km`` (3 decimals) over the valid rows of the trip."""
-    rows = travelled(pings)
-    rows = rows.last_before(_prev=F.struct("latitude", "longitude", is_end().alias("ended")))
+    return add_distance(travelled(pings).last_before(_prev=last_position()))
+
+
+def add_distance(rows: Ordered) -> Ordered:
     leg = F.when(
         ~F.col("_prev.ended"),
         haversine_km(

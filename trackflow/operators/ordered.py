@@ -209,11 +209,10 @@ class Ordered:
         gap = F.col(time) - F.max(time).over(before)
         certain = F.coalesce(F.lag("_restart").over(self._window()), F.lit(True)) | (gap >= interval)
         df = df.withColumns({"_place": place, "_certain": certain, "_last": inflow})
-        block = F.expr(f"_place div {BLOCK}")
-        opened = F.last(F.when(F.col("_certain"), block), True).over(before)
-        df = df.withColumn("_opens", F.col("_certain") & ~block.eqNullSafe(opened))
+        # A fold is named after the block of its last certain row, so it starts at a certain row.
         upto = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        df = df.withColumn("_fold", F.sum(F.col("_opens").cast("int")).over(upto))
+        block = F.expr(f"_place div {BLOCK}")
+        df = df.withColumn("_fold", F.last(F.when(F.col("_certain"), block), True).over(upto))
         inner = [self.order, *[c for c in self.df.columns if c not in (self.order, CHUNK, *self.key)]]
         folds = df.groupBy(*self.key, CHUNK, "_fold").agg(
             F.sort_array(F.collect_list(F.struct(*inner, "_restart"))).alias("_rows"),

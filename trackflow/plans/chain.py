@@ -27,9 +27,15 @@ def moving(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
 def process(pings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Every processed ping, with both alert flags.
 
-    The alerts do not read the distance, and its rows are exactly ``travelled``; taking it last
-    leaves its own sort order as the only one that differs from (key, order).
+    The rows that count towards the distance are the rows that the alerts read, so one look back
+    serves all three; the distance comes last, as its sums are the only step that needs another
+    sort order than (key, order).
     """
-    rows = motion.travelled(averaged(ordered_pings(pings, cfg), cfg))
-    rows = alerts.speeding(alerts.geofence(rows, cfg), cfg)
-    return motion.distance(rows).rows()
+    rows = alerts.centred(motion.travelled(averaged(ordered_pings(pings, cfg), cfg)), cfg)
+    rows = rows.last_before(
+        _warned=alerts.warned_state(cfg),
+        _alerted=alerts.alerted_state(cfg),
+        _prev=motion.last_position(),
+    )
+    rows = alerts.add_speeding(alerts.add_geofence(rows, cfg), cfg)
+    return motion.add_distance(rows).rows()
