@@ -7,7 +7,7 @@ are taken chunk by chunk over the arrival order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.config import ACTIVE, DEFAULTS, END, Settings
@@ -46,17 +46,23 @@ def _differences(moving: Ordered, cfg: Settings) -> Ordered:
 
 
 def fleet_rows(moving: Ordered, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Fleet counts, distance and percent changes as of every row of the chain.
+    """Fleet counts, distance and percent changes as of every row of the chain."""
+    return fleet_totals(_differences(moving, cfg).rows().withColumnRenamed(moving.order, "seq"), cfg)
+
+
+def fleet_totals(
+    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False
+) -> DataFrame:
+    """Running totals of the differences in arrival order, with their changes.
 
     Changes compare the totals at the latest re-baseline row with those at the one before it.
     Re-baseline rows are found among the first rows of each event second (the only ones that can
     be later than all rows before them), at least ``rebaseline_s`` apart.
     """
-    order = moving.order
-    slim = _differences(moving, cfg).rows()
+    order = "seq"
     # Read several times below, so written once instead of running the chain again.
     slim = cut(
-        slim.select(
+        differences.select(
             order, "taxi_id", "event_s", "processed_at_utc_ms", *[f"_d_{n}" for n in TOTALS]
         )
     )
@@ -101,6 +107,7 @@ def fleet_rows(moving: Ordered, cfg: Settings = DEFAULTS) -> DataFrame:
         change["metres"].alias("total_distance_change"),
         F.col("transit").alias("in_transit_taxis_count"),
         change["transit"].alias("in_transit_taxis_change"),
+        *([F.col("_own").isNotNull().alias("_base"), *TOTALS] if with_state else []),
     )
 
 
@@ -108,6 +115,26 @@ def _shown(name: str, value: Column) -> Column:
     return value / F.lit(1000.0) if name == "metres" else value.cast("double")
 
 
+def closing_rows(rows: DataFrame) -> DataFrame:
+    """The rows that decide how totals and changes go on: the last three bases and the last row.
+
+    Put before later differences, as differences between themselves, they give those rows the same
+    totals and changes as one run over everything would.
+    """
+    state = ["seq", "taxi_id", "event_s", "processed_at_utc_ms", *TOTALS]
+    bases = rows.where("_base").orderBy(F.col("seq").desc()).limit(3).select(*state)
+    last = rows.orderBy(F.col("seq").desc()).limit(1).select(*state)
+    return bases.unionByName(last).distinct()
+
+
+def as_differences(closing: DataFrame) -> DataFrame:
+    """At most four closing rows, as differences each against the one before it."""
+    in_order = Window.partitionBy(F.lit(0)).orderBy("seq")
+    return closing.withColumns(
+        {f"_d_{n}": F.col(n) - F.coalesce(F.lag(n).over(in_order), F.lit(0)) for n in TOTALS}
+    ).drop(*TOTALS)
+
+
 def fleet_seconds(rows: DataFrame) -> DataFrame:
     """The last fleet row of each event second."""
     names = [c for c in rows.columns if c not in ("event_s", "seq", "taxi_id")]
