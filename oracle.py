@@ -505,3 +505,17 @@ define("coord_range", """
 SELECT max(longitude) AS max_longitude, min(longitude) AS min_longitude, max(latitude) AS max_latitude,
   min(latitude) AS min_latitude FROM pings""")
 define("point_struct", "SELECT seq, latitude AS y, longitude AS x FROM pings")
+
+# -- streams give the rows of their batch forms
+define("stream_chain", f"""
+SELECT {PING}, sent_at_utc_ms, processed_at_utc_ms, {METRICS}, geofence_alert, speed_alert FROM processed""")
+define("stream_incidents", "SELECT * FROM log")
+define("stream_latest", "SELECT taxi_id, seq, trip_status, speed, avg_speed, total_distance_km FROM latest")
+define("stream_fleet", f"SELECT seq, taxi_id, event_s, processed_at_utc_ms, {FLEET} FROM fleet")
+define("stream_window_counts", """
+SELECT event_s // 300 * 300 AS window_start, event_s // 300 * 300 + 300 AS window_end, count(*) AS pings,
+  CAST(sum(processed_at_utc_ms - sent_at_utc_ms) AS BIGINT) AS latency_sum_ms,
+  max(processed_at_utc_ms - sent_at_utc_ms) AS latency_max_ms,
+  min(processed_at_utc_ms - sent_at_utc_ms) AS latency_min_ms
+FROM pings GROUP BY 1 HAVING event_s // 300 * 300 + 300 <= (SELECT max(event_s) FROM pings)""")
+ORACLE["stream_inactive_trips"] = ORACLE["inactive_trips"]

@@ -7,30 +7,22 @@ from pyspark.sql import functions as F
 
 from trackflow.config import ACTIVE, END, INACTIVE
 from trackflow.functions.numbers import int_div
+from trackflow.sources.streams import file_stream
 
 # Fixed values of the stand-in.
 EPOCH_2008_02_02 = 1201910400
 EPOCH_MS_2024_01_01 = 1704067200000
 
 
-def events_to_pings(events: DataFrame) -> DataFrame:
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    kind = F.col("event_type")
-    base = events.select(
-        F.col("event_id").alias("seq"),
-        (F.col("user_id") + 1).cast("int").alias("taxi_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (int_div(ms - EPOCH_MS_2024_01_01, 60000) + EPOCH_2008_02_02).alias("event_s"),
-        kind,
-        F.round(F.col("value") * 100).cast("bigint").alias("_cents"),
-        F.round(F.col("value") * 20).cast("bigint").alias("_lag"),
-        ms.alias("sent_at_utc_ms"),
-    )
-    k = F.col("k")
+def events_to_pings(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Pings of the events; a stream takes each taxi's last event from the stored ``history``."""
+    base = _typed(events)
+    stored = base if history is None else _typed(history)
+    k, kind = F.col("k"), F.col("event_type")
     lat = F.lit(39.9163) + (k - 50) / F.lit(50.0) * F.lit(0.12)
     lon = F.lit(116.3972) + (F.col("_cents") % 100 - 50) / F.lit(50.0) * F.lit(0.15)
     late = F.when((kind == "error") & (k == 2), 20000).otherwise(0)
-    last = base.groupBy(F.col("taxi_id").alias("_taxi")).agg(F.max("seq").alias("_last"))
+    last = stored.groupBy(F.col("taxi_id").alias("_taxi")).agg(F.max("seq").alias("_last"))
     same = (F.col("taxi_id") == F.col("_taxi")) & (F.col("seq") == F.col("_last"))
     return base.join(last, same, "left").select(
         "seq", "taxi_id", "k", "event_type", "event_s",
@@ -45,10 +37,30 @@ def events_to_pings(events: DataFrame) -> DataFrame:
     )
 
 
+def _typed(events: DataFrame) -> DataFrame:
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    return events.select(
+        F.col("event_id").alias("seq"),
+        (F.col("user_id") + 1).cast("int").alias("taxi_id"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        (int_div(ms - EPOCH_MS_2024_01_01, 60000) + EPOCH_2008_02_02).alias("event_s"),
+        "event_type",
+        F.round(F.col("value") * 100).cast("bigint").alias("_cents"),
+        F.round(F.col("value") * 20).cast("bigint").alias("_lag"),
+        ms.alias("sent_at_utc_ms"),
+    )
+
+
 def load_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_pings(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def stream_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = file_stream(spark, sf_dir, events.schema, pattern="events.parquet")
+    return events_to_pings(stream, events)
+
+
 def raw_pings(pings: DataFrame) -> DataFrame:
     """Dirty raw rows: bad coordinates, missing ids, unparsable times and repeated lines."""
     k = F.col("k")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,12 @@ from trackflow.operators import (
 )
 from trackflow.operators.ordered import Ordered
 from trackflow.plans import chain
-from trackflow.plans.fixture import conflict_pings, load_pings, raw_pings
-from trackflow.session import cut
+from trackflow.plans.fixture import conflict_pings, load_pings, raw_pings, stream_pings
+from trackflow.session import cut, shared_dir
+from trackflow.sources import streams, tables
+from trackflow.streaming import chain as stream_chain_step
+from trackflow.streaming import inactivity as stream_inactivity
+from trackflow.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,7 +40,12 @@ PING = ["seq", "taxi_id", "event_s", "latitude", "longitude", "trip_status"]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Event times are naive; text and windows read them as UTC.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = in_utc
     return fn
 
 
@@ -568,3 +578,54 @@ def coord_range(spark, sf_dir):
 def point_struct(spark, sf_dir):
     rows = quality.with_point(load_pings(spark, sf_dir))
     return rows.select("seq", F.col("point.latitude").alias("y"), F.col("point.longitude").alias("x"))
+
+
+# -- streaming: the given events as a stream, taken until nothing is left --------------------
+
+
+def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    query = streams.sink(stream, f"{out}/checkpoint", every=None, path=f"{out}/rows").start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, fleet: bool) -> str:
+    pipeline.use_rocksdb(spark)
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    pipeline.start(stream_pings(spark, sf_dir), out, every=None, fleet=fleet).awaitTermination()
+    return out
+
+
+@query
+def stream_chain(spark, sf_dir):
+    pipeline.use_rocksdb(spark)
+    rows = _run(spark, stream_chain_step.process_stream(stream_pings(spark, sf_dir)))
+    return rows.drop(*pipeline.PRIVATE)
+
+
+@query
+def stream_incidents(spark, sf_dir):
+    return tables.read_batches(spark, _run_pipeline(spark, sf_dir, False) + "/incidents")
+
+
+@query
+def stream_latest(spark, sf_dir):
+    latest = tables.read_latest(spark, _run_pipeline(spark, sf_dir, False) + "/latest")
+    return latest.select("taxi_id", "seq", "trip_status", "speed", "avg_speed", "total_distance_km")
+
+
+@query
+def stream_fleet(spark, sf_dir):
+    return tables.read_batches(spark, _run_pipeline(spark, sf_dir, True) + "/fleet")
+
+
+@query
+def stream_window_counts(spark, sf_dir):
+    return _run(spark, pipeline.window_counts(stream_pings(spark, sf_dir)))
+
+
+@query
+def stream_inactive_trips(spark, sf_dir):
+    pipeline.use_rocksdb(spark)
+    return _run(spark, stream_inactivity.inactive_stream(stream_pings(spark, sf_dir)))
