@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackflow.config import DEFAULTS, GEOFENCE_ALERT, SPEED_ALERT, Settings
 from trackflow.functions.geo import distance_to_centre
 from trackflow.functions.numbers import is_valid
+from trackflow.operators.joins import join_unique
 from trackflow.operators.motion import is_end, located
 from trackflow.operators.ordered import Ordered
 
@@ -153,11 +154,11 @@ def last_incidents(log: DataFrame, n: int = 50) -> DataFrame:
     return newest_first(log).limit(n).orderBy(*arrival(False))
 
 
-def with_latest_taxi(log: DataFrame, latest: DataFrame) -> DataFrame:
+def with_latest_taxi(log: DataFrame, latest: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Left lookup of each incident's taxi in the latest-state table (one row per taxi).
 
-    No broadcast hint: the table grows with the fleet. Adaptive execution broadcasts it when it is
-    small and splits the partitions of a taxi with very many incidents when it is not.
+    The table grows with the fleet, so it is not broadcast; only the rows of taxis with very many
+    incidents are.
     """
     state = latest.select(
         F.col("taxi_id").alias("_id"),
@@ -166,4 +167,4 @@ def with_latest_taxi(log: DataFrame, latest: DataFrame) -> DataFrame:
         F.col("longitude").alias("latest_longitude"),
         F.col("speed").alias("latest_speed"),
     )
-    return log.join(state, F.col("taxi_id") == F.col("_id"), "left").drop("_id")
+    return join_unique(log, state, {"taxi_id": "_id"}, "left", cfg.max_group_rows).drop("_id")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackflow.config import DEFAULTS, Settings
 from trackflow.functions.geo import performance_zone
 from trackflow.functions.numbers import half_up_ratio, int_div, latency_seconds
+from trackflow.operators.joins import join_unique
 from trackflow.operators.ordered import Ordered
 from trackflow.operators.quantiles import percentiles
 
@@ -37,7 +38,7 @@ def latency_per_message(msgs: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     before = before.rows().select("_ms", (F.col("_upto") - F.col("_n")).alias("_before"))
     rows = Ordered.by_key(msgs, TIME, "seq", cfg.max_group_rows)
     rows = rows.sum_since(None, _place=F.lit(1).cast("bigint")).rows()
-    rows = rows.join(before, F.col(TIME) == F.col("_ms"))
+    rows = join_unique(rows, before, {TIME: "_ms"}, "inner", cfg.max_group_rows)
     seconds = latency_seconds(F.col(TIME), F.col("sent_at_utc_ms"))
     return rows.where(_latency_ms().isNotNull()).select(
         (F.col("_before") + F.col("_place")).alias("record_number"),

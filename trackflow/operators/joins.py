@@ -1,0 +1,50 @@
+"""Equi-joins whose left side may have most of its rows under one key."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from trackflow.config import DEFAULTS
+from trackflow.operators.ordered import MAX_SPLIT_KEYS
+from trackflow.session import cut
+
+
+def heavy_keys(df: DataFrame, keys: list[str], max_group_rows: int) -> DataFrame | None:
+    """Keys with more rows than a group may have (never more than MAX_SPLIT_KEYS), or None."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, top = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    if (top or 0) <= max_group_rows:
+        return None
+    limit = max(max_group_rows, total // MAX_SPLIT_KEYS)
+    heavy = sizes.where(F.col("_n") > limit)
+    return cut(heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys]))
+
+
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: dict[str, str], how: str,
+    max_group_rows: int = DEFAULTS.max_group_rows,
+) -> DataFrame:
+    """Join with a right side that has one row per key; ``keys`` maps left to right columns.
+
+    Rows of heavy keys stay where they are and meet their few right rows by broadcast, which is at
+    most one per heavy key; all other rows meet in one ordinary exchange.
+    """
+    on = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in keys.items()])
+    heavy = heavy_keys(left, list(keys), max_group_rows)
+    if heavy is None:
+        return left.join(right, on, how)
+
+    def is_heavy(columns: list[str]):
+        pairs = zip(keys, columns)
+        return reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_heavy_{k}")) for k, c in pairs]
+        )
+
+    hot = F.broadcast(heavy)
+    hot_left = left.join(hot, is_heavy(list(keys)), "left_semi")
+    hot_right = right.join(hot, is_heavy(list(keys.values())), "left_semi")
+    rest = left.join(hot, is_heavy(list(keys)), "left_anti")
+    return hot_left.join(F.broadcast(hot_right), on, how).unionByName(rest.join(right, on, how))

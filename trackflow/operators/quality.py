@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.config import DEFAULTS, Settings
+from trackflow.operators.joins import join_unique
 from trackflow.operators.quantiles import percentiles
 
 REQUIRED = {"taxi_id", "latitude", "longitude", "timestamp"}
@@ -19,11 +20,11 @@ def require_columns(df: DataFrame, names: set[str] = REQUIRED) -> DataFrame:
     return df
 
 
-def conflict_rows(df: DataFrame) -> DataFrame:
+def conflict_rows(df: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Rows whose (taxi, time) occurs with more than one latitude or longitude.
 
     Two distinct values exist exactly if minimum and maximum differ, which combines on the map
-    side; the semi-join is split by adaptive execution where one (taxi, time) holds most rows.
+    side, so no group of copies is ever gathered.
     """
     require_columns(df)
     seen = df.groupBy(F.col("taxi_id").alias("_t"), F.col("timestamp").alias("_s")).agg(
@@ -33,8 +34,8 @@ def conflict_rows(df: DataFrame) -> DataFrame:
         F.col("_min_longitude") < F.col("_max_longitude")
     )
     keys = seen.where(differ).select("_t", "_s")
-    same = (F.col("taxi_id") == F.col("_t")) & (F.col("timestamp") == F.col("_s"))
-    return df.join(keys, same, "left_semi")
+    same = {"taxi_id": "_t", "timestamp": "_s"}
+    return join_unique(df, keys, same, "left_semi", cfg.max_group_rows)
 
 
 def conflict_counts(conflicts: DataFrame, *keys: str) -> DataFrame:
@@ -62,7 +63,7 @@ def taxis_with_count(conflicts: DataFrame, rows: int) -> DataFrame:
 def conflict_diffs(conflicts: DataFrame, order: str = "seq") -> DataFrame:
     """Absolute differences of the first two rows of each (taxi, time).
 
-    ``row_number <= 2`` becomes a group limit before the exchange: two rows per key and task.
+    ``row_number <= 2`` becomes a group limit before any exchange: two rows per key and task.
     """
     place = F.row_number().over(Window.partitionBy("taxi_id", "timestamp").orderBy(order))
     firsts = conflicts.select("taxi_id", "timestamp", "latitude", "longitude", order)

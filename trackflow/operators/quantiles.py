@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackflow.operators.joins import join_unique
 from trackflow.operators.ordered import Ordered
 
 
@@ -23,7 +24,7 @@ def percentiles(
     )
     rows = Ordered.by_key(histogram, group, value, max_group_rows)
     rows = rows.sum_since(None, _upto=F.col(count)).rows()
-    rows = rows.join(totals, F.col(group) == F.col("_group"))
+    rows = join_unique(rows, totals, {group: "_group"}, "inner", max_group_rows)
     picks, ends = {}, []
     for name, p in at.items():
         rank = (F.col("_size") - 1) * F.lit(float(p))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import zipfile
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,9 @@ from trackflow.operators.quality import REQUIRED, require_columns
 from trackflow.schema import RAW_CSV
 
 LINES_PER_BATCH = 50_000
+# What a broken archive raises. Failures to read are not among them: those fail the task, which
+# Spark runs again, instead of silently leaving out a good file.
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError)
 
 
 def _columns(lines: DataFrame, *position: str) -> DataFrame:
@@ -53,19 +57,21 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Names of the text members of each archive; an archive that cannot be opened has none."""
     for batch in batches:
         found = []
-        for path in batch["path"]:
+        for path in batch["path"].to_pylist():
             try:
                 with _open(path) as raw, zipfile.ZipFile(raw) as archive:
                     names = archive.namelist()
-            except (zipfile.BadZipFile, OSError) as error:
+            except BROKEN as error:
                 print(f"skipping archive {path}: {error}")
                 continue
             found += [(path, name) for name in names if name.endswith(".txt")]
-        yield pd.DataFrame(found, columns=["archive", "member"])
+        archives = pa.array([a for a, _ in found], pa.string())
+        members = pa.array([m for _, m in found], pa.string())
+        yield pa.RecordBatch.from_arrays([archives, members], ["archive", "member"])
 
 
 def _readable(archive: zipfile.ZipFile, member: str) -> bool:
@@ -76,10 +82,10 @@ def _readable(archive: zipfile.ZipFile, member: str) -> bool:
     return True
 
 
-def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of each member in batches; a broken member is skipped as a whole."""
     for batch in batches:
-        for path, member in zip(batch["archive"], batch["member"]):
+        for path, member in zip(batch["archive"].to_pylist(), batch["member"].to_pylist()):
             try:
                 with _open(path) as raw, zipfile.ZipFile(raw) as archive:
                     _readable(archive, member)
@@ -88,16 +94,22 @@ def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         for text in stream:
                             values.append(text.decode("utf-8", "replace").rstrip("\r\n"))
                             if len(values) == LINES_PER_BATCH:
-                                yield _frame(values, path, member, first)
+                                yield _batch(values, path, member, first)
                                 values, first = [], first + LINES_PER_BATCH
-                        yield _frame(values, path, member, first)
-            except (zipfile.BadZipFile, OSError, EOFError, ValueError) as error:
+                        yield _batch(values, path, member, first)
+            except BROKEN as error:
                 print(f"skipping member {member} of {path}: {error}")
 
 
-def _frame(values: list[str], path: str, member: str, first: int) -> pd.DataFrame:
-    lines = range(first, first + len(values))
-    return pd.DataFrame({"value": values, "archive": path, "file": member, "line": lines})
+def _batch(values: list[str], archive: str, member: str, first: int) -> pa.RecordBatch:
+    n = len(values)
+    columns = [
+        pa.array(values, pa.string()),
+        pa.array([archive] * n, pa.string()),
+        pa.array([member] * n, pa.string()),
+        pa.array(range(first, first + n), pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["value", "archive", "file", "line"])
 
 
 def read_zips(spark: SparkSession, path: str, member: str | None = None) -> DataFrame:
@@ -107,11 +119,11 @@ def read_zips(spark: SparkSession, path: str, member: str | None = None) -> Data
     task then seeks to its own members, so one large archive is read by many tasks.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    members = archives.select("path").mapInPandas(_members, "archive string, member string")
+    members = archives.select("path").mapInArrow(_members, "archive string, member string")
     if member is not None:
         members = members.where(F.col("member") == member)
     tasks = spark.sparkContext.defaultParallelism * 4
-    lines = members.repartition(tasks, "archive", "member").mapInPandas(
+    lines = members.repartition(tasks, "archive", "member").mapInArrow(
         _lines, "value string, archive string, file string, line bigint"
     )
     return _columns(lines.where(F.trim("value") != ""), "line")
