@@ -71,8 +71,7 @@ def fleet_totals(
     totals = totals.drop(*[f"_d_{n}" for n in TOTALS])
 
     firsts = slim.groupBy("event_s").agg(F.min(order).alias(order))
-    firsts = Ordered.globally(firsts, order, cfg.max_group_rows)
-    bases = firsts.sample_every(cfg.rebaseline_s, "event_s").rows()
+    bases = totals.over(firsts).sample_every(cfg.rebaseline_s, "event_s").rows()
     bases = bases.select(F.col(order).alias("_base"))
     marked = totals.df.join(bases, F.col(order) == F.col("_base"), "left")
 

@@ -31,8 +31,11 @@ BLOCK = 512  # usual number of rows folded together by sample_every
 class Ordered:
     """A DataFrame with a key, an integer order column and a chunk number per row."""
 
-    def __init__(self, df: DataFrame, key: list[str], order: str, cut_keys: bool):
+    def __init__(
+        self, df: DataFrame, key: list[str], order: str, cut_keys: bool, chunk: Column | None = None
+    ):
         self.df, self.key, self.order, self.cut_keys = df, key, order, cut_keys
+        self.chunk = chunk  # of a global sequence: the chunk number as an expression of the order
 
     @classmethod
     def by_key(cls, df: DataFrame, key: str, order: str, max_group_rows: int) -> "Ordered":
@@ -62,15 +65,19 @@ class Ordered:
     def globally(cls, df: DataFrame, order: str, max_group_rows: int) -> "Ordered":
         """One sequence over all rows, cut into chunks of the order column when it is long."""
         n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
-        if n <= max_group_rows:
-            return cls(df.withColumn(CHUNK, F.lit(WHOLE).cast("bigint")), [], order, False)
-        shift = max(0, int(np.log2(max(1.0, (hi - lo + 1) / n * max_group_rows))))
-        chunk = F.expr(f"shiftright(cast({order} as bigint) - {lo}, {shift})")
-        return cls(df.withColumn(CHUNK, chunk), [], order, True)
+        chunk, large = F.lit(WHOLE).cast("bigint"), n > max_group_rows
+        if large:
+            shift = max(0, int(np.log2(max(1.0, (hi - lo + 1) / n * max_group_rows))))
+            chunk = F.expr(f"shiftright(cast({order} as bigint) - {lo}, {shift})")
+        return cls(df.withColumn(CHUNK, chunk), [], order, large, chunk)
 
     def like(self, df: DataFrame) -> "Ordered":
         """The same key, order and chunks over a DataFrame derived from this one."""
-        return Ordered(df, self.key, self.order, self.cut_keys)
+        return Ordered(df, self.key, self.order, self.cut_keys, self.chunk)
+
+    def over(self, df: DataFrame) -> "Ordered":
+        """The chunks of this global sequence over other rows, at most one per order value."""
+        return self.like(df.withColumn(CHUNK, self.chunk))
 
     # -- plain DataFrame steps -------------------------------------------------------------
 

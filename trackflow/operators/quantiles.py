@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackflow.operators.joins import join_unique
 from trackflow.operators.ordered import Ordered
+from trackflow.session import cut
 
 
 def percentiles(
@@ -19,6 +20,7 @@ def percentiles(
     running counts go through ``Ordered``, so neither a group with most of the rows nor one with
     very many distinct values ends up in one task or one aggregation buffer.
     """
+    histogram = cut(histogram)  # small, and read several times
     totals = histogram.groupBy(F.col(group).alias("_group")).agg(
         F.sum(count).alias("_size"), F.sum(F.col(value) * F.col(count)).alias("_total")
     )

@@ -95,11 +95,15 @@ def incident_trend(
 
 
 def taxi_trend(points: DataFrame, value: Column, name: str, taxi_id: str | None = None) -> DataFrame:
-    """One value over time for a taxi, or for every taxi."""
-    chosen = points if taxi_id is None else points.where(F.col("taxi_id") == taxi_id)
-    return chosen.orderBy("taxi_id", "time_ms", "seq").select(
-        "taxi_id", iso(F.col("time_ms")).alias("time"), value.alias(name)
-    )
+    """One value over time: for one taxi in time order, or for every taxi without a global order.
+
+    Ordering the points of all taxis would need a range exchange, whose sampling computes the
+    points twice; each row carries its taxi and time instead.
+    """
+    shown = ["taxi_id", iso(F.col("time_ms")).alias("time"), value.alias(name)]
+    if taxi_id is None:
+        return points.select(*shown)
+    return points.where(F.col("taxi_id") == taxi_id).orderBy("time_ms", "seq").select(*shown)
 
 
 def taxi_speed_trend(points: DataFrame, taxi_id: str | None = None) -> DataFrame:
