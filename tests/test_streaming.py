@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from trackflow.config import Settings
 from trackflow.operators import alerts, fleet, inactivity, state
 from trackflow.plans.chain import moving, ordered_pings, process
-from trackflow.schema import row, LONG, TEXT
+from trackflow.functions import messages as messages_fn
+from trackflow.schema import FLEET_MESSAGE, LONG, TEXT, row
 from trackflow.sources import streams, tables
 from trackflow.streaming import inactivity as watch
 from trackflow.streaming import pipeline
@@ -62,6 +63,33 @@ def test_pipeline_equals_batch_with_restart(spark, rows, tmp_path):
     same(tables.read_latest(spark, f"{out}/compacted"), state.latest_per_taxi(want))
 
 
+def test_published_messages(spark, rows, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    some = rows.where("seq < 300")
+    feed(some, path, 1)
+    cfg = Settings(source_topics="raw", processed_topic="done", alerts_topic="alerts", fleet_topic="fleet")
+
+    def publish(messages, topic, batch_id):
+        tables.write_batch(messages, f"{out}/{topic}_topic", batch_id)
+
+    with pytest.raises(ValueError):
+        pipeline.PipelineSink(out, Settings(), publish=publish)
+    source = streams.file_stream(spark, path, rows.schema)
+    with pytest.raises(ValueError):
+        pipeline.start(source, out, Settings(state_ttl_s=60), every=None)
+    pipeline.start(source, out, cfg, every=None, publish=publish).awaitTermination()
+    want = process(some).cache()
+    done = tables.read_batches(spark, f"{out}/done_topic")
+    assert done.count() == want.count()
+    raised = tables.read_batches(spark, f"{out}/alerts_topic").collect()
+    assert len(raised) == alerts.all_alerts(want).count()
+    assert all(('"speed":' in r.value) != ('"distance_km":' in r.value) for r in raised)
+    parsed = tables.read_batches(spark, f"{out}/fleet_topic").select(
+        messages_fn.parse_json(F.col("value"), FLEET_MESSAGE).alias("m")).select("m.*")
+    assert messages_fn.complete_fleet_messages(parsed).count() == want.count()
+    assert parsed.agg(F.max("total_distance.distance")).first()[0] > 0
+
+
 def test_repeated_batch_replaces_its_files(spark, tmp_path):
     for value in (1, 2):
         tables.write_batch(spark.createDataFrame([(value,)], "v int"), str(tmp_path / "t"), 0)

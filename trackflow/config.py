@@ -54,6 +54,8 @@ class Settings:
     bench_max_rows: int = 300_000
     # A key with more rows than this is cut into ordered chunks (operators/ordered.py).
     max_group_rows: int = 2_000_000
+    # Forget a silent taxi's streaming state after this long; 0 keeps it until the trip ends.
+    state_ttl_s: int = 0
     source_topics: str = ""
     processed_topic: str = ""
     alerts_topic: str = ""

@@ -69,8 +69,28 @@ def processed_columns(processed: DataFrame) -> DataFrame:
     )
 
 
+def _texts(fields: DataFrame, key: Column) -> DataFrame:
+    return fields.select(key.cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
 def processed_messages(processed: DataFrame) -> DataFrame:
-    fields = processed_columns(processed)
-    return fields.select(
-        F.col("taxi_id").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")
+    return _texts(processed_columns(processed), F.col("taxi_id"))
+
+
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Alert events; the field of the other kind of alert is absent from the text."""
+    fields = alerts.select(
+        "taxi_id", "latitude", "longitude", event_text(F.col("event_s")).alias("timestamp"),
+        "trip_status", "distance_km", "speed", "alert_type",
     )
+    return _texts(fields, F.col("taxi_id"))
+
+
+def fleet_messages(nested: DataFrame) -> DataFrame:
+    """Fleet events from the nested rows."""
+    return _texts(nested.drop("seq"), F.lit("fleet"))
+
+
+def complete_fleet_messages(parsed: DataFrame) -> DataFrame:
+    """Fleet events that may become the current state."""
+    return parsed.where(F.col("active_taxis").isNotNull() & F.col("trip_ended_taxis").isNotNull())

@@ -90,6 +90,13 @@ class Ordered:
     def drop(self, *names: str) -> "Ordered":
         return self.like(self.df.drop(*names))
 
+    def settled(self) -> "Ordered":
+        """Written out once, if keys are cut: each later step reads the rows to find its carries.
+
+        The checkpoint keeps the partitioning, so later steps need no further exchange.
+        """
+        return self.like(cut(self.df)) if self.cut_keys else self
+
     def rows(self) -> DataFrame:
         return self.df.drop(CHUNK)
 

@@ -16,7 +16,7 @@ def ordered_pings(pings: DataFrame, cfg: Settings = DEFAULTS) -> Ordered:
 def averaged(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
     """De-duplicate, down-sample, speed, average speed."""
     rows = motion.downsample(motion.dedup_same_timestamp(pings), cfg.emit_interval_s)
-    return motion.average_speed(motion.speed(rows, cfg))
+    return motion.average_speed(motion.speed(rows.settled(), cfg).settled())
 
 
 def moving(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:

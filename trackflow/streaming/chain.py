@@ -174,7 +174,8 @@ class TripChain(StatefulProcessor):
         self.cfg = cfg
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("trip", MEMORY)
+        ttl = self.cfg.state_ttl_s * 1000 or None
+        self.state = handle.getValueState("trip", MEMORY, ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         memory = Memory(*self.state.get()) if self.state.exists() else Memory()
@@ -195,5 +196,5 @@ def process_stream(pings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Processed pings with alert flags and fleet differences, as a stream."""
     return pings.select(*INPUT).groupBy("taxi_id").transformWithStateInPandas(
         statefulProcessor=TripChain(cfg), outputStructType=OUTPUT, outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if cfg.state_ttl_s else "None",
     )

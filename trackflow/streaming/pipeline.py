@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trackflow.config import DEFAULTS, Settings
-from trackflow.functions.messages import event_seconds, parse_messages
+from trackflow.functions.messages import (
+    alert_messages,
+    event_seconds,
+    fleet_messages,
+    parse_messages,
+    processed_messages,
+)
 from trackflow.operators.alerts import all_alerts, incident_log
-from trackflow.operators.fleet import as_differences, closing_rows, fleet_totals
+from trackflow.operators.fleet import as_differences, as_message, closing_rows, fleet_totals
 from trackflow.sources.streams import batch_sink
 from trackflow.sources.tables import write_batch, write_latest
 from trackflow.streaming.chain import process_stream
 
+Publish = Callable[[DataFrame, str, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PRIVATE = ["_d_active", "_d_ended", "_d_transit", "_d_metres"]
 
@@ -62,29 +71,58 @@ def _slim(batch: DataFrame) -> list[str]:
 
 
 class PipelineSink:
-    """All tables from one pass over each micro-batch; repeating a batch replaces its files."""
+    """All tables from one pass over each micro-batch; repeating a batch replaces its files.
+
+    With ``publish(messages, topic, batch_id)`` the three kinds of events also leave as messages,
+    at least once.
+    """
 
-    def __init__(self, out: str, cfg: Settings = DEFAULTS, fleet: bool = True):
-        self.out, self.fleet = out, FleetSink(out, cfg) if fleet else None
+    def __init__(
+        self, out: str, cfg: Settings = DEFAULTS, fleet: bool = True, publish: Publish | None = None
+    ):
+        self.out, self.cfg, self.publish = out, cfg, publish
+        self.fleet = FleetSink(out, cfg) if fleet else None
+        if publish is not None:
+            cfg.require_topics()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         shown = batch.drop(*PRIVATE)
+        raised = all_alerts(shown)
         write_batch(shown, f"{self.out}/processed", batch_id)
-        write_batch(incident_log(all_alerts(shown)), f"{self.out}/incidents", batch_id)
+        write_batch(incident_log(raised), f"{self.out}/incidents", batch_id)
         write_latest(shown, f"{self.out}/latest", batch_id)
         if self.fleet is not None:
             self.fleet(batch, batch_id)
+        if self.publish is not None:
+            self.publish(processed_messages(shown), self.cfg.processed_topic, batch_id)
+            self.publish(alert_messages(raised), self.cfg.alerts_topic, batch_id)
+            if self.fleet is not None:
+                written = batch.sparkSession.read.parquet(f"{self.out}/fleet/batch={batch_id}")
+                messages = fleet_messages(as_message(written))
+                self.publish(messages, self.cfg.fleet_topic, batch_id)
         batch.unpersist()
 
 
+def kafka_publisher(servers: str) -> Publish:
+    def publish(messages: DataFrame, topic: str, batch_id: int) -> None:
+        writer = messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+        writer.option("topic", topic).save()
+
+    return publish
+
+
 def start(
     pings: DataFrame, out: str, cfg: Settings = DEFAULTS, every: str | None = "1 second",
-    fleet: bool = True,
+    fleet: bool = True, publish: Publish | None = None,
 ) -> StreamingQuery:
     """The whole job over a stream of typed pings."""
+    if cfg.state_ttl_s and every is None:
+        # Expiry by processing time keeps asking for further batches, so such a run never ends.
+        raise ValueError("state_ttl_s needs a trigger interval")
     processed = process_stream(pings, cfg)
-    return batch_sink(processed, f"{out}/_checkpoint", PipelineSink(out, cfg, fleet), every).start()
+    sink = PipelineSink(out, cfg, fleet, publish)
+    return batch_sink(processed, f"{out}/_checkpoint", sink, every).start()
 
 
 def window_counts(pings: DataFrame, seconds: int = 300, lateness: str = "0 seconds") -> DataFrame:
