@@ -25,4 +25,44 @@ e AS (SELECT *, CAST(floor((k + 1.0) * rate + u) - floor(k * rate + u) AS BIGINT
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM e
 """
 
-ORACLE: dict[str, str] = {"op6_mixing": OP6}
+OP2 = """
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents),
+b AS (
+  SELECT row_id, doc_id, source, text, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+         len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
+           - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines
+  FROM d),
+g AS (
+  SELECT row_id, i, array_to_string(words[i:i+4], ' ') AS gram
+  FROM (SELECT row_id, words, unnest(range(1, len(words) - 3)) AS i FROM d WHERE len(words) >= 5)),
+again AS (SELECT *, count(*) OVER (PARTITION BY row_id, gram) AS n FROM g),
+r AS (
+  SELECT row_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT row_id, unnest(range(i, i + 5)) AS place FROM again WHERE n > 1) GROUP BY row_id),
+l AS (
+  SELECT row_id, source, text, line, len(regexp_extract_all(line, '[^ ]+')) AS words
+  FROM (SELECT row_id, source, text, trim(regexp_replace(lower(unnest(lines)), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line FROM d)
+  WHERE line <> ''),
+h AS (SELECT source, count(DISTINCT text) AS host_docs FROM d GROUP BY source),
+f AS (
+  SELECT n.source, n.line
+  FROM (SELECT source, line, count(DISTINCT text) AS n_docs FROM l GROUP BY source, line) n
+  JOIN h ON n.source IS NOT DISTINCT FROM h.source
+  WHERE n_docs > 10 AND n_docs > 0.01 * host_docs),
+x AS (
+  SELECT row_id, CAST(sum(words) AS BIGINT) AS removed_words
+  FROM l JOIN f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY row_id),
+o AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed,
+         coalesce(removed_words, 0) AS removed_words
+  FROM b LEFT JOIN r USING (row_id) LEFT JOIN x USING (row_id))
+SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM o
+"""
+
+ORACLE: dict[str, str] = {"op2_quality": OP2, "op6_mixing": OP6}
