@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import mixing, packing, quality, sharding
+from trackflow.llm import extraction, mixing, packing, quality, sharding
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,9 +38,14 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), 24)
 
 
+def op10_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op6_mixing": op6_mixing,
     "op9_sharding": op9_sharding,
+    "op10_extraction": op10_extraction,
 }
