@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, mixing, packing, quality, sharding
+from trackflow.llm import extraction, langid, mixing, packing, quality, sharding
+from trackflow.llm.shared import id_fold
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(id_fold("doc_id", 5) == 0, F.lit(True)))
+    training = docs.where(~F.col("held_out")).select("text", "lang")
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), training)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -43,6 +51,7 @@ def op10_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op6_mixing": op6_mixing,
