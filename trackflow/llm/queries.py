@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, langid, mixing, packing, quality, sharding
+from trackflow.llm import extraction, langid, mixing, packing, quality, sharding, toxicity
 from trackflow.llm.shared import id_fold
 
 
@@ -42,6 +42,15 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    learned = docs.where(id_fold("doc_id", 4) != 2)
+    labels = table(spark, folder, "labels").where(id_fold("doc_id", 4) != 2)
+    found = toxicity.classify(docs, learned, labels)
+    held_out = F.coalesce(id_fold("doc_id", 4) == 2, F.lit(True)).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), 24)
 
@@ -55,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op6_mixing": op6_mixing,
+    "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
     "op10_extraction": op10_extraction,
 }
