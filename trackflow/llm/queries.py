@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, langid, mixing, packing, quality, sharding, toxicity
+from trackflow.llm import extraction, langid, mixing, neardup, packing, quality, sharding, toxicity
 from trackflow.llm.shared import id_fold
 
 
@@ -37,6 +37,11 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op5_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op5_neardup": op5_neardup,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
