@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, langid, mixing, neardup, packing, quality, sharding, toxicity
+from trackflow.llm import extraction, langid, mixing, neardup, neighbours, packing, quality, sharding, toxicity
 from trackflow.llm.shared import id_fold
 
 
@@ -56,6 +56,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", "predicted")
 
 
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), "vec_id % 20 = 0")
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), 24)
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_neardup": op5_neardup,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
+    "op8_neighbours": op8_neighbours,
     "op9_sharding": op9_sharding,
     "op10_extraction": op10_extraction,
 }
