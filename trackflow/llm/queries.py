@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, langid, mixing, neardup, neighbours, packing, quality, sharding, toxicity
+from trackflow.llm import extraction, langid, mixing, neardup, neighbours, packing, quality, scoring, sharding, toxicity
 from trackflow.llm.shared import id_fold
 
 
@@ -37,6 +37,13 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op4_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = scoring.score(docs, docs.where(id_fold("doc_id", 5) != 1))
+    held_out = F.coalesce(id_fold("doc_id", 5) == 1, F.lit(True)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_neardup(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "class_size", "kept")
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op4_scoring": op4_scoring,
     "op5_neardup": op5_neardup,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
