@@ -29,7 +29,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), limi
 
     Weights repeat along the sources in code point order, null last. What a source cannot take is
     shared by the others by weight, until none is above its limit: the sources with the smallest
-    size to weight ratios are capped, as many as exceed the share that the rest leaves them.
+    size to weight ratios are capped, one after another, until the share that the rest leaves the next
+    one is within its limit; this is the largest share that any such split gives.
     The windows run over one row per source."""
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     table = F.array(*[F.lit(float(w)) for w in weights])
@@ -45,7 +46,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), limi
     )
     level = (F.col("_all") - limit * F.col("_capped")) / F.col("_rest")
     rows = rows.withColumn("_level", F.when(level * F.col("_w") <= limit * size, level))
-    rows = rows.withColumn("_level", F.min("_level").over(whole))
+    rows = rows.withColumn("_level", F.max("_level").over(whole))
     target = F.least(F.coalesce(F.col("_level") * F.col("_w"), limit * size), limit * size)
     return rows.select("source", "source_size", target.alias("target"))
 
@@ -57,27 +58,32 @@ def offset(seed: str, source: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(1 << 48)
 
 
+def row_hash() -> Column:
+    """Tells rows apart by id and text; a null id is `null`."""
+    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return F.md5(F.concat_ws(":", named, F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     limit: float = 3.0,
     seed: str = "mix",
-    keep: tuple[str, ...] = (),
+    identity: Column | None = None,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and the columns of keep, a row per document.
+    """doc_id, source, size, source_size, target, copies, identity; a row per document.
 
     A null text has size 0. Sources without words have target 0 and no copies. Repeated rows stay
-    and are sampled one by one; which of several identical rows is emitted makes no difference."""
+    and are sampled one by one; which of several identical rows is emitted makes no difference.
+    identity: a hex text that tells rows apart and orders documents of one size, by default an md5 of
+    id and text. Other columns of the input are not carried."""
     rows = docs.select(
         "doc_id",
-        "source",
+        F.col("source").cast("string").alias("source"),
         n_words(F.col("text")).alias("size"),
-        F.md5(
-            F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.col("text"), F.lit(""))).cast("binary")
-        ).alias("_hash"),
-        *keep,
+        (row_hash() if identity is None else identity).alias("_hash"),
     )
-    named = ["doc_id", "source", "size", "_hash", *keep]
+    named = ["doc_id", "source", "size", "_hash"]
     rows = stored(rows.groupBy(*named).agg(F.count(F.lit(1)).alias("_rows")), "mix-rows")
     rows = rows.withColumn("_cell", F.substring("_hash", 1, 2))
     # Null sources join like any other.
@@ -110,4 +116,17 @@ def mix(
     rank = (F.col("_rank") + F.col("_i")).cast("double")
     start = offset(seed, F.col("source"))
     copies = F.floor((rank + 1.0) * rate + start) - F.floor(rank * rate + start)
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *keep)
+    return joined.select(
+        "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), F.col("_hash").alias("identity")
+    )
+
+
+def sample(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), limit: float = 3.0, seed: str = "mix") -> DataFrame:
+    """The rows of docs, each as often as the mix takes it, with all their columns."""
+    columns = docs.columns
+    named = docs.withColumn("_identity", F.md5(F.to_json(F.struct(*columns)).cast("binary")))
+    taken = mix(named, weights, limit, seed, F.col("_identity"))
+    taken = taken.groupBy(F.col("identity").alias("_identity")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    # Identical rows are one here, with the copies of all of them.
+    once = named.join(taken, "_identity").dropDuplicates(["_identity"])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*columns)

@@ -13,7 +13,7 @@ c AS (
          CAST(coalesce(sum(source_size) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS capped,
          sum(w) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
   FROM w),
-l AS (SELECT min((total - 3.0 * capped) / rest) AS level FROM c WHERE (total - 3.0 * capped) / rest * w <= 3.0 * source_size),
+l AS (SELECT max((total - 3.0 * capped) / rest) AS level FROM c WHERE (total - 3.0 * capped) / rest * w <= 3.0 * source_size),
 t AS (SELECT source, source_size, least(coalesce(level * w, 3.0 * source_size), 3.0 * source_size) AS target FROM c CROSS JOIN l),
 r AS (
   SELECT doc_id, source, size, CAST(row_number() OVER (PARTITION BY source ORDER BY size, h, doc_id) - 1 AS DOUBLE) AS k FROM d),
