@@ -7,10 +7,12 @@ falls on one of k coordinates. The earliest dart of a coordinate is the signatur
 agree in it with the probability of their weighted Jaccard similarity. Texts with an empty coordinate
 look twice as high.
 
-Signatures are joined in bands. In a bucket every text is compared with one leader only, exactly,
-by the strips themselves. Three draws of leaders are used: first one order for all buckets; then, for
-texts in a bucket that are still in different classes, two orders drawn per bucket. Classes are the
-connected components of the links. Equal texts are one node from the start.
+Signatures are joined in bands. In a bucket every text is compared with one leader only. Where the
+share of equal coordinates is several standard errors away from the limit it decides; in between, the
+similarity is computed exactly, from the strips of both texts. First every text meets one leader, the
+first in a common order of all that lead its buckets; then texts of a bucket that are still in
+different classes meet the leaders of two orders drawn per bucket. Classes are the connected
+components of the links. Equal texts are one node from the start.
 """
 
 from __future__ import annotations
@@ -40,11 +42,16 @@ class Plan:
     similarity: float = 0.8
     bands: int = 24
     rows: int = 6
+    errors: float = 3.5  # standard errors from the limit beyond which signatures decide
 
     @property
     def coordinates(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def margin(self) -> float:
+        return self.errors * math.sqrt(self.similarity * (1 - self.similarity) / self.coordinates)
+
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _UNIT = 1.0 / (1 << 53)
@@ -116,8 +123,13 @@ def band_keys(signature: np.ndarray, plan: Plan) -> np.ndarray:
     return keys
 
 
+def _slim(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
 def sign(docs: DataFrame, plan: Plan) -> DataFrame:
-    """row_id, doc_id, text_hash, node (a hash of the lower-case words), bands, strips (sorted uint32)."""
+    """row_id, doc_id, text_hash, node (a hash of the lower-case words), bands, signature (2 bytes each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
@@ -125,29 +137,50 @@ def sign(docs: DataFrame, plan: Plan) -> DataFrame:
             for part in tx.chunks(batch):
                 words = tx.Words(*tx.buffers(pc.utf8_lower(part.column("text"))))
                 keys, bounds = strips(words, plan.width)
-                bands = band_keys(signatures(keys, bounds, plan.coordinates), plan)
-                counts = np.where(np.diff(bounds) > 0, plan.bands, 0)
-                low = keys.astype(np.uint32)
-                raw = [np.sort(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                signature = signatures(keys, bounds, plan.coordinates)
+                full = np.diff(bounds) > 0
+                low = signature.astype(np.uint16)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "row_id": pa.array(np.arange(row, row + part.num_rows)),
                         "doc_id": part.column("doc_id"),
                         "text_hash": part.column("text_hash"),
                         "node": pa.array(tx.group_hash(words.hashes(), words.bounds).view(np.int64)),
-                        "bands": tx.lists(bands[counts > 0].ravel().view(np.int64), counts, pa.int64()),
-                        "strips": pa.array(raw, pa.binary()),
+                        "bands": tx.lists(
+                            band_keys(signature, plan)[full].ravel().view(np.int64), np.where(full, plan.bands, 0), pa.int64()
+                        ),
+                        "signature": pa.array([x.tobytes() for x in low], pa.binary()),
                     }
                 )
                 row += part.num_rows
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
-    return slim.mapInArrow(
-        run, f"row_id long, doc_id {id_type}, text_hash long, node long, bands array<long>, strips binary"
+    return _slim(docs).mapInArrow(
+        run, f"row_id long, doc_id {id_type}, text_hash long, node long, bands array<long>, signature binary"
     )
 
 
+def strip_sets(texts: DataFrame, plan: Plan) -> DataFrame:
+    """(node, strips): the strips of (node, text) rows as sorted 4-byte numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch):
+                words = tx.Words(*tx.buffers(pc.utf8_lower(part.column("text"))))
+                keys, bounds = strips(words, plan.width)
+                low = keys.astype(np.uint32)
+                raw = [np.unique(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_pydict({"node": part.column("node"), "strips": pa.array(raw, pa.binary())})
+
+    return texts.select("node", "text").mapInArrow(run, "node long, strips binary")
+
+
+def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Share of equal coordinates of two signatures."""
+    both = zip(a, b, strict=True)
+    return pd.Series([float((np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean()) for x, y in both], dtype="float64")
+
+
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Weighted Jaccard similarity of two sets of strips."""
     out = []
@@ -158,42 +191,61 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def to_leaders(buckets: DataFrame, order: Column, group: str | None = None) -> DataFrame:
-    """Distinct pairs (a, b) of the texts (node) in a bucket (band) with its first in the order.
+def _order(*columns: str) -> Column:
+    return F.xxhash64(*columns)
 
-    With a group, only texts of other groups than the leader's are paired."""
-    key = F.struct(order.alias("o"), F.col("node"), *([F.col(group).alias("g")] if group else []))
-    leaders = buckets.groupBy("band").agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = buckets.join(leaders, "band").where("node <> leader.node")
-    if group:
-        pairs = pairs.where(F.col(group) != F.col("leader.g"))
-    return pairs.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct()
 
-
-def classes(rows: DataFrame, plan: Plan) -> DataFrame:
-    """(node, root) of the texts linked to another one; rows: the stored result of sign."""
-    texts = rows.groupBy("node").agg(F.min("row_id").alias("row_id"))
-    firsts = rows.join(texts.select("row_id"), "row_id")
-    buckets = stored(firsts.select("node", F.explode("bands").alias("band")), "bands")
-    contents = firsts.select("node", "strips")
+def classes(docs: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+    """(node, root) of the texts linked to another one; rows: the stored result of sign(docs)."""
+    texts = rows.groupBy("node").agg(F.min("row_id").alias("row_id"), F.first("bands").alias("bands"))
+    texts = stored(texts, "texts")
+    buckets = texts.select("node", F.explode("bands").alias("band"))
+    leader = F.min(F.struct(_order("node").alias("o"), "node"))
+    leaders = buckets.groupBy("band").agg(leader.alias("leader"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    leaders = leaders.where("lo <> hi").select("band", "leader")
+    # Only buckets of several texts go on.
+    shared = stored(buckets.join(leaders, "band"), "buckets")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         pairs = stored(pairs, f"{name}-pairs")
         mine = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-        own = stored(contents.join(mine, "node"), f"{name}-strips")
-        both = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
-        return both.where(F.pandas_udf(similarity, "double")("x", "y") >= plan.similarity).select("a", "b")
-
-    edges = stored(linked(to_leaders(buckets, F.xxhash64("node")), "first"), "links")
+        mine = stored(texts.select("node", "row_id").join(mine, "node"), f"{name}-nodes")
+        own = rows.select("row_id", "doc_id", "text_hash", "signature").join(mine, "row_id")
+        own = stored(own, f"{name}-signatures")
+        sketch = own.select("node", "signature")
+        both = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
+        judged = stored(both.select("a", "b", F.pandas_udf(agreement, "double")("x", "y").alias("s")), f"{name}-judged")
+        clear = judged.where(F.col("s") >= plan.similarity + plan.margin).select("a", "b")
+        unclear = judged.where(
+            (F.col("s") < plan.similarity + plan.margin) & (F.col("s") >= plan.similarity - plan.margin)
+        ).select("a", "b")
+        need = unclear.select("a").union(unclear.select("b")).distinct().withColumnRenamed("a", "node")
+        need = own.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).join(need, "node")
+        found = _slim(docs).join(
+            need, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        )
+        contents = stored(strip_sets(found, plan).dropDuplicates(["node"]), f"{name}-strips")
+        both = unclear.join(contents.toDF("a", "x"), "a").join(contents.toDF("b", "y"), "b")
+        exact = both.where(F.pandas_udf(similarity, "double")("x", "y") >= plan.similarity).select("a", "b")
+        return clear.union(exact)
+
+    met = shared.where("node <> leader.node").groupBy("node").agg(F.min("leader").alias("leader"))
+    edges = stored(linked(met.select(F.col("node").alias("a"), F.col("leader.node").alias("b")), "first"), "links")
     found = stored(components(edges), "classes")
     # Buckets whose texts are still in several classes, with two orders of their own.
-    named = buckets.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    torn = named.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    torn = stored(named.join(torn.select("band"), "band"), "torn")
-    again = to_leaders(torn, F.xxhash64("node", "band"), "root").union(
-        to_leaders(torn, F.xxhash64("band", "node", F.lit(1)), "root")
+    named = shared.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    named = stored(named, "named")
+    torn = named.groupBy("band").agg(
+        F.min("root").alias("lo"),
+        F.max("root").alias("hi"),
+        *[F.min(F.struct(_order(*o).alias("o"), "node", "root")).alias(f"l{i}") for i, o in enumerate((("node", "band"), ("band", "node")))],
     )
-    more = stored(linked(again.distinct(), "second"), "links")
+    torn = named.join(torn.where("lo <> hi"), "band")
+    again = [
+        torn.where(F.col("root") != F.col(f"l{i}.root")).select(F.col("node").alias("a"), F.col(f"l{i}.node").alias("b"))
+        for i in range(2)
+    ]
+    more = stored(linked(again[0].union(again[1]).distinct(), "second"), "links")
     if more.isEmpty():
         return found
     return components(edges.union(more))
@@ -206,7 +258,7 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     Texts are compared in lower case. Texts without words, null ones among them, are equal to each
     other. A null id comes last in a class. Other columns of the input are not carried."""
     rows = stored(sign(docs, plan), "signed")
-    found = classes(rows.select("row_id", "node", "bands", "strips"), plan)
+    found = classes(docs, rows, plan)
     ids = rows.select("row_id", "doc_id", "text_hash", "node")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id"))
     nodes = ids.groupBy("node").agg(best.alias("best"), F.count(F.lit(1)).alias("n"))
