@@ -123,10 +123,11 @@ def mix(
 
 def sample(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), limit: float = 3.0, seed: str = "mix") -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with all their columns."""
-    columns = docs.columns
-    named = docs.withColumn("_identity", F.md5(F.to_json(F.struct(*columns)).cast("binary")))
-    taken = mix(named, weights, limit, seed, F.col("_identity"))
-    taken = taken.groupBy(F.col("identity").alias("_identity")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    # The input's columns stay in a struct, so that no name can clash.
+    row = F.struct(*docs.columns)
+    named = docs.select("doc_id", "source", "text", row.alias("row"), F.md5(F.to_json(row).cast("binary")).alias("identity"))
+    taken = mix(named, weights, limit, seed, F.col("identity"))
+    taken = taken.groupBy("identity").agg(F.sum("copies").alias("copies")).where("copies > 0")
     # Identical rows are one here, with the copies of all of them.
-    once = named.join(taken, "_identity").dropDuplicates(["_identity"])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*columns)
+    once = named.select("row", "identity").join(taken, "identity").dropDuplicates(["identity"])
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -276,7 +276,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 def dedupe(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """The rows of docs without near copies: one of each class stays, with all its columns."""
-    kept = near_duplicates(docs, plan).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    hashed = docs.withColumn("_hash0", F.xxhash64(F.col("text").cast("string")))
-    joined = hashed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash0") == F.col("_hash")))
-    return joined.dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    kept = near_duplicates(docs, plan).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    # The input's columns stay in a struct, so that no name can clash.
+    whole = docs.select(F.struct("*").alias("row")).withColumn("hash", F.xxhash64(F.col("row.text").cast("string")))
+    joined = whole.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")))
+    return joined.dropDuplicates(["kept_id", "kept_hash"]).select("row.*")
