@@ -112,11 +112,12 @@ STEPS["valid_seg"] = segmented(
     "averages", "is_valid_speed AND latitude IS NOT NULL AND longitude IS NOT NULL"
 )
 STEPS["legs"] = f"""
-SELECT *, coalesce({km("latitude", "longitude", "was_lat", "was_lon")}, 0.0::DOUBLE) AS leg
+SELECT *, CAST(round(coalesce({km("latitude", "longitude", "was_lat", "was_lon")}, 0.0::DOUBLE) * 1e9) AS BIGINT) AS leg
 FROM (SELECT *, lag(latitude) OVER w AS was_lat, lag(longitude) OVER w AS was_lon
       FROM valid_seg WINDOW w AS {TRIP})"""
 STEPS["moving"] = f"""
-SELECT * EXCLUDE (was_lat, was_lon, leg), round(sum(leg) OVER {TRIP}, 3) AS total_distance_km FROM legs"""
+SELECT * EXCLUDE (was_lat, was_lon, leg, um), CAST({half_up("um", "1000000")} AS BIGINT) / 1000.0::DOUBLE AS total_distance_km
+FROM (SELECT *, CAST(sum(leg) OVER {TRIP} AS BIGINT) AS um FROM legs)"""
 STEPS["ringed"] = f"""
 SELECT *, CASE WHEN d > 10 AND d <= 15 THEN 1 WHEN d <= 10 THEN 0 END AS marker,
   CASE WHEN speed > 50 THEN 1 ELSE 0 END AS above
@@ -384,6 +385,8 @@ SELECT taxi_id, min(event_s) AS session_start, max(event_s) + 180 AS session_end
   FROM (SELECT *, event_s - lag(event_s) OVER (PARTITION BY taxi_id ORDER BY event_s, seq) AS gap FROM pings))
 GROUP BY taxi_id, s""")
 define("fleet_metrics_rows", f"SELECT seq, taxi_id, event_s, processed_at_utc_ms, {FLEET} FROM fleet")
+for cut_name, whole_name in (("propagate_cut", "propagate_5s"), ("processed_cut", "processed_stream"), ("fleet_cut", "fleet_metrics_rows")):
+    ORACLE[cut_name] = ORACLE[whole_name]
 define("fleet_metrics_seconds", f"""
 SELECT event_s, processed_at_utc_ms, {FLEET} FROM fleet
 QUALIFY row_number() OVER (PARTITION BY event_s ORDER BY seq DESC) = 1""")
@@ -455,7 +458,7 @@ define("taxi_speed_trend", f"{TREND}, speed AS speed_in_km_per_hour FROM points"
 define("taxi_avg_speed_trend", f"{TREND}, avg_speed AS average_speed_in_km_per_hour FROM points")
 define("taxi_latency_trend", f"""{TREND},
   (time_ms - CAST(sent_at_utc_ms AS BIGINT)) / 1000.0::DOUBLE AS event_latency_in_seconds FROM points""")
-define("processed_rescan", "SELECT * EXCLUDE (ms) FROM messages ORDER BY processed_at_utc_ms, seq LIMIT 300000")
+define("processed_rescan", "SELECT * EXCLUDE (ms) FROM messages")
 define("latency_per_message", f"""
 SELECT record_number, latency_s, {ZONE} AS zone, processed_at FROM (
   SELECT row_number() OVER (ORDER BY processed_at_utc_ms, seq) AS record_number, ms,

@@ -1,4 +1,4 @@
-"""The whole batch chain: same rows as the row-at-a-time chain, one exchange, any chunking."""
+"""The whole batch chain: same rows as the row-at-a-time chain, two exchanges, any chunking."""
 
 import math
 from types import SimpleNamespace
@@ -35,44 +35,51 @@ def test_batch_equals_one_by_one(spark, seed, limit):
         assert [r[n] for n in NAMES] == want[r.seq][: len(NAMES)], r
 
 
+def expected_fleet(rows, results, interval=5):
+    """Fleet rows by definition: every taxi's latest state, counted anew for each row.
+
+    The bases of the changes are found from the list of event times first: the first row, then each
+    row at least the interval later than the base before it."""
+    order = sorted(results)
+    second = {r[0]: r[2] for r in rows}
+    bases = [order[0]]
+    for seq in order:
+        if second[seq] - second[bases[-1]] >= interval:
+            bases.append(seq)
+    label = {r[0]: (r[1], r[5]) for r in rows}
+    latest, kilometres, totals = {}, {}, {}
+    for seq in order:
+        taxi, status = label[seq]
+        kilometres[taxi] = results[seq][3]
+        if status in ("active", "end"):
+            latest[taxi] = (status, results[seq][0])
+        moving = [v for s, v in latest.values() if s == "active"]
+        totals[seq] = (len(moving), len(latest) - len(moving), sum(v > 0.1 for v in moving), sum(kilometres.values()))
+    changes = {}
+    for i, base in enumerate(bases[1:], 1):
+        was = totals[bases[i - 1]] if i > 1 else (0, 0, 0, 0.0)
+        changes[base] = tuple(100 * (n - w) / w if w else 0.0 for n, w in zip(totals[base], was))
+    shown, now = {}, (0.0, 0.0, 0.0, 0.0)
+    for seq in order:
+        now = changes.get(seq, now)
+        shown[seq] = (totals[seq], now)
+    return shown
+
+
 @pytest.mark.parametrize("limit", [10_000, 50])
-def test_fleet_equals_loop(spark, limit):
+def test_fleet_equals_definition(spark, limit):
     rows = random_pings(700, 7)
     cfg = Settings(max_group_rows=limit)
     df = spark.createDataFrame(rows, PING)
     got = {r.seq: r for r in fleet.fleet_rows(moving(ordered_pings(df, cfg), cfg), cfg).collect()}
-    status = {r[0]: (r[1], r[2], r[5]) for r in rows}
-    active, ended, transit, metres = set(), set(), set(), {}
-    base_time, base, change = None, (0, 0, 0, 0.0), (0.0, 0.0, 0.0, 0.0)
-    results = one_by_one(rows)
-    assert set(got) == set(results)
-
-    def percent(now, was):
-        return 0.0 if was == 0 else (now - was) / was * 100
-
-    for seq in sorted(results):
-        taxi, second, state = status[seq]
-        speed, total = results[seq][0], results[seq][3]
-        if state == "active":
-            active.add(taxi)
-            ended.discard(taxi)
-            (transit.add if speed > 0.1 else transit.discard)(taxi)
-        elif state == "end":
-            ended.add(taxi)
-            active.discard(taxi)
-            transit.discard(taxi)
-        metres[taxi] = total
-        now = (len(active), len(ended), len(transit), sum(metres.values()))
-        if base_time is None:
-            base_time = second
-        if second - base_time >= 5:
-            change = tuple(percent(n, w) for n, w in zip(now, base))
-            base, base_time = now, second
+    want = expected_fleet(rows, one_by_one(rows))
+    assert set(got) == set(want)
+    for seq, (totals, changes) in want.items():
         r = got[seq]
-        assert (r.active_taxis_count, r.trip_ended_taxis_count, r.in_transit_taxis_count) == now[:3]
-        assert r.total_distance_km == pytest.approx(now[3], abs=0.0051)
+        assert (r.active_taxis_count, r.trip_ended_taxis_count, r.in_transit_taxis_count) == totals[:3]
+        assert r.total_distance_km == pytest.approx(totals[3], abs=0.0051)
         shown = (r.active_taxis_change, r.trip_ended_taxis_change, r.in_transit_taxis_change, r.total_distance_change)
-        assert shown == pytest.approx(change, abs=0.011), seq
+        assert shown == pytest.approx(changes, abs=0.011), seq
 
 
 def exchanges(df):
@@ -80,10 +87,11 @@ def exchanges(df):
     return [line.strip(" :+-") for line in plan.splitlines() if " Exchange " in f" {line.strip(' :+-')} "]
 
 
-def test_one_exchange_and_no_single_partition(spark):
+def test_exchanges_and_no_single_partition(spark):
     rows = spark.createDataFrame(random_pings(50, 1), PING)
     plain = exchanges(process(rows))
-    assert len(plain) == 1 and "hashpartitioning(taxi_id" in plain[0], plain
+    # One for the arriving rows, one for the fewer rows that the down-sampling leaves.
+    assert len(plain) == 2 and all("hashpartitioning(taxi_id" in p for p in plain), plain
     plan = process(rows)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "ArrowEvalPython" not in plan
     cut = exchanges(process(rows, Settings(max_group_rows=10)))

@@ -138,7 +138,7 @@ def test_messages(spark, pings):
 
 
 def test_settings():
-    for bad in ({"file_limit": 0}, {"file_limit": 10358}, {"replay_mode": "x"}, {"replay_speed": 1.2}, {"refresh_interval_s": 11}):
+    for bad in ({"file_limit": 0}, {"bench_max_rows": 0}, {"replay_mode": "x"}, {"replay_speed": 1.2}, {"refresh_interval_s": 11}):
         with pytest.raises(ValueError):
             Settings(**bad)
     cfg = Settings.from_env({"DATA_REPLAY_MODE": "SIMULATED", "SPEED_THRESHOLD_KMPH": "60", "GEOFENCE_RANGE_KM": "20"})

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackflow.operators.ordered import CHUNK, WHOLE, Ordered
+from trackflow.operators.ordered import CHUNK, WHOLE, Ordered, pick
 
 
 def table(seed, n=400):
@@ -84,3 +85,38 @@ def test_global_order(spark, limit):
     df = spark.range(200).select((F.col("id") * 5).alias("seq"), F.col("id").alias("v"))
     rows = Ordered.globally(df, "seq", limit).sum_since(None, s=F.col("v")).rows().orderBy("seq")
     assert [r.s for r in rows.collect()] == [i * (i + 1) // 2 for i in range(200)]
+
+
+def greedy(times, interval):
+    kept, last = [], None
+    for i, t in enumerate(times):
+        if last is None or t - last >= interval:
+            kept.append(i)
+            last = t
+    return kept
+
+
+@pytest.mark.parametrize("limit", [100_000, 700])
+def test_late_stretch(spark, limit):
+    """A first ping from the future, then a long stretch of ordinary ones, then later ones again."""
+    times = [1_000_000, *range(0, 9_000, 1), *range(999_000, 1_001_500)]
+    df = spark.createDataFrame([(i, "k", t) for i, t in enumerate(times)], "seq bigint, key string, t bigint")
+    rows = Ordered.by_key(df, "key", "seq", limit).sample_every(5, "t").rows()
+    assert sorted(r.seq for r in rows.collect()) == greedy(times, 5)
+
+
+def test_uneven_density_is_cut_evenly(spark):
+    """One early row and many dense ones far later, by key and over all rows."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") == 0, F.lit(0)).otherwise(F.col("id") + 10**12).alias("seq"), F.lit("k").alias("key")
+    )
+    for ordered in (Ordered.by_key(df, "key", "seq", 2000), Ordered.globally(df, "seq", 2000)):
+        sizes = [r["count"] for r in ordered.df.groupBy(CHUNK).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 2000 and len(sizes) >= 10
+
+
+def test_dense_key_takes_linear_time():
+    """The next row to keep is found by bisection, not by a look at every row before it."""
+    times = np.arange(2_000_000)
+    kept, last = pick(times, None, 5)
+    assert kept == list(range(0, 2_000_000, 5)) and last == 1_999_995

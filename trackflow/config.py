@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 # Fixed values.
-MAX_FILES = 10357
+FLEET_SIZE = 10357  # taxis of the published data set
 REPLAY_MODES = ("actual", "simulated")
 REPLAY_SPEEDS = (1.0, 1.5, 2.0, 2.5, 3.0)
 ACTIVE, INACTIVE, END = "active", "inactive", "end"
@@ -45,13 +45,14 @@ class Settings:
     stationary_kmph: float = 0.1
     in_transit_kmph: float = 0.1
     rebaseline_s: int = 5
-    file_limit: int = MAX_FILES
+    file_limit: int | None = None  # only so many files are cleaned; none: all
+    fleet_size: int = FLEET_SIZE
     replay_mode: str = "actual"
     replay_speed: float = 1.0
     trend_window_s: int = 300
     refresh_interval_s: int = 1
     bench_window_ms: int = 60_000
-    bench_max_rows: int = 300_000
+    bench_max_rows: int | None = None  # only so many messages are analysed; none: all
     # A key with more rows than this is cut into ordered chunks (operators/ordered.py).
     max_group_rows: int = 2_000_000
     # Forget a silent taxi's streaming state after this long; 0 keeps it until the trip ends.
@@ -62,8 +63,9 @@ class Settings:
     fleet_topic: str = ""
 
     def __post_init__(self) -> None:
-        if not 1 <= self.file_limit <= MAX_FILES:
-            raise ValueError(f"file_limit must be between 1 and {MAX_FILES}")
+        for name in ("file_limit", "bench_max_rows"):
+            if getattr(self, name) is not None and getattr(self, name) < 1:
+                raise ValueError(f"{name} must be positive")
         if self.replay_mode not in REPLAY_MODES:
             raise ValueError(f"replay_mode must be one of {REPLAY_MODES}")
         if self.replay_speed not in REPLAY_SPEEDS:
@@ -77,7 +79,7 @@ class Settings:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], **overrides) -> "Settings":
-        kinds = {f.name: type(f.default) for f in fields(cls)}
+        kinds = {f.name: int if f.default is None else type(f.default) for f in fields(cls)}
         values = {
             name: kinds[name](env[var].lower() if name == "replay_mode" else env[var])
             for name, var in ENV_NAMES.items()

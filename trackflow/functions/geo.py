@@ -10,6 +10,12 @@ from trackflow.config import ACTIVE, DEFAULTS, END, INACTIVE, Settings
 EARTH_RADIUS_KM = 6371  # fixed value
 
 
+# The same body for SQL text.
+_LAT, _LON = "sin(radians(lat2 - lat1) / 2)", "sin(radians(lon2 - lon1) / 2)"
+_CHORD = f"({_LAT} * {_LAT} + cos(radians(lat1)) * cos(radians(lat2)) * {_LON} * {_LON})"
+_HAVERSINE = f"atan2(sqrt({_CHORD}), sqrt(1 - {_CHORD})) * {2 * EARTH_RADIUS_KM}"
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
@@ -22,8 +28,7 @@ def register_sql(spark: SparkSession) -> None:
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION haversine_km"
         "(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) RETURNS DOUBLE RETURN"
-        f" 2 * {EARTH_RADIUS_KM} * asin(sqrt(power(sin(radians(lat2 - lat1) / 2), 2)"
-        " + cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon1) / 2), 2)))"
+        f" {_HAVERSINE}"
     )
 
 

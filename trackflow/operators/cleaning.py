@@ -24,11 +24,10 @@ def taxi_from_file(file: Column) -> Column:
 
 def limit_files(raw: DataFrame, limit: int) -> DataFrame:
     """Rows of the first ``limit`` files by name; files without rows are never counted."""
-    if not 1 <= limit <= DEFAULTS.file_limit:
-        raise ValueError(f"file limit must be between 1 and {DEFAULTS.file_limit}")
-    # At most 10,357 names, so the list is always small enough to broadcast.
+    if limit < 1:
+        raise ValueError("file limit must be positive")
     chosen = raw.select("file").distinct().orderBy("file").limit(limit)
-    return raw.join(F.broadcast(chosen), "file", "left_semi")
+    return raw.join(chosen, "file", "left_semi")
 
 
 def sentinel_coords(raw: DataFrame) -> DataFrame:
@@ -67,7 +66,7 @@ def distinct_rows(marked: DataFrame) -> DataFrame:
 
 def clean(raw: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """Raw rows (four columns, file, line) to the cleaned trajectory table."""
-    limited = raw if cfg.file_limit >= DEFAULTS.file_limit else limit_files(raw, cfg.file_limit)
+    limited = raw if cfg.file_limit is None else limit_files(raw, cfg.file_limit)
     return distinct_rows(mark_trip_status(fill_and_parse(limited)))
 
 

@@ -118,6 +118,8 @@ def add_distance(rows: Ordered) -> Ordered:
             F.col("latitude"), F.col("longitude"), F.col("_prev.latitude"), F.col("_prev.longitude")
         ),
     )
-    rows = rows.add(_leg=F.coalesce(leg, F.lit(0.0))).drop("_prev")
-    rows = rows.sum_since(is_end(), _km=F.col("_leg"))
-    return rows.add(total_distance_km=F.round("_km", 3)).drop("_leg", "_km")
+    # Legs are whole micrometres, so that their sums do not depend on how rows are grouped.
+    legs = F.round(F.coalesce(leg, F.lit(0.0)) * 1e9).cast("bigint")
+    rows = rows.add(_leg=legs).drop("_prev")
+    rows = rows.sum_since(is_end(), exact=True, _um=F.col("_leg"))
+    return rows.add(total_distance_km=half_up_ratio(F.col("_um"), F.lit(1_000_000)) / 1000.0).drop("_leg", "_um")

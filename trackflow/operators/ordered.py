@@ -3,19 +3,21 @@
 Every stateful operator of the pipeline needs one of three things from the earlier rows of its
 key: the last value of some kind, a running sum since the last reset, or a greedy down-sampling.
 With ordinary keys these are plain windows over one hash exchange. A key with more rows than
-``max_group_rows`` is cut into chunks of its order column (an integer unique within the key, so a
-chunk of width 2**s holds at most 2**s rows). Rows are then exchanged by (key, chunk); each chunk is
+``max_group_rows`` is cut into chunks of its order column, and a sequence over all rows always is.
+The bounds of chunks are measured quantiles of the order column (integers unique within the key), so
+chunks are even however uneven the density is. Rows are then exchanged by (key, chunk); each chunk is
 computed on its own and reduced to one summary row, the summaries are scanned per key, and what
 flows into a chunk comes back by an equi-join on (key, chunk). Results are the same either way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +26,22 @@ from trackflow.session import cut
 
 CHUNK = "_chunk"
 WHOLE = -1  # chunk number of a key that is not cut
-MAX_SPLIT_KEYS = 1_000_000  # upper bound on the rows of the broadcast table of keys to cut
-BLOCK = 512  # usual number of rows folded together by sample_every
+MAX_SPLIT_KEYS = 1_000_000  # upper bound on the keys to cut; there are at most twice as many bounds
+STRIDE = 64  # bounds are searched in two steps of about this many
+
+
+def _quantiles(order: str, pieces: int) -> Column:
+    """Bounds between so many even pieces of the order column; one more row per hundred at most."""
+    shares = [i / pieces for i in range(1, pieces)]
+    return F.percentile_approx(F.col(order).cast("bigint"), shares, 100 * pieces)
+
+
+def _chunk(order: str, bounds: Column) -> Column:
+    """How many of the sorted bounds lie below the order value."""
+    value = F.col(order).cast("bigint")
+    coarse = F.filter(bounds, lambda x, i: (i % STRIDE == 0) & (x < value))
+    begin = F.greatest(F.size(coarse) - 1, F.lit(0)) * STRIDE
+    return (begin + F.size(F.filter(F.slice(bounds, begin + 1, STRIDE), lambda x: x < value))).cast("bigint")
 
 
 class Ordered:
@@ -40,36 +56,37 @@ class Ordered:
     @classmethod
     def by_key(cls, df: DataFrame, key: str, order: str, max_group_rows: int) -> "Ordered":
         """Measure the keys (two columns, map-side combined) and cut those that are too large."""
-        sizes = df.groupBy(key).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")
-        )
+        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         total, top = sizes.agg(F.sum("_n"), F.max("_n")).first()
         if (top or 0) <= max_group_rows:
             return cls(df.withColumn(CHUNK, F.lit(WHOLE).cast("bigint")), [key], order, False)
-        # At most MAX_SPLIT_KEYS keys can exceed this, so the table below is safe to broadcast.
+        # At most MAX_SPLIT_KEYS keys can exceed this. Their pieces have about half of it, so there
+        # are at most 2 * total / limit bounds, and the table below is safe to broadcast.
         limit = max(max_group_rows, total // MAX_SPLIT_KEYS)
-        width = (F.col("_hi") - F.col("_lo") + 1) / F.col("_n") * F.lit(limit)
-        large = cut(
-            sizes.where(F.col("_n") > limit).select(
-                F.col(key).alias("_key"),
-                "_lo",
-                F.floor(F.log2(F.greatest(width, F.lit(1.0)))).cast("int").alias("_shift"),
-            )
+        pieces = -(-2 * top // limit)
+        large = sizes.where(F.col("_n") > limit).select(F.col(key).alias("_key"))
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        bounds = df.join(F.broadcast(large), same, "left_semi").groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"), _quantiles(order, pieces).alias("_bounds")
         )
-        chunk = F.expr(f"shiftright({order} - _lo, _shift)")
-        out = df.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left")
-        out = out.withColumn(CHUNK, F.coalesce(chunk, F.lit(WHOLE)).cast("bigint"))
-        return cls(out.drop("_key", "_lo", "_shift"), [key], order, True)
+        # A key with fewer rows than the largest needs only every so-manieth bound.
+        every = F.greatest(F.floor(F.lit(pieces) / F.ceil(2 * F.col("_n") / F.lit(limit))), F.lit(1))
+        kept = F.filter("_bounds", lambda x, i: (i + 1) % every == 0)
+        bounds = cut(bounds.select("_key", kept.alias("_bounds")))
+        out = df.join(F.broadcast(bounds), same, "left")
+        inside = F.when(F.col("_bounds").isNotNull(), _chunk(order, F.col("_bounds")))
+        out = out.withColumn(CHUNK, F.coalesce(inside, F.lit(WHOLE).cast("bigint")))
+        return cls(out.drop("_key", "_bounds"), [key], order, True)
 
     @classmethod
     def globally(cls, df: DataFrame, order: str, max_group_rows: int) -> "Ordered":
-        """One sequence over all rows, cut into chunks of the order column when it is long."""
-        n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order), F.max(order)).first()
-        chunk, large = F.lit(WHOLE).cast("bigint"), n > max_group_rows
-        if large:
-            shift = max(0, int(np.log2(max(1.0, (hi - lo + 1) / n * max_group_rows))))
-            chunk = F.expr(f"shiftright(cast({order} as bigint) - {lo}, {shift})")
-        return cls(df.withColumn(CHUNK, chunk), [], order, large, chunk)
+        """One sequence over all rows, in as many chunks as shuffles have partitions, or more."""
+        tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+        n = df.agg(F.count(F.lit(1))).first()[0]
+        pieces = max(tasks, -(-2 * n // max_group_rows))
+        bounds = df.agg(_quantiles(order, pieces)).first()[0] or [0]
+        chunk = _chunk(order, F.array(*[F.lit(int(b)).cast("bigint") for b in bounds]))
+        return cls(df.withColumn(CHUNK, chunk), [], order, True, chunk)
 
     def like(self, df: DataFrame) -> "Ordered":
         """The same key, order and chunks over a DataFrame derived from this one."""
@@ -208,32 +225,22 @@ class Ordered:
         """Keep rows at least ``interval`` seconds after the last kept one; greedy, in order.
 
         Rows where ``restart`` holds are always kept, and so is the next row after them. A
-        decision depends on the last decision, which no window expresses, so a fold decides over
-        short arrays: a row later than all before it by the interval is kept whatever came before,
-        and the rows are cut into separate folds of about ``BLOCK`` rows at such places.
+        decision depends on the last decision, which no window expresses: the rows of a task, in
+        the order of their chunks, stream through a step that carries the last kept time along.
         """
         mark = F.coalesce(restart, F.lit(False)) if restart is not None else F.lit(False)
         df = self.df.withColumn("_restart", mark)
         inflow = F.lit(None).cast("bigint")
         if self.cut_keys:
             df = self._attach(df, self._kept_before_chunks(df, interval, time))
-            inflow = F.col("_last")
-        before = self._window().rowsBetween(Window.unboundedPreceding, -1)
-        place = F.row_number().over(self._window())
-        gap = F.col(time) - F.max(time).over(before)
-        certain = F.coalesce(F.lag("_restart").over(self._window()), F.lit(True)) | (gap >= interval)
-        df = df.withColumns({"_place": place, "_certain": certain, "_last": inflow})
-        # A fold is named after the block of its last certain row, so it starts at a certain row.
-        upto = self._window().rowsBetween(Window.unboundedPreceding, 0)
-        block = F.expr(f"_place div {BLOCK}")
-        df = df.withColumn("_fold", F.last(F.when(F.col("_certain"), block), True).over(upto))
-        inner = [self.order, *[c for c in self.df.columns if c not in (self.order, CHUNK, *self.key)]]
-        folds = df.groupBy(*self.key, CHUNK, "_fold").agg(
-            F.sort_array(F.collect_list(F.struct(*inner, "_restart"))).alias("_rows"),
-            F.max(F.when(F.col("_place") == 1, F.col("_last"))).alias("_last"),
+            inflow = F.col("_last").cast("bigint")
+        names = self.df.columns
+        # The window brings the rows of a chunk together and in order.
+        df = df.select(
+            *names, "_restart", F.col(time).cast("bigint").alias("_time"), inflow.alias("_inflow"),
+            F.row_number().over(self._window()).alias("_place"),
         )
-        kept = folds.select(*self.key, CHUNK, F.inline(F.expr(_fold_sql(interval, time))))
-        return self.like(kept.drop("_restart"))
+        return self.like(df.mapInArrow(thin(names, interval), self.df.schema))
 
     def _kept_before_chunks(self, df: DataFrame, interval: int, time: str) -> DataFrame:
         keep = [*self.key, CHUNK]
@@ -256,19 +263,58 @@ class Ordered:
         return cut(carry)
 
 
-def _fold_sql(interval: int, time: str, piece: int = 256) -> str:
-    """Fold ``_rows`` to the kept ones; kept rows gather in pieces so that appending stays cheap."""
-    return f"""aggregate(
-        _rows,
-        named_struct('last', cast(_last as bigint), 'piece', slice(_rows, 1, 0),
-                     'pieces', slice(array(_rows), 1, 0)),
-        (a, x) -> CASE
-          WHEN x._restart OR a.last IS NULL OR x.{time} - a.last >= {interval} THEN named_struct(
-            'last', IF(x._restart, CAST(NULL AS bigint), CAST(x.{time} AS bigint)),
-            'piece', IF(size(a.piece) >= {piece}, array(x), concat(a.piece, array(x))),
-            'pieces', IF(size(a.piece) >= {piece}, concat(a.pieces, array(a.piece)), a.pieces))
-          ELSE a END,
-        a -> flatten(concat(a.pieces, array(a.piece))))"""
+def pick(times: np.ndarray, last: int | None, interval: int) -> tuple[list[int], int | None]:
+    """Places of the rows to keep among rows without a restart, and the last kept time.
+
+    Kept times rise, and no row before the last kept one is an interval later than it, so the next
+    one to keep is where the running maximum first gets there."""
+    kept: list[int] = []
+    if last is None and len(times):
+        kept, last = [0], int(times[0])
+    latest = np.maximum.accumulate(times)
+    while True:
+        at = 0 if last is None else int(np.searchsorted(latest, last + interval))
+        if at >= len(times):
+            return kept, last
+        kept.append(at)
+        last = int(times[at])
+
+
+def thin(names: list[str], interval: int) -> Callable:
+    """Filter the ordered rows of chunks, each of which begins at place 1, in linear time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: int | None = None
+        for batch in batches:
+            place = batch.column("_place").to_numpy(zero_copy_only=False)
+            restart = batch.column("_restart").to_numpy(zero_copy_only=False)
+            inflow = batch.column("_inflow")
+            time = batch.column("_time")
+            # A row without a time is kept only where any row would be; it leaves no time behind.
+            timed = time.is_valid().to_numpy(zero_copy_only=False)
+            times = time.fill_null(0).to_numpy(zero_copy_only=False)
+            keep = np.zeros(batch.num_rows, bool)
+            alone = restart | ~timed
+            cuts = np.unique(np.concatenate((np.flatnonzero(place == 1), np.flatnonzero(alone), np.flatnonzero(alone) + 1)))
+            cuts = np.append(cuts[cuts < len(place)], len(place))
+            lo = 0
+            for hi in cuts.tolist():
+                if hi == lo:
+                    continue
+                if place[lo] == 1:
+                    last = inflow[lo].as_py()
+                if restart[lo]:
+                    keep[lo], last = True, None
+                elif not timed[lo]:
+                    keep[lo] = last is None
+                else:
+                    kept, last = pick(times[lo:hi], last, interval)
+                    keep[lo + np.array(kept, np.int64)] = True
+                lo = hi
+            if keep.any():
+                yield batch.select(names).filter(pa.array(keep))
+
+    return run
 
 
 def chunk_step(names: list[str], order: str, interval: int) -> Callable:
@@ -285,9 +331,7 @@ def chunk_step(names: list[str], order: str, interval: int) -> Callable:
         restarts = np.flatnonzero(rows["_restart"].to_numpy(dtype=bool))
         out, upto, then = None, [], []
         if len(restarts):
-            for moment in t[restarts[-1] + 1 :].tolist():
-                if out is None or moment - out >= interval:
-                    out = moment
+            out = pick(t[restarts[-1] + 1 :], None, interval)[1]
         else:
             t = np.unique(np.maximum.accumulate(t))
             follower, final = np.searchsorted(t, t + interval), t.copy()

@@ -30,7 +30,7 @@ def fleet_snapshot(latest: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     """All taxis by id with the run's settings."""
     return latest.withColumns(
         {
-            "total_taxi_fleet_size": F.lit(cfg.file_limit),
+            "total_taxi_fleet_size": F.lit(cfg.fleet_size),
             "data_replay_mode": F.lit(cfg.replay_mode),
             "data_replay_speed": F.lit(cfg.replay_speed),
         }

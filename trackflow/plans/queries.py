@@ -37,6 +37,10 @@ QUERIES: dict[str, Query] = {}
 
 RECEIVED_MS = 1_704_067_200_000  # stands for the clock, so that results repeat
 PING = ["seq", "taxi_id", "event_s", "latitude", "longitude", "trip_status"]
+PROCESSED = [
+    *PING, "sent_at_utc_ms", "processed_at_utc_ms", "speed", "is_valid_speed", "avg_speed",
+    "total_distance_km", "distance_from_forbidden_city_km", "is_in_range",
+]
 
 
 def query(fn: Query) -> Query:
@@ -287,10 +291,7 @@ def all_alerts(spark, sf_dir):
 
 @query
 def processed_stream(spark, sf_dir):
-    return _processed(spark, sf_dir).select(
-        *PING, "sent_at_utc_ms", "processed_at_utc_ms", "speed", "is_valid_speed", "avg_speed",
-        "total_distance_km", "distance_from_forbidden_city_km", "is_in_range",
-    )
+    return _processed(spark, sf_dir).select(*PROCESSED)
 
 
 @query
@@ -481,6 +482,28 @@ def taxi_latency_trend(spark, sf_dir):
     return trends.taxi_latency_trend(points_taxi(spark, sf_dir))
 
 
+# -- the same with keys cut into many chunks -----------------------------------------------
+
+CUT = Settings(max_group_rows=40)
+
+
+@query
+def propagate_cut(spark, sf_dir):
+    pings = chain.ordered_pings(load_pings(spark, sf_dir), CUT)
+    return motion.downsample(motion.dedup_same_timestamp(pings), CUT.emit_interval_s).rows().select(*PING)
+
+
+@query
+def processed_cut(spark, sf_dir):
+    return chain.process(load_pings(spark, sf_dir), CUT).select(*PROCESSED)
+
+
+@query
+def fleet_cut(spark, sf_dir):
+    pings = chain.ordered_pings(load_pings(spark, sf_dir), CUT)
+    return fleet.fleet_rows(chain.moving(pings, CUT), CUT)
+
+
 # -- benchmark analysis --------------------------------------------------------------------
 
 

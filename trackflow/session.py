@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only in local mode with nothing configured."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only in local mode with nothing set."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local($|\[)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="trackflow-")
     if not sc.getCheckpointDir():
@@ -21,6 +22,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small intermediate result."""
+    """Reliable checkpoint in the shared folder, of rows that several steps read."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

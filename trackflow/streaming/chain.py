@@ -58,7 +58,7 @@ class Memory:
     speed_count: int = 0
     leg_lat: float | None = None
     leg_lon: float | None = None
-    total_km: float = 0.0
+    total_um: int = 0
     warned: bool = False
     alerted: bool = False
     fleet_active: int = 0
@@ -122,11 +122,11 @@ def average(m: Memory, speed: float | None, status: str) -> float:
 def travel(m: Memory, lat: float, lon: float, status: str) -> float:
     """Kilometres of the trip so far."""
     if m.leg_lat is not None:
-        m.total_km += haversine(lat, lon, m.leg_lat, m.leg_lon)
-    total, m.leg_lat, m.leg_lon = m.total_km, lat, lon
+        m.total_um += math.floor(haversine(lat, lon, m.leg_lat, m.leg_lon) * 1e9 + 0.5)
+    total, m.leg_lat, m.leg_lon = m.total_um, lat, lon
     if status == END:
-        m.leg_lat, m.leg_lon, m.total_km = None, None, 0.0
-    return half_up(total, 3)
+        m.leg_lat, m.leg_lon, m.total_um = None, None, 0
+    return (2 * total + 1_000_000) // 2_000_000 / 1000.0
 
 
 def raise_alerts(m: Memory, km: float, speed: float, status: str, cfg: Settings) -> tuple[bool, bool]:
