@@ -33,3 +33,17 @@ def components(edges: DataFrame) -> DataFrame:
             break
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(edges.select("b", "b").distinct())
+
+
+def forest_roots(links: DataFrame) -> DataFrame:
+    """(node, root) of every node of links (a, b) in which each a has one b and there is no cycle.
+
+    Pointers are doubled until every one leads to a root, so a path of n links takes log2 n rounds."""
+    up = stored(links.select(F.col("a").alias("node"), F.col("b").alias("root")), "forest")
+    while True:
+        on = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        far = up.join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        far = stored(far, "forest")
+        up = far.drop("moved")
+        if far.where("moved").isEmpty():
+            return up.union(up.select("root", "root").distinct())

@@ -26,11 +26,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackflow.llm import text as tx
-from trackflow.llm.components import components
+from trackflow.llm.components import components, forest_roots
 from trackflow.llm.shared import stored
 
 
@@ -191,64 +191,67 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def _order(*columns: str) -> Column:
-    return F.xxhash64(*columns)
+def linked(docs: DataFrame, texts: DataFrame, pairs: DataFrame, plan: Plan, name: str) -> DataFrame:
+    """Those of the pairs (a, b) of nodes that are similar enough, stored."""
+    sketch = texts.select("node", "signature")
+    both = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
+    judged = stored(both.select("a", "b", F.pandas_udf(agreement, "double")("x", "y").alias("s")), f"{name}-judged")
+    sure, maybe = plan.similarity + plan.margin, plan.similarity - plan.margin
+    clear = judged.where(F.col("s") >= sure).select("a", "b")
+    unclear = judged.where((F.col("s") < sure) & (F.col("s") >= maybe)).select("a", "b")
+    need = unclear.select("a").union(unclear.select("b")).distinct().withColumnRenamed("a", "node")
+    need = texts.select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).join(need, "node")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    contents = stored(strip_sets(_slim(docs).join(need, same), plan).dropDuplicates(["node"]), f"{name}-strips")
+    both = unclear.join(contents.toDF("a", "x"), "a").join(contents.toDF("b", "y"), "b")
+    exact = both.where(F.pandas_udf(similarity, "double")("x", "y") >= plan.similarity).select("a", "b")
+    return stored(clear.union(exact), f"{name}-links")
 
 
 def classes(docs: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
     """(node, root) of the texts linked to another one; rows: the stored result of sign(docs)."""
-    texts = rows.groupBy("node").agg(F.min("row_id").alias("row_id"), F.first("bands").alias("bands"))
+    texts = rows.groupBy("node").agg(
+        F.min(F.struct("row_id", "doc_id", "text_hash")).alias("first"),
+        F.first("bands").alias("bands"),
+        F.first("signature").alias("signature"),
+    )
     texts = stored(texts, "texts")
     buckets = texts.select("node", F.explode("bands").alias("band"))
-    leader = F.min(F.struct(_order("node").alias("o"), "node"))
+    leader = F.min(F.struct(F.xxhash64("node").alias("o"), "node"))
     leaders = buckets.groupBy("band").agg(leader.alias("leader"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     leaders = leaders.where("lo <> hi").select("band", "leader")
     # Only buckets of several texts go on.
     shared = stored(buckets.join(leaders, "band"), "buckets")
 
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stored(pairs, f"{name}-pairs")
-        mine = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-        mine = stored(texts.select("node", "row_id").join(mine, "node"), f"{name}-nodes")
-        own = rows.select("row_id", "doc_id", "text_hash", "signature").join(mine, "row_id")
-        own = stored(own, f"{name}-signatures")
-        sketch = own.select("node", "signature")
-        both = pairs.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
-        judged = stored(both.select("a", "b", F.pandas_udf(agreement, "double")("x", "y").alias("s")), f"{name}-judged")
-        clear = judged.where(F.col("s") >= plan.similarity + plan.margin).select("a", "b")
-        unclear = judged.where(
-            (F.col("s") < plan.similarity + plan.margin) & (F.col("s") >= plan.similarity - plan.margin)
-        ).select("a", "b")
-        need = unclear.select("a").union(unclear.select("b")).distinct().withColumnRenamed("a", "node")
-        need = own.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).join(need, "node")
-        found = _slim(docs).join(
-            need, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-        )
-        contents = stored(strip_sets(found, plan).dropDuplicates(["node"]), f"{name}-strips")
-        both = unclear.join(contents.toDF("a", "x"), "a").join(contents.toDF("b", "y"), "b")
-        exact = both.where(F.pandas_udf(similarity, "double")("x", "y") >= plan.similarity).select("a", "b")
-        return clear.union(exact)
-
+    # A leader comes before the text in the common order, so links are a forest.
     met = shared.where("node <> leader.node").groupBy("node").agg(F.min("leader").alias("leader"))
-    edges = stored(linked(met.select(F.col("node").alias("a"), F.col("leader.node").alias("b")), "first"), "links")
-    found = stored(components(edges), "classes")
+    links = linked(docs, texts, met.select(F.col("node").alias("a"), F.col("leader.node").alias("b")), plan, "first")
+    found = forest_roots(links)
+
     # Buckets whose texts are still in several classes, with two orders of their own.
     named = shared.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     named = stored(named, "named")
+    orders = (("node", "band"), ("band", "node"))
     torn = named.groupBy("band").agg(
         F.min("root").alias("lo"),
         F.max("root").alias("hi"),
-        *[F.min(F.struct(_order(*o).alias("o"), "node", "root")).alias(f"l{i}") for i, o in enumerate((("node", "band"), ("band", "node")))],
+        *[F.min(F.struct(F.xxhash64(*o).alias("o"), "node", "root")).alias(f"l{i}") for i, o in enumerate(orders)],
     )
     torn = named.join(torn.where("lo <> hi"), "band")
-    again = [
-        torn.where(F.col("root") != F.col(f"l{i}.root")).select(F.col("node").alias("a"), F.col(f"l{i}.node").alias("b"))
-        for i in range(2)
-    ]
-    more = stored(linked(again[0].union(again[1]).distinct(), "second"), "links")
+    again = F.explode(F.array("l0", "l1")).alias("l")
+    again = torn.select("node", "root", again).where("root <> l.root").select(
+        F.col("node").alias("a"), F.col("l.node").alias("b")
+    )
+    more = linked(docs, texts, again.distinct(), plan, "second")
     if more.isEmpty():
         return found
-    return components(edges.union(more))
+    # Classes that these links join, by their roots.
+    ends = more.join(found.toDF("a", "ra"), "a", "left").join(found.toDF("b", "rb"), "b", "left")
+    merged = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    lone = more.select("a").union(more.select("b")).distinct().toDF("node").join(found, "node", "left_anti")
+    every = found.unionByName(lone.select("node", F.col("node").alias("root")))
+    merged = merged.toDF("root", "top")
+    return every.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
