@@ -308,6 +308,29 @@ def define(name: str, final: str) -> None:
     ORACLE[name] = sql(final)
 
 
+STEPS["schedule"] = """
+SELECT batch_s, coalesce(sum(messages) OVER (ORDER BY batch_s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier,
+  1704067200000 + (batch_s - min(batch_s) OVER ()) * 1000 AS sent_at_utc_ms
+FROM batches"""
+STEPS["sent"] = """
+SELECT CAST(earlier + row_number() OVER (PARTITION BY batch_s ORDER BY taxi_id NULLS FIRST, trip_status, longitude, latitude) AS BIGINT) AS seq,
+  taxi_id, timestamp, longitude, latitude, batch_s AS event_s, trip_status, sent_at_utc_ms
+FROM cleaned JOIN schedule ON epoch_us(CAST(timestamp AS TIMESTAMP)) // 1000000 = batch_s"""
+
+
+def over_sent(final: str) -> str:
+    """A query of the chain with the sent pings in place of the stand-in's."""
+    kept = dict(STEPS)
+    for name, text in kept.items():
+        if name not in ("raw", "marked", "cleaned", "batches", "schedule", "sent"):
+            STEPS[name] = re.sub(r"\b(FROM|JOIN)(\s+)pings\b", r"\1\2sent", text)
+    query = sql(final)
+    STEPS.update(kept)
+    return query
+
+
+define("cleaned_pings", "SELECT * FROM sent")
+define("cleaned_messages", "SELECT CAST(taxi_id AS VARCHAR) AS key, seq, taxi_id, timestamp, longitude, latitude, trip_status, sent_at_utc_ms FROM sent")
 define("clean_pings", "SELECT * FROM cleaned")
 define("clean_sentinel_coords", f"SELECT file, line, {COORDS} FROM raw")
 define("trip_status_mark", "SELECT taxi_id, file, line, trip_status FROM marked")
@@ -329,7 +352,7 @@ define("emit_messages", f"""
 SELECT CAST(taxi_id AS VARCHAR) AS key, taxi_id, longitude, latitude, {seconds_text("event_s")} AS timestamp,
   sent_at_utc_ms, trip_status, speed, is_valid_speed, avg_speed,
   {half_up("CAST(round(total_distance_km * 1000) AS BIGINT)", "10")} / 100.0::DOUBLE AS total_distance_km,
-  distance_from_forbidden_city_km, is_in_range, processed_at_utc_ms FROM processed""")
+  distance_from_forbidden_city_km, is_in_range, processed_at_utc_ms, sent_at_utc_ms + 3 AS received_at_utc_ms FROM processed""")
 define("haversine_to_centre", f"SELECT seq, taxi_id, round({CENTRE}, 6) AS km FROM pings")
 LATENCY = "(processed_at_utc_ms - sent_at_utc_ms) / 1000.0::DOUBLE"
 ZONE = """CASE WHEN latency_s < 1 THEN 'excellent' WHEN latency_s < 5 THEN 'good'
@@ -373,6 +396,7 @@ define("all_alerts", "SELECT * FROM alerts")
 METRICS = (
     "speed, is_valid_speed, avg_speed, total_distance_km, distance_from_forbidden_city_km, is_in_range"
 )
+ORACLE["cleaned_chain"] = over_sent(f"SELECT {PING}, sent_at_utc_ms, {METRICS} FROM processed")
 define("processed_stream", f"SELECT {PING}, sent_at_utc_ms, processed_at_utc_ms, {METRICS} FROM processed")
 define("inactive_trips", f"""
 SELECT seq, taxi_id, event_s, latitude, longitude, 'inactive' AS trip_status FROM (

@@ -66,6 +66,7 @@ def processed_columns(processed: DataFrame) -> DataFrame:
         three_to_two_decimals(F.col("total_distance_km")).alias("total_distance_km"),
         F.round("distance_from_forbidden_city_km", 2).alias("distance_from_forbidden_city_km"),
         "is_in_range", "processed_at_utc_ms",
+        *[c for c in ("received_at_utc_ms",) if c in processed.columns],
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.config import ACTIVE, DEFAULTS, END, Settings
@@ -103,3 +103,22 @@ def replay_schedule(cleaned: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+def as_sent(cleaned: DataFrame, start_ms: int, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Cleaned rows as the pings that a replay begun at ``start_ms`` sends: ``seq`` in time order,
+    ``event_s`` and ``sent_at_utc_ms``, ready for the keyed chain and for outgoing messages.
+
+    Numbered in two steps: the messages before each second, plus the place within the second.
+    """
+    cleaned = cut(cleaned)
+    schedule = Ordered.globally(replay_schedule(cleaned, cfg), "batch_s", cfg.max_group_rows)
+    seconds = schedule.sum_since(None, _upto=F.col("messages")).rows().select(
+        "batch_s",
+        (F.col("_upto") - F.col("messages")).alias("_before"),
+        (F.lit(start_ms) + F.round(F.col("offset_s") * 1000)).cast("bigint").alias("sent_at_utc_ms"),
+    )
+    inside = Window.partitionBy("event_s").orderBy("taxi_id", "trip_status", "longitude", "latitude")
+    rows = cleaned.withColumn("event_s", F.unix_seconds(F.date_trunc("second", "timestamp")))
+    return rows.join(seconds, F.col("event_s") == F.col("batch_s")).select(
+        (F.col("_before") + F.row_number().over(inside)).alias("seq"),
+        *COLUMNS, "event_s", "trip_status", "sent_at_utc_ms",
+    )

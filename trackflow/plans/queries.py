@@ -142,6 +142,30 @@ def replay_schedule_simulated(spark, sf_dir):
     return cleaning.replay_schedule(cleaned, Settings(replay_mode="simulated", replay_speed=2.5))
 
 
+def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.as_sent(cleaning.clean(_raw(spark, sf_dir)), RECEIVED_MS)
+
+
+@query
+def cleaned_pings(spark, sf_dir):
+    return _time_text(_sent(spark, sf_dir))
+
+
+@query
+def cleaned_chain(spark, sf_dir):
+    return chain.process(_sent(spark, sf_dir)).select(*[c for c in PROCESSED if c != "processed_at_utc_ms"])
+
+
+@query
+def cleaned_messages(spark, sf_dir):
+    from trackflow.schema import RAW_MESSAGE
+
+    sent = _sent(spark, sf_dir)
+    texts = messages.raw_messages(sent, F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    parsed = texts.withColumn("_m", messages.parse_json(F.col("value"), RAW_MESSAGE))
+    return parsed.select("key", "seq", "_m.*").drop(messages.CORRUPT)
+
+
 # -- messages ------------------------------------------------------------------------------
 
 
@@ -169,9 +193,10 @@ def rejected_messages(spark, sf_dir):
 def emit_messages(spark, sf_dir):
     from trackflow.schema import PROCESSED_MESSAGE
 
-    texts = messages.processed_messages(_processed(spark, sf_dir))
+    received = (F.col("sent_at_utc_ms") + 3).alias("received_at_utc_ms")
+    texts = messages.processed_messages(_processed(spark, sf_dir).select("*", received))
     parsed = texts.withColumn("_m", messages.parse_json(F.col("value"), PROCESSED_MESSAGE))
-    return parsed.select("key", "_m.*").drop("received_at_utc_ms", messages.CORRUPT)
+    return parsed.select("key", "_m.*").drop(messages.CORRUPT)
 
 
 # -- scalar columns ------------------------------------------------------------------------
