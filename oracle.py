@@ -331,6 +331,12 @@ def over_sent(final: str) -> str:
 
 define("cleaned_pings", "SELECT * FROM sent")
 define("cleaned_messages", "SELECT CAST(taxi_id AS VARCHAR) AS key, seq, taxi_id, timestamp, longitude, latitude, trip_status, sent_at_utc_ms FROM sent")
+LINES = """SELECT taxi_id, timestamp, longitude, latitude, file,
+  row_number() OVER (PARTITION BY file ORDER BY line) - 1 AS line FROM raw"""
+define("zip_scan", LINES.replace("SELECT taxi_id,", "SELECT CAST(taxi_id AS VARCHAR) AS taxi_id,", 1))
+define("zip_member", f"SELECT * FROM ({LINES}) WHERE file = '1.txt'")
+define("cleaned_table", "SELECT * FROM cleaned")
+define("cleaned_in_time_order", "SELECT * FROM cleaned")
 define("clean_pings", "SELECT * FROM cleaned")
 define("clean_sentinel_coords", f"SELECT file, line, {COORDS} FROM raw")
 define("trip_status_mark", "SELECT taxi_id, file, line, trip_status FROM marked")

@@ -74,6 +74,13 @@ def test_clean_zips_skips_broken_members_and_archives(spark, zips):
     assert {r.file for r in raw.select("file").distinct().collect()} == {"release/1.txt", "2.txt"}
     assert cleaned_set(cleaning.clean(raw)) == WANT
     assert files.read_zips(spark, zips, "2.txt").count() == 3
+    rejects = {(r.archive.rsplit("/", 1)[1], r.file) for r in files.rejected_zips(spark, zips).collect()}
+    assert rejects == {("b.zip", "4.txt"), ("c.zip", None)}
+
+
+def test_unknown_address_raises():
+    with pytest.raises(Exception, match="Unrecognized filesystem"):
+        files._open("dbfs:/archives/a.zip")
 
 
 def test_line_order_survives_splits(spark, tmp_path):

@@ -112,6 +112,23 @@ def test_from_messages(spark, tmp_path):
     assert got[1].speed_alert
 
 
+def test_job_from_messages(spark, tmp_path):
+    """Rejects, carried receiving times, the clock at the chain's end, points read by time."""
+    text = '{"taxi_id":1,"timestamp":"2008-02-02 15:0%d:00","longitude":116.4,"latitude":39.9,"trip_status":"active","sent_at_utc_ms":1}'
+    rows = spark.createDataFrame([(1, text % 0), (2, "broken"), (3, text % 1), (4, "")], row(seq=LONG, value=TEXT))
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    source = streams.file_stream(spark, str(tmp_path / "in"), rows.schema)
+    out, before = str(tmp_path / "out"), pipeline.wall_clock_ms()
+    for job in pipeline.start_from_messages(source, out, every=None):
+        job.awaitTermination()
+    got = tables.read_batches(spark, f"{out}/processed").orderBy("seq").collect()
+    assert [r.seq for r in got] == [1, 3]
+    assert all(before <= r.received_at_utc_ms <= r.processed_at_utc_ms <= pipeline.wall_clock_ms() for r in got)
+    assert [(r.seq, r.value) for r in spark.read.parquet(f"{out}/rejects").orderBy("seq").collect()] == [(2, "broken"), (4, "")]
+    points = tables.read_points(spark, f"{out}/points/taxi_metrics", before)
+    assert points.count() == 2 and tables.read_points(spark, f"{out}/points/taxi_metrics", stop_ms=before).count() == 0
+
+
 def test_silence_timers_equal_batch(spark, rows, tmp_path):
     # Timers go by event time, so this input has no late rows.
     on_time = rows.where("event_s is not null").withColumn("event_s", F.lit(1_201_910_400) + F.col("seq") * 7)

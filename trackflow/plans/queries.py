@@ -27,7 +27,7 @@ from trackflow.operators.ordered import Ordered
 from trackflow.plans import chain
 from trackflow.plans.fixture import conflict_pings, load_pings, raw_pings, stream_pings
 from trackflow.session import cut, shared_dir
-from trackflow.sources import streams, tables
+from trackflow.sources import files, streams, tables
 from trackflow.streaming import chain as stream_chain_step
 from trackflow.streaming import inactivity as stream_inactivity
 from trackflow.streaming import pipeline
@@ -102,6 +102,36 @@ def clean_pings(spark, sf_dir):
     return _time_text(cleaning.clean(_raw(spark, sf_dir)))
 
 
+def _zips(spark: SparkSession, sf_dir: str) -> str:
+    """The stand-in's raw rows as archives in the shared folder."""
+    folder = f"{shared_dir(spark)}/zips-{uuid.uuid4().hex}"
+    files.write_zips(_raw(spark, sf_dir), folder).agg(F.sum("files")).collect()
+    return folder
+
+
+@query
+def zip_scan(spark, sf_dir):
+    rows = files.read_zips(spark, _zips(spark, sf_dir)).drop("archive")
+    return rows.withColumn("taxi_id", F.col("taxi_id").cast("string"))
+
+
+@query
+def zip_member(spark, sf_dir):
+    return files.read_zips(spark, _zips(spark, sf_dir), "1.txt").drop("archive")
+
+
+@query
+def cleaned_table(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/cleaned-{uuid.uuid4().hex}"
+    tables.write_cleaned(cleaning.clean(_raw(spark, sf_dir)), folder)
+    return _time_text(files.read_table(spark, folder)).drop("event_date")
+
+
+@query
+def cleaned_in_time_order(spark, sf_dir):
+    return _time_text(cleaning.in_time_order(cleaning.clean(_raw(spark, sf_dir))))
+
+
 @query
 def clean_sentinel_coords(spark, sf_dir):
     return cleaning.sentinel_coords(_raw(spark, sf_dir)).select("file", "line", "longitude", "latitude")
@@ -649,7 +679,7 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, fleet: bool) -> str:
 def stream_chain(spark, sf_dir):
     pipeline.use_rocksdb(spark)
     rows = _run(spark, stream_chain_step.process_stream(stream_pings(spark, sf_dir)))
-    return rows.drop(*pipeline.PRIVATE)
+    return rows.drop(*pipeline.PRIVATE, "received_at_utc_ms")
 
 
 @query

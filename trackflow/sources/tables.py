@@ -24,6 +24,12 @@ def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("point_date").parquet(path)
 
 
+def write_point_batch(points: DataFrame, path: str, batch_id: int) -> None:
+    """Points of one micro-batch by date; repeating a batch replaces them."""
+    dated = points.withColumn("point_date", F.to_date(F.timestamp_millis("time_ms")))
+    dated.write.mode("overwrite").partitionBy("point_date").parquet(f"{path}/batch={batch_id}")
+
+
 def read_points(
     spark: SparkSession, path: str, start_ms: int | None = None, stop_ms: int | None = None
 ) -> DataFrame:
@@ -35,7 +41,7 @@ def read_points(
             points = points.where(F.col("point_date") >= day if low else F.col("point_date") <= day)
             time = F.col("time_ms")
             points = points.where(time >= bound if low else time < bound)
-    return points.drop("point_date")
+    return points.drop("point_date", "batch")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

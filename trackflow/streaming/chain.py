@@ -13,6 +13,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,10 +22,10 @@ from trackflow.functions.geo import EARTH_RADIUS_KM
 from trackflow.schema import DOUBLE, FLAG, INT, LONG, TEXT, row
 
 INPUT = ["seq", "taxi_id", "event_s", "latitude", "longitude", "trip_status", "sent_at_utc_ms",
-         "processed_at_utc_ms"]
+         "processed_at_utc_ms", "received_at_utc_ms"]
 OUTPUT = row(
     seq=LONG, taxi_id=INT, event_s=LONG, latitude=DOUBLE, longitude=DOUBLE, trip_status=TEXT,
-    sent_at_utc_ms=LONG, processed_at_utc_ms=LONG, speed=DOUBLE, is_valid_speed=FLAG,
+    sent_at_utc_ms=LONG, processed_at_utc_ms=LONG, received_at_utc_ms=LONG, speed=DOUBLE, is_valid_speed=FLAG,
     avg_speed=DOUBLE, total_distance_km=DOUBLE, distance_from_forbidden_city_km=DOUBLE,
     is_in_range=FLAG, geofence_alert=FLAG, speed_alert=FLAG,
     _d_active=LONG, _d_ended=LONG, _d_transit=LONG, _d_metres=LONG,
@@ -193,7 +194,11 @@ class TripChain(StatefulProcessor):
 
 
 def process_stream(pings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Processed pings with alert flags and fleet differences, as a stream."""
+    """Processed pings with alert flags and fleet differences, as a stream.
+
+    ``received_at_utc_ms`` is null where the pings have none."""
+    if "received_at_utc_ms" not in pings.columns:
+        pings = pings.withColumn("received_at_utc_ms", F.lit(None).cast("bigint"))
     return pings.select(*INPUT).groupBy("taxi_id").transformWithStateInPandas(
         statefulProcessor=TripChain(cfg), outputStructType=OUTPUT, outputMode="Append",
         timeMode="ProcessingTime" if cfg.state_ttl_s else "None",

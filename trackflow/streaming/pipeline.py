@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,11 @@ from trackflow.functions.messages import (
     parse_messages,
     processed_messages,
 )
+from trackflow.operators import points
 from trackflow.operators.alerts import all_alerts, incident_log
 from trackflow.operators.fleet import as_differences, as_message, closing_rows, fleet_totals
-from trackflow.sources.streams import batch_sink
-from trackflow.sources.tables import write_batch, write_latest
+from trackflow.sources.streams import batch_sink, kafka_stream, sink
+from trackflow.sources.tables import write_batch, write_latest, write_point_batch
 from trackflow.streaming.chain import process_stream
 
 Publish = Callable[[DataFrame, str, int], None]
@@ -41,6 +43,16 @@ def pings_from_messages(raw: DataFrame) -> DataFrame:
     )
 
 
+def start_rejects(raw: DataFrame, out: str, every: str | None = "1 second") -> StreamingQuery:
+    """A table of the texts that are not JSON, with their place in the stream."""
+    _, rejects = parse_messages(raw)
+    return sink(rejects, f"{out}/_rejects_checkpoint", every=every, path=f"{out}/rejects").start()
+
+
+def wall_clock_ms() -> int:
+    return time.time_ns() // 1_000_000
+
+
 class FleetSink:
     """Fleet rows per micro-batch; the closing rows of one batch open the next.
 
@@ -74,34 +86,43 @@ class PipelineSink:
     """All tables from one pass over each micro-batch; repeating a batch replaces its files.
 
     With ``publish(messages, topic, batch_id)`` the three kinds of events also leave as messages,
-    at least once.
+    at least once. With a ``clock`` the processed time is read when the chain has computed the
+    batch, so that latency covers the processing.
     """
 
     def __init__(
-        self, out: str, cfg: Settings = DEFAULTS, fleet: bool = True, publish: Publish | None = None
+        self, out: str, cfg: Settings = DEFAULTS, fleet: bool = True, publish: Publish | None = None,
+        clock: Callable[[], int] | None = None,
     ):
-        self.out, self.cfg, self.publish = out, cfg, publish
+        self.out, self.cfg, self.publish, self.clock = out, cfg, publish, clock
         self.fleet = FleetSink(out, cfg) if fleet else None
         if publish is not None:
             cfg.require_topics()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        computed = batch.persist()
+        batch = computed
+        if self.clock is not None:
+            computed.count()
+            batch = computed.withColumn("processed_at_utc_ms", F.lit(self.clock()).cast("bigint"))
         shown = batch.drop(*PRIVATE)
         raised = all_alerts(shown)
         write_batch(shown, f"{self.out}/processed", batch_id)
         write_batch(incident_log(raised), f"{self.out}/incidents", batch_id)
         write_latest(shown, f"{self.out}/latest", batch_id)
+        write_point_batch(points.taxi_points(shown), f"{self.out}/points/taxi_metrics", batch_id)
+        write_point_batch(points.alert_points(raised), f"{self.out}/points/alerts", batch_id)
         if self.fleet is not None:
             self.fleet(batch, batch_id)
+            written = batch.sparkSession.read.parquet(f"{self.out}/fleet/batch={batch_id}")
+            write_point_batch(points.fleet_points(written), f"{self.out}/points/fleet_metrics", batch_id)
         if self.publish is not None:
             self.publish(processed_messages(shown), self.cfg.processed_topic, batch_id)
             self.publish(alert_messages(raised), self.cfg.alerts_topic, batch_id)
             if self.fleet is not None:
-                written = batch.sparkSession.read.parquet(f"{self.out}/fleet/batch={batch_id}")
                 messages = fleet_messages(as_message(written))
                 self.publish(messages, self.cfg.fleet_topic, batch_id)
-        batch.unpersist()
+        computed.unpersist()
 
 
 def kafka_publisher(servers: str) -> Publish:
@@ -114,15 +135,32 @@ def kafka_publisher(servers: str) -> Publish:
 
 def start(
     pings: DataFrame, out: str, cfg: Settings = DEFAULTS, every: str | None = "1 second",
-    fleet: bool = True, publish: Publish | None = None,
+    fleet: bool = True, publish: Publish | None = None, clock: Callable[[], int] | None = None,
 ) -> StreamingQuery:
     """The whole job over a stream of typed pings."""
     if cfg.state_ttl_s and every is None:
         # Expiry by processing time keeps asking for further batches, so such a run never ends.
         raise ValueError("state_ttl_s needs a trigger interval")
     processed = process_stream(pings, cfg)
-    sink = PipelineSink(out, cfg, fleet, publish)
-    return batch_sink(processed, f"{out}/_checkpoint", sink, every).start()
+    tables = PipelineSink(out, cfg, fleet, publish, clock)
+    return batch_sink(processed, f"{out}/_checkpoint", tables, every).start()
+
+
+def start_from_messages(
+    raw: DataFrame, out: str, cfg: Settings = DEFAULTS, every: str | None = "1 second",
+    publish: Publish | None = None,
+) -> list[StreamingQuery]:
+    """The whole job over a stream of JSON texts: the chain with its tables, and the reject table."""
+    pings = pings_from_messages(raw)
+    return [start(pings, out, cfg, every, publish=publish, clock=wall_clock_ms), start_rejects(raw, out, every)]
+
+
+def run(spark: SparkSession, cfg: Settings, servers: str, out: str) -> list[StreamingQuery]:
+    """From settings to topics and tables: source, parse, chain, sinks."""
+    cfg.require_topics()
+    use_rocksdb(spark)
+    raw = kafka_stream(spark, servers, cfg.source_topics)
+    return start_from_messages(raw, out, cfg, publish=kafka_publisher(servers))
 
 
 def window_counts(pings: DataFrame, seconds: int = 300, lateness: str = "0 seconds") -> DataFrame:
