@@ -29,6 +29,7 @@ from trackflow.llm import text as tx
 UNKNOWN = "und"
 ORDERS = 3
 WINDOW = 512
+CHUNK_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -160,10 +161,14 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     each = max(1, fit.landmarks // len(languages))
     marks = np.concatenate([g[np.unique(np.linspace(0, len(g) - 1, min(len(g), each)).astype(int))] for g in good])
     good = np.concatenate(good)
-    features = np.zeros((width, len(marks)), np.float32)
+    # A row for each n-gram of a landmark, and one of zeros for all others.
+    own = np.unique(np.concatenate([grams[bounds[i] : bounds[i + 1]] for i in marks]))
+    row = np.full(width, len(own))
+    row[own] = np.arange(len(own))
+    features = np.zeros((len(own) + 1, len(marks)), np.float32)
     for j, i in enumerate(marks):
-        features[grams[bounds[i] : bounds[i + 1]], j] = 1 / np.sqrt(sizes[i])
-    kernel = {i: features[grams[bounds[i] : bounds[i + 1]]].sum(axis=0) / np.sqrt(sizes[i]) for i in {*good, *marks}}
+        features[row[grams[bounds[i] : bounds[i + 1]]], j] = 1 / np.sqrt(sizes[i])
+    kernel = {i: features[row[grams[bounds[i] : bounds[i + 1]]]].sum(axis=0) / np.sqrt(sizes[i]) for i in {*good, *marks}}
     values, vectors = np.linalg.eigh(np.array([kernel[i] for i in marks], np.float64))
     sound = values > 1e-6 * values[-1]
     whiten = vectors[:, sound] / np.sqrt(values[sound])
@@ -175,7 +180,7 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     mean_x, mean_y = (weight * x).sum(axis=0), (weight * y).sum(axis=0)
     cx, cy = x - mean_x, y - mean_y
     solved = np.linalg.solve(cx.T @ (weight * cx) + fit.ridge / len(good) * np.eye(x.shape[1]), cx.T @ (weight * cy))
-    weights = (features @ (whiten @ solved).astype(np.float32)).astype(np.float32)
+    weights = (features @ (whiten @ solved).astype(np.float32)).astype(np.float32)[row]
     return Model(languages, classes, base, weights, mean_y - mean_x @ solved)
 
 
@@ -209,7 +214,7 @@ def identify(docs: DataFrame, training: DataFrame, fit: Fit = Fit()) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tx.chunks(batch):
+            for part in tx.chunks(batch, limit=CHUNK_BYTES):
                 names, values = scores(part.column(at), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(names, pa.string()), pa.array(values)], names=[*fields, "lang_pred", "score"]

@@ -112,14 +112,9 @@ class WordTokens:
         return self.ids[index], count
 
 
-_cache: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> WordTokens:
-    """One per worker process, which serves many tasks."""
-    if path not in _cache:
-        _cache[path] = WordTokens(path)
-    return _cache[path]
+    """The worker's own."""
+    return tx.held(("tokens", path), lambda: WordTokens(path))
 
 
 def tokenize(column: pa.Array, tokens: WordTokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,12 +5,12 @@ small; a longer text is a chunk of its own."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -30,6 +30,19 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What make gives, kept by a worker process until it is asked for something under another key.
+
+    A worker serves many tasks, of several operators in turn; only the last one's tables stay."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     h = h ^ (h >> np.uint64(30))

@@ -44,15 +44,15 @@ class Fit:
 
     A row longer than max_bytes is not drawn for the sample (it is scored like any other)."""
 
-    toxic_rows: int = 1200
-    ordinary_rows: int = 2400
+    toxic_rows: int = 800
+    ordinary_rows: int = 1600
     max_bytes: int = 1 << 16
     calibration_part: int = 3  # one in so many rows
     toxic_bytes: int = 4096
     ordinary_bytes: int = 65_536
     least_evidence: float = 25.0  # log likelihood ratio statistic of a 5-gram
     least_ratio: float = 30.0
-    max_cached_words: int = 2_000_000
+    max_cached_words: int = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -175,8 +175,9 @@ def train(rows: list[tuple[int, str]], fit: Fit) -> Model:
         return Model(b"", b"", 1000, (rate,))
     samples = [f" {word} ".encode() for text in toxic for word in text.split() if stems(f" {word} ", strong)]
     draw.shuffle(samples)
-    plain = [f" {w} ".encode() for t in ordinary for w in t.split()]
-    plain = draw.sample(plain, min(len(plain), 60_000))
+    share = -(-60_000 // max(len(ordinary), 1))
+    some = (draw.sample(w, min(len(w), share)) for w in map(str.split, ordinary))
+    plain = [f" {w} ".encode() for words in some for w in words]
     toxic_content = trained(samples, fit.toxic_bytes)
     left = [s.encode() for s, _ in sorted(runs.items(), key=lambda x: (x[1], x[0])) if s.encode() not in toxic_content]
     toxic_content += b"".join(left)
@@ -218,16 +219,10 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> list[tuple[int, str]
     return [(r.toxic, r.text) for r in sorted(rows, key=lambda r: (r.h, r.doc_id))]
 
 
-_lengths: dict[tuple[bytes, bytes], Lengths] = {}
-
-
 def score(column: pa.Array, model: Model, most: int) -> np.ndarray:
     if len(model.chance) == 1:
         return np.full(len(column), model.chance[0])
-    lengths = _lengths.get((model.toxic, model.ordinary))
-    if lengths is None:
-        _lengths.clear()
-        lengths = _lengths[(model.toxic, model.ordinary)] = Lengths(model.toxic, model.ordinary, most)
+    lengths = tx.held((model.toxic, model.ordinary), lambda: Lengths(model.toxic, model.ordinary, most))
     words = tx.Words(*tx.buffers(pc.utf8_lower(column)))
     hits = tx.totals(lengths.words(words) >= model.threshold, words.bounds)
     return np.array(model.chance)[np.minimum(hits, len(model.chance) - 1)]
