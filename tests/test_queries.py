@@ -12,7 +12,6 @@ from trackflow.config import Settings
 from trackflow.functions import geo
 from trackflow.functions.numbers import nullable_percent_change, safe_percent_change
 from trackflow.operators import benchmark, fleet, points, quality, state, trends
-from trackflow.operators.joins import join_unique
 from trackflow.operators.quantiles import percentiles
 from trackflow.sources import tables
 
@@ -129,17 +128,6 @@ def test_conflicts(spark, limit):
     assert plan.count("WindowGroupLimit") == (2 if limit == 1 else 1)
 
 
-def test_join_with_heavy_and_null_keys(spark):
-    left = spark.createDataFrame([(i, 1 if i < 50 else None if i < 80 else i) for i in range(100)], "i int, k int")
-    right = spark.createDataFrame([(1, "one"), (90, "ninety"), (500, "none")], "r int, v string")
-    for how in ("left", "inner", "left_semi"):
-        want = left.join(right, left.k == right.r, how)
-        got = join_unique(left, right, {"k": "r"}, how, 10)
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    plan = join_unique(left, right, {"k": "r"}, "left", 10)._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan
-
-
 def test_points_tables_and_report(spark, pings, tmp_path):
     processed = queries()["processed_stream"](spark, SMALL)
     path = str(tmp_path / "points")
