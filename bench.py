@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,33 @@ def session(cpus: str | None = None) -> SparkSession:
     return spark
 
 
+def stream_run(spark: SparkSession, folder: str, batches: int = 8) -> dict:
+    """The whole streaming job over the events in several micro-batches: rows per second, and how
+    long rows take from the start of their micro-batch until all its tables are written."""
+    from trackflow.plans.fixture import events_to_pings
+    from trackflow.session import shared_dir
+    from trackflow.sources.streams import file_stream
+    from trackflow.streaming import pipeline
+
+    pipeline.use_rocksdb(spark)
+    out = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    events.repartitionByRange(batches, "event_id").write.parquet(f"{out}/in")
+    stream = file_stream(spark, f"{out}/in", events.schema, files_per_trigger=1)
+    job = pipeline.start(events_to_pings(stream, events), f"{out}/tables", every=None, clock=pipeline.wall_clock_ms)
+    job.awaitTermination()
+    done = sorted((p["durationMs"]["triggerExecution"], p["numInputRows"]) for p in job.recentProgress if p["numInputRows"])
+    rows, upto, at = sum(n for _, n in done), 0, {}
+    for ms, n in done:
+        upto += n
+        at |= {q: ms / 1000 for q in (50, 95, 99) if q not in at and upto * 100 >= q * rows}
+    return {
+        "batches": len(done),
+        "rows_per_s": round(rows / (sum(ms for ms, _ in done) / 1000)),
+        **{f"p{q}_latency_s": v for q, v in at.items()},
+    }
+
+
 def main() -> None:
     from trackflow.plans.queries import QUERIES
 
@@ -55,6 +83,7 @@ def main() -> None:
                 "sf": folder.rsplit("sf", 1)[-1],
                 "events": events,
                 "chain_events_per_s": round(events / times["processed_stream"]),
+                "stream": stream_run(spark, folder),
             }
         )
     )

@@ -51,7 +51,7 @@ def fleet_rows(moving: Ordered, cfg: Settings = DEFAULTS) -> DataFrame:
 
 
 def fleet_totals(
-    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False
+    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False, micro_batch: bool = False
 ) -> DataFrame:
     """Running totals of the differences in arrival order, with their changes.
 
@@ -60,13 +60,15 @@ def fleet_totals(
     be later than all rows before them), at least ``rebaseline_s`` apart.
     """
     order = "seq"
-    # Read several times below, so written once instead of running the chain again.
-    slim = cut(
-        differences.select(
-            order, "taxi_id", "event_s", "processed_at_utc_ms", *[f"_d_{n}" for n in TOTALS]
-        )
+    slim = differences.select(
+        order, "taxi_id", "event_s", "processed_at_utc_ms", *[f"_d_{n}" for n in TOTALS]
     )
-    totals = Ordered.globally(slim, order, cfg.max_group_rows)
+    if micro_batch:
+        totals = Ordered.bounded(slim, order)
+    else:
+        # Read several times below, so written once instead of running the chain again.
+        slim = cut(slim)
+        totals = Ordered.globally(slim, order, cfg.max_group_rows)
     totals = totals.sum_since(None, **{n: F.col(f"_d_{n}") for n in TOTALS})
     totals = totals.drop(*[f"_d_{n}" for n in TOTALS])
 

@@ -88,6 +88,12 @@ class Ordered:
         chunk = _chunk(order, F.array(*[F.lit(int(b)).cast("bigint") for b in bounds]))
         return cls(df.withColumn(CHUNK, chunk), [], order, True, chunk)
 
+    @classmethod
+    def bounded(cls, df: DataFrame, order: str) -> "Ordered":
+        """One sequence over the rows of a micro-batch, which its trigger's limit bounds."""
+        chunk = F.lit(0).cast("bigint")
+        return cls(df.withColumn(CHUNK, chunk), [], order, False, chunk)
+
     def like(self, df: DataFrame) -> "Ordered":
         """The same key, order and chunks over a DataFrame derived from this one."""
         return Ordered(df, self.key, self.order, self.cut_keys, self.chunk)

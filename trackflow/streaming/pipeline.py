@@ -69,7 +69,7 @@ class FleetSink:
         if batch_id > 0:
             opening = spark.read.parquet(f"{self.out}/fleet_state/batch={batch_id - 1}")
             rows = batch.select(*_slim(batch)).unionByName(as_differences(opening))
-        totals = fleet_totals(rows, self.cfg, with_state=True).persist()
+        totals = fleet_totals(rows, self.cfg, with_state=True, micro_batch=True).persist()
         write_batch(closing_rows(totals), f"{self.out}/fleet_state", batch_id)
         own = totals if opening is None else totals.join(
             F.broadcast(opening.select("seq")), "seq", "left_anti"
