@@ -34,9 +34,12 @@ CHUNK_BYTES = 1 << 19
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the labelled sample that the model is fitted on."""
+    """Bounds of the labelled sample that the model is fitted on.
 
-    rows_per_language: int = 256
+    A row longer than max_bytes is not drawn for the sample (it is predicted like any other)."""
+
+    rows_per_language: int = 160
+    max_bytes: int = 1 << 14
     windows_per_language: int = 512
     languages: int = 128
     landmarks: int = 192
@@ -122,7 +125,8 @@ def sample(docs: DataFrame, fit: Fit) -> list[tuple[str, str]]:
     """(language, text) of at most rows_per_language rows of each of the most frequent languages.
 
     Rows are drawn by the hash of their text, so the draw does not hang on order or partitions."""
-    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+    short = F.octet_length("text") <= fit.max_bytes
+    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & short).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit.languages)
