@@ -203,6 +203,23 @@ def test_copies_are_one_class(spark):
     assert classes == {0: 340, **{i: 1 for i in range(400, 430)}}
 
 
+def test_every_pair_of_a_family_of_pages_is_compared(spark):
+    """150 pages of one template, most pairs of them below the limit; blocks of few and of many texts."""
+    rng = np.random.default_rng(11)
+    changed = [set(rng.choice(40, 3, replace=False).tolist()) for _ in range(150)]
+    texts = [" ".join(f"{'v' if k in c else 'w'}{k}_{j}" for k in range(40) for j in range(10)) for c in changed]
+    sets, root = [shingles(t) for t in texts], list(range(150))
+    for a in range(150):
+        for b in range(a):
+            if (sets[a] & sets[b]).total() >= 0.8 * (sets[a] | sets[b]).total():
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if r == hi else r for r in root]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for block in (8, 256):
+        got = neardup.near_duplicates(frame, neardup.Plan(block=block)).toPandas()
+        assert dict(zip(got.doc_id, got.class_id, strict=True)) == dict(enumerate(root))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (200, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -7,11 +7,12 @@ falls on one of k coordinates. The earliest dart of a coordinate is the signatur
 agree in it with the probability of their weighted Jaccard similarity. Texts with an empty coordinate
 look twice as high.
 
-Signatures are joined in bands. In a bucket every text is compared with one leader only. Where the
+Signatures are joined in bands. In a bucket every text is compared with leaders first. Where the
 share of equal coordinates is several standard errors away from the limit it decides; in between, the
 similarity is computed exactly, from the strips of both texts. First every text meets one leader, the
 first in a common order of all that lead its buckets; then texts of a bucket that are still in
-different classes meet the leaders of two orders drawn per bucket. Classes are the connected
+different classes meet the leaders of two orders drawn per bucket. At last all pairs of texts that share
+a bucket and are still in different classes are compared, block by block. Classes are the connected
 components of the links. Equal texts are one node from the start.
 """
 
@@ -43,6 +44,7 @@ class Plan:
     bands: int = 24
     rows: int = 6
     errors: float = 3.5  # standard errors from the limit beyond which signatures decide
+    block: int = 256  # texts of a block, whose pairs with another block one task compares
 
     @property
     def coordinates(self) -> int:
@@ -191,6 +193,13 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def contents_of(docs: DataFrame, texts: DataFrame, need: DataFrame, plan: Plan, name: str) -> DataFrame:
+    """(node, strips) of the nodes needed, stored."""
+    need = texts.select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).join(need, "node")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    return stored(strip_sets(_slim(docs).join(need, same), plan).dropDuplicates(["node"]), f"{name}-strips")
+
+
 def linked(docs: DataFrame, texts: DataFrame, pairs: DataFrame, plan: Plan, name: str) -> DataFrame:
     """Those of the pairs (a, b) of nodes that are similar enough, stored."""
     sketch = texts.select("node", "signature")
@@ -200,14 +209,114 @@ def linked(docs: DataFrame, texts: DataFrame, pairs: DataFrame, plan: Plan, name
     clear = judged.where(F.col("s") >= sure).select("a", "b")
     unclear = judged.where((F.col("s") < sure) & (F.col("s") >= maybe)).select("a", "b")
     need = unclear.select("a").union(unclear.select("b")).distinct().withColumnRenamed("a", "node")
-    need = texts.select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")).join(need, "node")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    contents = stored(strip_sets(_slim(docs).join(need, same), plan).dropDuplicates(["node"]), f"{name}-strips")
+    contents = contents_of(docs, texts, need, plan, name)
     both = unclear.join(contents.toDF("a", "x"), "a").join(contents.toDF("b", "y"), "b")
     exact = both.where(F.pandas_udf(similarity, "double")("x", "y") >= plan.similarity).select("a", "b")
     return stored(clear.union(exact), f"{name}-links")
 
 
+def cell_links(cell: pd.DataFrame, plan: Plan) -> list[tuple[int, int]]:
+    """Links that join the classes of a cell: all pairs of its block i with its block j, or within the one block.
+
+    A pair is compared in the first of the bands it shares only. Texts that links of this cell have
+    joined already are not compared again."""
+    sure, maybe = plan.similarity + plan.margin, plan.similarity - plan.margin
+    node, block = cell["node"].to_numpy(), cell["block"].to_numpy()
+    band, first_block = cell["band"].iloc[0], cell["i"].iloc[0]
+    bands = np.stack(cell["bands"].to_numpy())
+    sketch = np.stack([np.frombuffer(x, np.uint16) for x in cell["signature"]])
+    strip = [np.frombuffer(x, np.uint32) for x in cell["strips"]]
+    group = np.unique(cell["root"].to_numpy(), return_inverse=True)[1]
+    within = first_block == cell["j"].iloc[0]
+    place = int(np.flatnonzero(bands[0] == band)[0])
+    out = []
+    for a in np.flatnonzero(block == first_block):
+        others = group != group[a]
+        others &= (np.arange(len(node)) > a) if within else (block != first_block)
+        at = np.flatnonzero(others)
+        at = at[~(bands[at, :place] == bands[a, :place]).any(axis=1)]
+        agree = (sketch[at] == sketch[a]).mean(axis=1)
+        for b, s in zip(at[agree >= maybe], agree[agree >= maybe], strict=True):
+            if group[a] == group[b]:
+                continue
+            if s < sure:
+                common = len(np.intersect1d(strip[a], strip[b], assume_unique=True))
+                if common < plan.similarity * max(len(strip[a]) + len(strip[b]) - common, 1):
+                    continue
+            out.append((node[a], node[b]))
+            group[group == group[b]] = group[a]
+    return out
+
+
+def open_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, plan: Plan) -> DataFrame:
+    """Links (a, b) between the classes of each bucket, of all pairs of its texts in different classes, stored.
+
+    buckets: (band, node, root) of the buckets with several classes. Texts of a bucket's largest class meet
+    the other texts only. Both sides are dealt into blocks, and each pair of blocks is a group of its own."""
+    sizes = buckets.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"))
+    blocks = sizes.select(
+        "band",
+        F.col("top.root").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / plan.block).alias("few"),
+        F.ceil(F.col("top.n") / plan.block).alias("many"),
+    )
+    drawn = F.xxhash64("node", "band")
+    dealt = buckets.join(blocks, "band").withColumn("is_top", F.col("root") == F.col("top"))
+    dealt = dealt.withColumn(
+        "block", F.when(F.col("is_top"), F.col("few") + F.pmod(drawn, "many")).otherwise(F.pmod(drawn, "few"))
+    )
+    last = F.when(F.col("is_top"), F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
+    dealt = dealt.select("band", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+    cells = dealt.select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root"
+    )
+    contents = contents_of(docs, texts, buckets.select("node").distinct(), plan, "third")
+    cells = cells.join(texts.select("node", "bands", "signature"), "node").join(contents, "node")
+    names = ["band", "i", "j", "block", "node", "root", "bands", "signature", "strips"]
+    cells = cells.select(*names).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(frame: pd.DataFrame, cuts: np.ndarray) -> pa.RecordBatch:
+            found = [x for a, b in zip(cuts[:-1], cuts[1:], strict=True) for x in cell_links(frame.iloc[a:b], plan)]
+            ends = np.array(found, np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_pydict({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+        held = pd.DataFrame(columns=names)  # the last cell, which may go on in the next batch
+        for batch in batches:
+            frame = batch.to_pandas()
+            frame = pd.concat([held, frame], ignore_index=True) if len(held) else frame
+            keys = frame[["band", "i", "j"]].to_numpy(np.int64)
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else np.zeros(1, np.int64)
+            yield links(frame, starts)
+            held = frame.iloc[starts[-1] :]
+        if len(held):
+            yield links(held, np.array([0, len(held)]))
+
+    return stored(cells.mapInArrow(run, "a long, b long"), "third-links")
+
+
+def torn_buckets(shared: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """(band, node, root) of the buckets whose texts are in several classes, stored."""
+    named = shared.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    named = stored(named, f"{name}-named")
+    torn = named.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return stored(named.join(torn.select("band"), "band"), f"{name}-torn")
+
+
+def merged_classes(found: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) after links (a, b) between classes."""
+    if more.isEmpty():
+        return found
+    # Classes that these links join, by their roots.
+    ends = more.join(found.toDF("a", "ra"), "a", "left").join(found.toDF("b", "rb"), "b", "left")
+    merged = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    lone = more.select("a").union(more.select("b")).distinct().toDF("node").join(found, "node", "left_anti")
+    every = found.unionByName(lone.select("node", F.col("node").alias("root")))
+    merged = merged.toDF("root", "top")
+    return stored(every.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "classes")
+
+
 def classes(docs: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
     """(node, root) of the texts linked to another one; rows: the stored result of sign(docs)."""
     texts = rows.groupBy("node").agg(
@@ -229,29 +338,22 @@ def classes(docs: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
     found = forest_roots(links)
 
     # Buckets whose texts are still in several classes, with two orders of their own.
-    named = shared.join(found, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    named = stored(named, "named")
+    torn = torn_buckets(shared, found, "second")
     orders = (("node", "band"), ("band", "node"))
-    torn = named.groupBy("band").agg(
-        F.min("root").alias("lo"),
-        F.max("root").alias("hi"),
-        *[F.min(F.struct(F.xxhash64(*o).alias("o"), "node", "root")).alias(f"l{i}") for i, o in enumerate(orders)],
+    leaders = torn.groupBy("band").agg(
+        *[F.min(F.struct(F.xxhash64(*o).alias("o"), "node", "root")).alias(f"l{i}") for i, o in enumerate(orders)]
     )
-    torn = named.join(torn.where("lo <> hi"), "band")
     again = F.explode(F.array("l0", "l1")).alias("l")
-    again = torn.select("node", "root", again).where("root <> l.root").select(
+    again = torn.join(leaders, "band").select("node", "root", again).where("root <> l.root").select(
         F.col("node").alias("a"), F.col("l.node").alias("b")
     )
-    more = linked(docs, texts, again.distinct(), plan, "second")
-    if more.isEmpty():
+    found = merged_classes(found, linked(docs, texts, again.distinct(), plan, "second"))
+
+    # All pairs that are still open.
+    torn = torn_buckets(torn.select("band", "node"), found, "third")
+    if torn.isEmpty():
         return found
-    # Classes that these links join, by their roots.
-    ends = more.join(found.toDF("a", "ra"), "a", "left").join(found.toDF("b", "rb"), "b", "left")
-    merged = components(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-    lone = more.select("a").union(more.select("b")).distinct().toDF("node").join(found, "node", "left_anti")
-    every = found.unionByName(lone.select("node", F.col("node").alias("root")))
-    merged = merged.toDF("root", "top")
-    return every.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return merged_classes(found, open_links(docs, texts, torn, plan))
 
 
 def near_duplicates(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
