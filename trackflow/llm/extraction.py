@@ -1,9 +1,9 @@
 """Main text of web pages by composite text density.
 
 Every node of the page's tree has a density: characters per tag, lowered for text in links. The node
-whose children's densities sum up highest holds the article. Its threshold is the least density on
-the path up to the body: children of the path that reach it, next to the node, belong to the article
-as well if they lie in the same article or main element.
+whose children's densities sum up highest holds the article, with all of the article or main element
+around it. The threshold is the least density on the path from it up to the body: of every node below
+the body that reaches it, the node with the highest sum below it belongs to the article as well.
 
 Formatting tags (b, span, a ...) are no nodes of their own, so a paragraph is a leaf. Menus, headers,
 footers, side bars, notices, adverts, forms, scripts, styles and comments are cut off first, by tag
@@ -203,19 +203,33 @@ def main_text(source: str | None) -> str:
     if not sums[best]:
         best = body
 
-    # Up to the highest article or main element above that is as dense as the path to the body.
+    chosen = [False] * n
+
+    def choose(i: int) -> None:
+        if not chosen[i]:
+            chosen[i : last[i] + 1] = [True] * (last[i] + 1 - i)
+
     path = [best]
     while path[-1] > body:
         path.append(page.parent[path[-1]])
-    threshold = min((density[i] for i in path if density[i]), default=0.0)
-    for i in path:
-        if page.tag[i] in WHOLE and density[i] >= threshold:
-            best = i
+    whole = [i for i in path if page.tag[i] in WHOLE]
+    choose(whole[-1] if whole else best)
+    if best != body:
+        # The node with the highest sum in each subtree, of equal ones the first.
+        top = list(range(n))
+        for i in range(n - 1, body, -1):
+            up = page.parent[i]
+            if not page.cut[i] and (sums[top[i]], -top[i]) > (sums[top[up]], -top[up]):
+                top[up] = top[i]
+        threshold = min(density[i] for i in path[:-1])
+        for i in range(body + 1, last[body] + 1):
+            if density[i] and density[i] >= threshold:
+                choose(top[i])
 
     blocks: list[str] = []
     open_run: list[str] = []
     for block, run in page.runs:
-        if not best <= block <= last[best]:
+        if not chosen[block]:
             continue
         if run is not None:
             if not page.cut[block]:
