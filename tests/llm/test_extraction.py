@@ -1,4 +1,6 @@
-"""Pages without article or main."""
+"""Pages unlike the given ones: no article or main, telling names around or in the article."""
+
+import pytest
 
 from trackflow.llm.extraction import main_text
 
@@ -13,3 +15,31 @@ def test_sections_in_plain_divs():
     menu = "<div>" + "".join(f"<p><a href=x>link {i}</a></p>" for i in range(9)) + "</div>"
     page = f"<html><body>{menu}<div id='content'>{''.join(parts)}</div>{menu}</body></html>"
     assert main_text(page) == "\n".join(first + second)
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<div class='layout has-sidebar'>", "</div>"),
+        ("<div id='widget-area'>", "</div>"),
+        ("<div class='sidebar'>", "</div>"),
+        ("<form id='aspnetForm'>", "</form>"),
+        ("<header>", "</header>"),
+    ],
+)
+def test_wrappers_of_the_article_stay(start, end):
+    want = paragraphs("a", 4)
+    text = "".join(f"<p>{t}</p>" for t in want)
+    for article in (f"<article>{text}</article>", f"<div>{text}</div>"):
+        assert main_text(f"<html><body>{start}{article}{end}</body></html>") == "\n".join(want)
+
+
+def test_named_parts_of_an_article():
+    want = paragraphs("a", 4)
+    links = "<section class='related'>" + "".join(f"<p><a href=x>more {i}</a></p>" for i in range(5)) + "</section>"
+    advert = "<div class='ad'>Buy now, cheap as never before.</div>"
+    page = (
+        f"<article><p>{want[0]}</p>{advert}<p class='notice'>{want[1]}</p>"
+        f"<section class='related'><p>{want[2]}</p></section>{links}<p>{want[3]}</p></article>"
+    )
+    assert main_text(f"<html><body>{page}</body></html>") == "\n".join(want)

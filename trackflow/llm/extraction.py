@@ -5,9 +5,11 @@ whose children's densities sum up highest holds the article, with all of the art
 around it. The threshold is the least density on the path from it up to the body: of every node below
 the body that reaches it, the node with the highest sum below it belongs to the article as well.
 
-Formatting tags (b, span, a ...) are no nodes of their own, so a paragraph is a leaf. Menus, headers,
-footers, side bars, notices, adverts, forms, scripts, styles and comments are cut off first, by tag
-or by words of class, id and role.
+Formatting tags (b, span, a ...) are no nodes of their own, so a paragraph is a leaf. Menus, footers,
+side bars, scripts and styles are cut off first, by tag. Forms, headers and elements with a telling
+class, id or role are cut off only if they hold neither an article or main element nor, in a page
+without one, most of the text outside links; of these, headers of an article and elements not named as adverts or hidden go only
+if most of their text is in links.
 """
 
 from __future__ import annotations
@@ -42,14 +44,14 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 CUT_TAGS = frozenset(
-    "head script style noscript template nav header footer aside form button select textarea iframe object svg"
+    "head script style noscript template nav footer aside button select textarea iframe object svg"
     " canvas dialog menu search title xmp noembed noframes".split()
 )
-CUT_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo sidebar menu nav navbar"
-    " navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices popup modal"
-    " overlay comment comments disqus replies share sharing social related recommended newsletter subscribe"
-    " signup login pagination pager toolbar widget hidden".split()
+ADVERT_NAMES = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo".split())
+CUT_NAMES = frozenset(
+    "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice"
+    " notices popup modal overlay comment comments disqus replies share sharing social related recommended"
+    " newsletter subscribe signup login pagination pager toolbar widget".split()
 )
 KEPT_TAGS = frozenset("html body main article".split())
 WHOLE = frozenset("article main".split())
@@ -60,18 +62,32 @@ _TOKEN = re.compile(
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _LABEL = re.compile(r"[\s/](?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"[\s/]hidden(?=[\s=/>])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_WORDS = re.compile(r"[a-z0-9]+")
 
 
 def is_cut(tag: str, source: str) -> bool:
-    """Whether an element is no part of an article, by its start tag."""
+    """Whether an element is no part of an article whatever it holds, by its start tag."""
     if tag in CUT_TAGS:
         return True
     if tag in KEPT_TAGS or len(source) < len(tag) + 5:
         return False
-    if _HIDDEN.search(source):
-        return True
-    return any(not CUT_WORDS.isdisjoint(_WORDS.findall("".join(m.groups("")).lower())) for m in _LABEL.finditer(source))
+    return bool(_HIDDEN.search(source))
+
+
+def names_of(source: str) -> set[str]:
+    """Class names, id and role of a start tag, in lower case."""
+    return {x for m in _LABEL.finditer(source) for x in "".join(m.groups("")).lower().split()}
+
+
+def doubt(tag: str, source: str, in_article: bool) -> int:
+    """0 for an element that stays, 1 for one to be cut unless it holds the article, 2 if its links decide as well."""
+    if tag == "form":
+        return 1
+    if tag == "header":
+        return 2 if in_article else 1
+    if tag in KEPT_TAGS or len(source) < len(tag) + 5:
+        return 0
+    names = names_of(source)
+    return 1 if names & ADVERT_NAMES or "hidden" in names else 2 if names & CUT_NAMES else 0
 
 
 class Page:
@@ -79,7 +95,7 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.tag, self.parent, self.cut = ["#root"], [-1], [False]
-        self.chars, self.links, self.link_tags = [0], [0], [0]
+        self.chars, self.links, self.link_tags, self.doubts = [0], [0], [0], [0]
         # (block, text), or (block, None) where a block begins or ends.
         self.runs: list[tuple[int, str | None]] = []
         self.stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block they are in
@@ -129,7 +145,9 @@ class Page:
         elif tag == "a":
             self.link_tags[block] += 1
         cut = self.cut[block] or is_cut(tag, source)
-        if tag in BLOCKS or cut != self.cut[block]:
+        doubted = 0 if cut else doubt(tag, source, any(t in WHOLE for t, _ in self.stack))
+        if tag in BLOCKS or cut != self.cut[block] or doubted:
+            self.doubts.append(doubted)
             self.tag.append(tag)
             self.parent.append(block)
             self.cut.append(cut)
@@ -170,11 +188,36 @@ class Page:
                 return
 
 
+    def settle(self) -> None:
+        """Cut the doubted elements that do not hold the article."""
+        n = len(self.tag)
+        chars, links = list(self.chars), list(self.links)
+        holds = [t in WHOLE and not c for t, c in zip(self.tag, self.cut, strict=True)]
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            chars[up] += chars[i]
+            links[up] += links[i]
+            holds[up] = holds[up] or holds[i]
+        whole = chars[0] - links[0]
+        for i in range(1, n):
+            # Most of the text tells the article only where no element says so.
+            most = not holds[0] and 2 * (chars[i] - links[i]) > whole
+            if self.doubts[i] and not holds[i] and not most:
+                self.cut[i] = self.cut[i] or self.doubts[i] == 1 or 2 * links[i] > chars[i]
+            if self.cut[self.parent[i]]:
+                self.cut[i] = True
+        for i in range(n):
+            if self.cut[i]:
+                self.chars[i] = self.links[i] = 0
+
+
 def main_text(source: str | None) -> str:
     """Text of the page's article; empty if it has none."""
     if not source:
         return ""
     page = Page(source)
+    if any(page.doubts):
+        page.settle()
     n = len(page.tag)
     chars, links, link_tags = list(page.chars), list(page.links), list(page.link_tags)
     tags, last = [0] * n, list(range(n))
