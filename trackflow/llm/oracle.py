@@ -65,4 +65,31 @@ o AS (
 SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM o
 """
 
-ORACLE: dict[str, str] = {"op2_quality": OP2, "op6_mixing": OP6}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}'), '{TERM}') AS terms
+  FROM documents),
+sizes AS (SELECT row_id, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+facts AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+q AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}'), '{TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+t AS (
+  SELECT row_id, term, count(*) AS tf
+  FROM (SELECT row_id, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM t CROSS JOIN facts GROUP BY term),
+m AS (SELECT row_id, doc_id, 50 + (50 * n * docs) // total AS m FROM sizes CROSS JOIN facts),
+s AS (
+  SELECT q.item, q.item_id, m.row_id, m.doc_id, CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN m ON t.row_id = m.row_id
+  GROUP BY q.item, q.item_id, m.row_id, m.doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op2_quality": OP2, "op6_mixing": OP6, "op11_lexical": OP11}

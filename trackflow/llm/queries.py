@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackflow.llm import extraction, langid, mixing, neardup, neighbours, packing, quality, scoring, sharding, toxicity
+from trackflow.llm import (
+    extraction,
+    langid,
+    lexical,
+    mixing,
+    neardup,
+    neighbours,
+    packing,
+    quality,
+    scoring,
+    sharding,
+    toxicity,
+    whitening,
+)
 from trackflow.llm.shared import id_fold
 
 
@@ -75,6 +88,14 @@ def op10_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(table(spark, folder, "pages"))
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
@@ -86,4 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_sharding": op9_sharding,
     "op10_extraction": op10_extraction,
+    "op11_lexical": op11_lexical,
+    "op13_whitening": op13_whitening,
 }
