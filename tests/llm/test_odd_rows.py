@@ -86,7 +86,7 @@ def test_quality(odd, labels):
     assert OPERATORS["quality"](odd, labels).count() == len(ROWS)
     assert rows[(8, 100_000)].n_repeat_words == 100_000 and rows[(8, 100_000)].base_failed
     assert rows[(3, 0)].base_failed and not rows[(3, 0)].kept
-    assert rows[(1, 15)].kept and rows[(1, 15)].word_chars == 50
+    assert rows[(1, 16)].kept and rows[(1, 15)].word_chars == 49
 
 
 def test_packing(odd, labels):

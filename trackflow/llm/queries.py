@@ -15,6 +15,7 @@ from trackflow.llm import (
     neardup,
     neighbours,
     packing,
+    positive,
     quality,
     scoring,
     sharding,
@@ -92,6 +93,15 @@ def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_positive(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    learned = docs.where(id_fold("doc_id", 4) != 2)
+    labels = table(spark, folder, "labels").where(id_fold("doc_id", 4) != 2)
+    held_out = F.coalesce(id_fold("row.doc_id", 4) == 2, F.lit(True)).alias("held_out")
+    found = positive.classify(docs, learned, labels)
+    return found.select("row.doc_id", held_out, "score", "predicted")
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -108,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_extraction": op10_extraction,
     "op11_lexical": op11_lexical,
+    "op12_positive": op12_positive,
     "op13_whitening": op13_whitening,
 }
