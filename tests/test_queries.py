@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 import check
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SMALL
+from oracle import ORACLE
 from trackflow.config import Settings
 from trackflow.functions import geo
 from trackflow.functions.numbers import nullable_percent_change, safe_percent_change
 from trackflow.operators import benchmark, fleet, points, quality, state, trends
 from trackflow.operators.quantiles import percentiles
+from trackflow.plans.queries import QUERIES
 from trackflow.sources import tables
 
 
@@ -175,7 +177,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

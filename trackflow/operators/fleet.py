@@ -7,12 +7,14 @@ are taken chunk by chunk over the arrival order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackflow.config import ACTIVE, DEFAULTS, END, Settings
 from trackflow.functions.numbers import half_up_ratio, safe_percent_change
-from trackflow.operators.ordered import Ordered
+from trackflow.operators.ordered import CHUNK, Ordered
 from trackflow.session import cut
 
 COUNTS = ("active", "ended", "transit")
@@ -51,37 +53,30 @@ def fleet_rows(moving: Ordered, cfg: Settings = DEFAULTS) -> DataFrame:
 
 
 def fleet_totals(
-    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False, micro_batch: bool = False
+    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False,
+    hold: Callable[[DataFrame], DataFrame] = cut,
 ) -> DataFrame:
     """Running totals of the differences in arrival order, with their changes.
 
     Changes compare the totals at the latest re-baseline row with those at the one before it.
-    Re-baseline rows are found among the first rows of each event second (the only ones that can
-    be later than all rows before them), at least ``rebaseline_s`` apart.
+    Re-baseline rows are found among the rows later than all rows before them (no other can be one),
+    at least ``rebaseline_s`` apart. Those rows are few, and all steps after the totals run on them.
     """
     order = "seq"
     slim = differences.select(
         order, "taxi_id", "event_s", "processed_at_utc_ms", *[f"_d_{n}" for n in TOTALS]
     )
-    if micro_batch:
-        totals = Ordered.bounded(slim, order)
-    else:
-        # Read several times below, so written once instead of running the chain again.
-        slim = cut(slim)
-        totals = Ordered.globally(slim, order, cfg.max_group_rows)
-    totals = totals.sum_since(None, **{n: F.col(f"_d_{n}") for n in TOTALS})
+    rows = Ordered.globally(slim, order, cfg.max_group_rows, hold)
+    totals = rows.totals({"_top": F.col("event_s")}, **{n: F.col(f"_d_{n}") for n in TOTALS})
     totals = totals.drop(*[f"_d_{n}" for n in TOTALS])
 
-    firsts = slim.groupBy("event_s").agg(F.min(order).alias(order))
-    bases = totals.over(firsts).sample_every(cfg.rebaseline_s, "event_s").rows()
-    bases = bases.select(F.col(order).alias("_base"))
-    marked = totals.df.join(bases, F.col(order) == F.col("_base"), "left")
-
+    records = totals.df.where(F.col("event_s") > F.coalesce(F.col("_top"), F.col("event_s") - 1))
+    records = totals.like(rows.hold(records.select(order, CHUNK, "event_s", *TOTALS)))
     # Totals at the base before this one. The base before the first change counts as an empty
     # fleet, so that a change needs a base whose own predecessor exists.
     snapshot = F.struct(*[F.col(n).alias(n) for n in TOTALS])
-    at_bases = totals.like(marked.where(F.col("_base").isNotNull())).last_before(_from=snapshot)
-    at_bases = at_bases.last_before(_second=F.col("_from.active"))
+    bases = records.sample_every(cfg.rebaseline_s, "event_s").last_before(_from=snapshot)
+    bases = bases.last_before(_second=F.col("_from.active"))
     changes = F.struct(
         *[
             F.coalesce(
@@ -94,11 +89,11 @@ def fleet_totals(
             for n in TOTALS
         ]
     )
-    at_bases = at_bases.rows().select(F.col(order).alias("_at"), changes.alias("_own"))
-    marked = marked.drop("_base").join(at_bases, F.col(order) == F.col("_at"), "left").drop("_at")
-    rows = totals.like(marked).last_before(_kept=F.col("_own"))
-    change = F.coalesce(F.col("_own"), F.col("_kept"))
-    return rows.rows().select(
+    bases = rows.hold(bases.df.select(order, CHUNK, changes.alias("_own")))
+    marked = totals.like(totals.drop("_top").df.join(bases, [order, CHUNK], "left"))
+    marked = marked.last_before(upto=True, within=bases, _kept=F.col("_own"))
+    change = F.col("_kept")
+    return marked.rows().select(
         order, "taxi_id", "event_s", "processed_at_utc_ms",
         F.col("active").alias("active_taxis_count"),
         change["active"].alias("active_taxis_change"),

@@ -28,6 +28,23 @@ CHUNK = "_chunk"
 WHOLE = -1  # chunk number of a key that is not cut
 MAX_SPLIT_KEYS = 1_000_000  # upper bound on the keys to cut; there are at most twice as many bounds
 STRIDE = 64  # bounds are searched in two steps of about this many
+FEW = 10_000  # rows of a sequence that are not worth several chunks
+
+
+class Held:
+    """Rows of a micro-batch that several steps read, kept where they are; lost ones are made again."""
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df.persist())
+        return self.frames[-1]
+
+    def release(self) -> None:
+        for df in self.frames:
+            df.unpersist()
+        self.frames.clear()
 
 
 def _quantiles(order: str, pieces: int) -> Column:
@@ -48,10 +65,11 @@ class Ordered:
     """A DataFrame with a key, an integer order column and a chunk number per row."""
 
     def __init__(
-        self, df: DataFrame, key: list[str], order: str, cut_keys: bool, chunk: Column | None = None
+        self, df: DataFrame, key: list[str], order: str, cut_keys: bool,
+        hold: Callable[[DataFrame], DataFrame] = cut,
     ):
         self.df, self.key, self.order, self.cut_keys = df, key, order, cut_keys
-        self.chunk = chunk  # of a global sequence: the chunk number as an expression of the order
+        self.hold = hold  # keeps what several steps read, and what flows into chunks
 
     @classmethod
     def by_key(cls, df: DataFrame, key: str, order: str, max_group_rows: int) -> "Ordered":
@@ -79,28 +97,30 @@ class Ordered:
         return cls(out.drop("_key", "_bounds"), [key], order, True)
 
     @classmethod
-    def globally(cls, df: DataFrame, order: str, max_group_rows: int) -> "Ordered":
-        """One sequence over all rows, in as many chunks as shuffles have partitions, or more."""
+    def globally(
+        cls, df: DataFrame, order: str, max_group_rows: int, hold: Callable[[DataFrame], DataFrame] = cut
+    ) -> "Ordered":
+        """One sequence over all rows; its chunks are the ranges of a range exchange on the order.
+
+        A row's chunk is the range that it was dealt to, so no bounds reach the driver or the plan,
+        whose size does not depend on the number of rows. ``hold`` keeps the numbered rows: a
+        checkpoint, or for a micro-batch, which is done again as a whole, ``Held``. So few rows that
+        cutting them costs more than it gives are one range.
+        """
+        # Read by the count, by the exchange's sample and by the exchange.
+        read = df.persist() if hold is cut else hold(df)
+        n = read.count()
         tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-        n = df.agg(F.count(F.lit(1))).first()[0]
-        pieces = max(tasks, -(-2 * n // max_group_rows))
-        bounds = df.agg(_quantiles(order, pieces)).first()[0] or [0]
-        chunk = _chunk(order, F.array(*[F.lit(int(b)).cast("bigint") for b in bounds]))
-        return cls(df.withColumn(CHUNK, chunk), [], order, True, chunk)
-
-    @classmethod
-    def bounded(cls, df: DataFrame, order: str) -> "Ordered":
-        """One sequence over the rows of a micro-batch, which its trigger's limit bounds."""
-        chunk = F.lit(0).cast("bigint")
-        return cls(df.withColumn(CHUNK, chunk), [], order, False, chunk)
+        pieces = max(-(-2 * n // max_group_rows) if n > max_group_rows else 1, min(tasks, -(-n // FEW)))
+        ranged = read.repartitionByRange(pieces, F.col(order).asc())
+        ranged = hold(ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint")))
+        if hold is cut:
+            read.unpersist()
+        return cls(ranged, [], order, pieces > 1, hold)
 
     def like(self, df: DataFrame) -> "Ordered":
         """The same key, order and chunks over a DataFrame derived from this one."""
-        return Ordered(df, self.key, self.order, self.cut_keys, self.chunk)
-
-    def over(self, df: DataFrame) -> "Ordered":
-        """The chunks of this global sequence over other rows, at most one per order value."""
-        return self.like(df.withColumn(CHUNK, self.chunk))
+        return Ordered(df, self.key, self.order, self.cut_keys, self.hold)
 
     # -- plain DataFrame steps -------------------------------------------------------------
 
@@ -118,7 +138,7 @@ class Ordered:
 
         The checkpoint keeps the partitioning, so later steps need no further exchange.
         """
-        return self.like(cut(self.df)) if self.cut_keys else self
+        return self.like(self.hold(self.df)) if self.cut_keys else self
 
     def rows(self) -> DataFrame:
         return self.df.drop(CHUNK)
@@ -139,14 +159,20 @@ class Ordered:
         same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_in{n}")) for n in names])
         return df.join(side, same, "left").drop(*[f"_in{n}" for n in names])
 
-    def last_before(self, descending: bool = False, **values: Column) -> "Ordered":
-        """Last non-null value strictly before the row (strictly after it when descending)."""
-        before = self._window(descending=descending).rowsBetween(Window.unboundedPreceding, -1)
+    def last_before(
+        self, descending: bool = False, upto: bool = False, within: DataFrame | None = None, **values: Column
+    ) -> "Ordered":
+        """Last non-null value strictly before the row (strictly after it when descending).
+
+        ``upto`` counts the row itself; ``within`` are the only rows with values, where they are
+        known, so that what flows into chunks need not be looked for in all rows."""
+        before = self._window(descending=descending).rowsBetween(Window.unboundedPreceding, 0 if upto else -1)
         local = {n: F.last(v, ignorenulls=True).over(before) for n, v in values.items()}
         if not self.cut_keys:
             return self.like(self.df.withColumns(local))
         pick = F.min_by if descending else F.max_by
-        summary = self._cut_rows(self.df).withColumns({f"_v{n}": v for n, v in values.items()})
+        summary = self._cut_rows(self.df if within is None else within)
+        summary = summary.withColumns({f"_v{n}": v for n, v in values.items()})
         summary = summary.groupBy(*self.key, CHUNK).agg(
             *[
                 pick(f"_v{n}", F.when(F.col(f"_v{n}").isNotNull(), F.col(self.order))).alias(n)
@@ -156,7 +182,11 @@ class Ordered:
         order = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
         earlier = Window.partitionBy(*self.key).orderBy(order)
         earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-        carry = cut(
+        if within is not None:
+            # Chunks without such rows take over what flowed into the one before.
+            chunks = self.df.select(*self.key, CHUNK).distinct()
+            summary = chunks.join(summary, [*self.key, CHUNK], "left")
+        carry = self.hold(
             summary.select(
                 *self.key, CHUNK,
                 *[F.last(n, ignorenulls=True).over(earlier).alias(f"_c{n}") for n in values],
@@ -221,12 +251,39 @@ class Ordered:
         era = Window.partitionBy(*self.key, "_era").orderBy(CHUNK)
         era = era.rowsBetween(Window.unboundedPreceding, 0)
         running = tails.withColumns({n: F.sum(n).over(era) for n in names})
-        return cut(
+        return self.hold(
             running.select(
                 *self.key, CHUNK, *[F.lag(n).over(scan).alias(f"_c{n}") for n in names]
             )
         )
 
+    def totals(self, top: dict[str, Column], **sums: Column) -> "Ordered":
+        """Running sums including the row, and under ``top`` the largest value strictly before it.
+
+        Both flow into chunks by one summary of all chunks."""
+        upto = self._window().rowsBetween(Window.unboundedPreceding, 0)
+        before = self._window().rowsBetween(Window.unboundedPreceding, -1)
+        local = {n: F.sum(v).over(upto) for n, v in sums.items()}
+        local |= {n: F.max(v).over(before) for n, v in top.items()}
+        if not self.cut_keys:
+            return self.like(self.df.withColumns(local))
+        summary = self._cut_rows(self.df).groupBy(*self.key, CHUNK).agg(
+            *[F.sum(v).alias(f"_c{n}") for n, v in sums.items()],
+            *[F.max(v).alias(f"_c{n}") for n, v in top.items()],
+        )
+        earlier = Window.partitionBy(*self.key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carry = summary.select(
+            *self.key, CHUNK,
+            *[F.sum(f"_c{n}").over(earlier).alias(f"_c{n}") for n in sums],
+            *[F.max(f"_c{n}").over(earlier).alias(f"_c{n}") for n in top],
+        )
+        out = self._attach(self.df.withColumns(local), self.hold(carry))
+        out = out.withColumns(
+            {n: F.col(n) + F.coalesce(F.col(f"_c{n}"), F.lit(0)) for n in sums}
+            | {n: F.greatest(F.col(n), F.col(f"_c{n}")) for n in top}
+        )
+        return self.like(out.drop(*[f"_c{n}" for n in (*sums, *top)]))
+
     def sample_every(self, interval: int, time: str, restart: Column | None = None) -> "Ordered":
         """Keep rows at least ``interval`` seconds after the last kept one; greedy, in order.
 
@@ -266,7 +323,7 @@ class Ordered:
         carry = steps.groupBy(*self.key).applyInPandas(
             compose_steps(keep, interval), T.StructType(keyed + [T.StructField("_last", T.LongType())])
         )
-        return cut(carry)
+        return self.hold(carry)
 
 
 def pick(times: np.ndarray, last: int | None, interval: int) -> tuple[list[int], int | None]:
@@ -286,38 +343,46 @@ def pick(times: np.ndarray, last: int | None, interval: int) -> tuple[list[int],
         last = int(times[at])
 
 
-def thin(names: list[str], interval: int) -> Callable:
-    """Filter the ordered rows of chunks, each of which begins at place 1, in linear time."""
+def kept_rows(batch: pa.RecordBatch, last: int | None, interval: int) -> tuple[np.ndarray, int | None]:
+    """Which rows of a batch to keep, in linear time; chunks begin at place 1, ``last`` flows in."""
+    place = batch.column("_place").to_numpy(zero_copy_only=False)
+    restart = batch.column("_restart").to_numpy(zero_copy_only=False)
+    inflow = batch.column("_inflow")
+    time = batch.column("_time")
+    # A row without a time is kept only where any row would be; it leaves no time behind.
+    timed = time.is_valid().to_numpy(zero_copy_only=False)
+    times = time.fill_null(0).to_numpy(zero_copy_only=False)
+    keep = np.zeros(batch.num_rows, bool)
+    alone = restart | ~timed
+    cuts = np.unique(np.concatenate((np.flatnonzero(place == 1), np.flatnonzero(alone), np.flatnonzero(alone) + 1)))
+    cuts = np.append(cuts[cuts < len(place)], len(place))
+    lo = 0
+    for hi in cuts.tolist():
+        if hi == lo:
+            continue
+        if place[lo] == 1:
+            last = inflow[lo].as_py()
+        if restart[lo]:
+            keep[lo], last = True, None
+        elif not timed[lo]:
+            keep[lo] = last is None
+        else:
+            kept, last = pick(times[lo:hi], last, interval)
+            keep[lo + np.array(kept, np.int64)] = True
+        lo = hi
+    return keep, last
+
+
+def thin(names: list[str], interval: int, flag: str | None = None) -> Callable:
+    """Filter the ordered rows of chunks, or flag in a further column which ones would stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: int | None = None
         for batch in batches:
-            place = batch.column("_place").to_numpy(zero_copy_only=False)
-            restart = batch.column("_restart").to_numpy(zero_copy_only=False)
-            inflow = batch.column("_inflow")
-            time = batch.column("_time")
-            # A row without a time is kept only where any row would be; it leaves no time behind.
-            timed = time.is_valid().to_numpy(zero_copy_only=False)
-            times = time.fill_null(0).to_numpy(zero_copy_only=False)
-            keep = np.zeros(batch.num_rows, bool)
-            alone = restart | ~timed
-            cuts = np.unique(np.concatenate((np.flatnonzero(place == 1), np.flatnonzero(alone), np.flatnonzero(alone) + 1)))
-            cuts = np.append(cuts[cuts < len(place)], len(place))
-            lo = 0
-            for hi in cuts.tolist():
-                if hi == lo:
-                    continue
-                if place[lo] == 1:
-                    last = inflow[lo].as_py()
-                if restart[lo]:
-                    keep[lo], last = True, None
-                elif not timed[lo]:
-                    keep[lo] = last is None
-                else:
-                    kept, last = pick(times[lo:hi], last, interval)
-                    keep[lo + np.array(kept, np.int64)] = True
-                lo = hi
-            if keep.any():
+            keep, last = kept_rows(batch, last, interval)
+            if flag is not None:
+                yield batch.select(names).append_column(flag, pa.array(keep))
+            elif keep.any():
                 yield batch.select(names).filter(pa.array(keep))
 
     return run

@@ -20,6 +20,7 @@ from trackflow.functions.messages import (
 from trackflow.operators import points
 from trackflow.operators.alerts import all_alerts, incident_log
 from trackflow.operators.fleet import as_differences, as_message, closing_rows, fleet_totals
+from trackflow.operators.ordered import Held
 from trackflow.sources.streams import batch_sink, kafka_stream, sink
 from trackflow.sources.tables import write_batch, write_latest, write_point_batch
 from trackflow.streaming.chain import process_stream
@@ -69,13 +70,15 @@ class FleetSink:
         if batch_id > 0:
             opening = spark.read.parquet(f"{self.out}/fleet_state/batch={batch_id - 1}")
             rows = batch.select(*_slim(batch)).unionByName(as_differences(opening))
-        totals = fleet_totals(rows, self.cfg, with_state=True, micro_batch=True).persist()
+        held = Held()
+        totals = fleet_totals(rows, self.cfg, with_state=True, hold=held).persist()
         write_batch(closing_rows(totals), f"{self.out}/fleet_state", batch_id)
         own = totals if opening is None else totals.join(
             F.broadcast(opening.select("seq")), "seq", "left_anti"
         )
         write_batch(own.drop("_base", "active", "ended", "transit", "metres"), f"{self.out}/fleet", batch_id)
         totals.unpersist()
+        held.release()
 
 
 def _slim(batch: DataFrame) -> list[str]:
