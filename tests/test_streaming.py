@@ -14,7 +14,6 @@ from trackflow.schema import FLEET_MESSAGE, LONG, TEXT, row
 from trackflow.sources import streams, tables
 from trackflow.streaming import inactivity as watch
 from trackflow.streaming import pipeline
-from trackflow.streaming.chain import process_stream
 
 
 @pytest.fixture(scope="module")
@@ -48,19 +47,23 @@ def take(spark, rows, path, out, **kwargs):
     pipeline.start(source, out, every=None, **kwargs).awaitTermination()
 
 
-def test_pipeline_equals_batch_with_restart(spark, rows, tmp_path):
+def take_in_two_runs(spark, rows, path, out, batches, **kwargs):
+    feed(rows, path, batches, 0, -(-batches // 2))
+    take(spark, rows, path, out, **kwargs)
+    if batches > 1:
+        feed(rows, path, batches, -(-batches // 2))
+        take(spark, rows, path, out, **kwargs)  # goes on from the checkpoint
+
+
+@pytest.mark.parametrize(("batches", "cfg"), [(1, Settings()), (3, Settings(max_group_rows=40)), (8, Settings())])
+def test_pipeline_equals_batch_with_restart(spark, rows, tmp_path, batches, cfg):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
-    feed(rows, path, 3, 0, 2)
-    take(spark, rows, path, out)
-    feed(rows, path, 3, 2)
-    take(spark, rows, path, out)  # goes on from the checkpoint
+    take_in_two_runs(spark, rows, path, out, batches, cfg=cfg)
     want = process(rows).cache()
     same(tables.read_batches(spark, f"{out}/processed"), want)
     same(tables.read_batches(spark, f"{out}/incidents"), alerts.incident_log(alerts.all_alerts(want)))
     same(tables.read_latest(spark, f"{out}/latest"), state.latest_per_taxi(want))
     same(tables.read_batches(spark, f"{out}/fleet"), fleet.fleet_rows(moving(ordered_pings(rows))))
-    tables.compact_latest(spark, f"{out}/latest", f"{out}/compacted")
-    same(tables.read_latest(spark, f"{out}/compacted"), state.latest_per_taxi(want))
 
 
 def test_published_messages(spark, rows, tmp_path):
@@ -75,8 +78,6 @@ def test_published_messages(spark, rows, tmp_path):
     with pytest.raises(ValueError):
         pipeline.PipelineSink(out, Settings(), publish=publish)
     source = streams.file_stream(spark, path, rows.schema)
-    with pytest.raises(ValueError):
-        pipeline.start(source, out, Settings(state_ttl_s=60), every=None)
     pipeline.start(source, out, cfg, every=None, publish=publish).awaitTermination()
     want = process(some).cache()
     done = tables.read_batches(spark, f"{out}/done_topic")
@@ -104,10 +105,8 @@ def test_from_messages(spark, tmp_path):
         row(seq=LONG, value=TEXT))
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     source = streams.file_stream(spark, str(tmp_path / "in"), rows.schema)
-    out = process_stream(pipeline.pings_from_messages(source))
-    writer = streams.sink(out, str(tmp_path / "cp"), every=None, path=str(tmp_path / "out"))
-    writer.start().awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).orderBy("seq").collect()
+    pipeline.start(pipeline.pings_from_messages(source), str(tmp_path / "out"), every=None).awaitTermination()
+    got = tables.read_batches(spark, str(tmp_path / "out" / "processed")).orderBy("seq").collect()
     assert [(r.seq, r.speed) for r in got] == [(1, 0.0), (3, 66.72)]
     assert got[1].speed_alert
 

@@ -21,7 +21,7 @@ COUNTS = ("active", "ended", "transit")
 TOTALS = (*COUNTS, "metres")
 
 
-def _differences(moving: Ordered, cfg: Settings) -> Ordered:
+def differences(moving: Ordered, cfg: Settings) -> Ordered:
     """What each row adds to the fleet totals."""
     status = F.col("trip_status")
     transit = F.coalesce(F.col("speed"), F.lit(0.0)) > cfg.in_transit_kmph
@@ -49,11 +49,11 @@ def _differences(moving: Ordered, cfg: Settings) -> Ordered:
 
 def fleet_rows(moving: Ordered, cfg: Settings = DEFAULTS) -> DataFrame:
     """Fleet counts, distance and percent changes as of every row of the chain."""
-    return fleet_totals(_differences(moving, cfg).rows().withColumnRenamed(moving.order, "seq"), cfg)
+    return fleet_totals(differences(moving, cfg).rows().withColumnRenamed(moving.order, "seq"), cfg)
 
 
 def fleet_totals(
-    differences: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False,
+    changes: DataFrame, cfg: Settings = DEFAULTS, with_state: bool = False,
     hold: Callable[[DataFrame], DataFrame] = cut,
 ) -> DataFrame:
     """Running totals of the differences in arrival order, with their changes.
@@ -63,7 +63,7 @@ def fleet_totals(
     at least ``rebaseline_s`` apart. Those rows are few, and all steps after the totals run on them.
     """
     order = "seq"
-    slim = differences.select(
+    slim = changes.select(
         order, "taxi_id", "event_s", "processed_at_utc_ms", *[f"_d_{n}" for n in TOTALS]
     )
     rows = Ordered.globally(slim, order, cfg.max_group_rows, hold)
@@ -77,7 +77,7 @@ def fleet_totals(
     snapshot = F.struct(*[F.col(n).alias(n) for n in TOTALS])
     bases = records.sample_every(cfg.rebaseline_s, "event_s").last_before(_from=snapshot)
     bases = bases.last_before(_second=F.col("_from.active"))
-    changes = F.struct(
+    percents = F.struct(
         *[
             F.coalesce(
                 F.when(
@@ -89,7 +89,7 @@ def fleet_totals(
             for n in TOTALS
         ]
     )
-    bases = rows.hold(bases.df.select(order, CHUNK, changes.alias("_own")))
+    bases = rows.hold(bases.df.select(order, CHUNK, percents.alias("_own")))
     marked = totals.like(totals.drop("_top").df.join(bases, [order, CHUNK], "left"))
     marked = marked.last_before(upto=True, within=bases, _kept=F.col("_own"))
     change = F.col("_kept")

@@ -31,22 +31,6 @@ STRIDE = 64  # bounds are searched in two steps of about this many
 FEW = 10_000  # rows of a sequence that are not worth several chunks
 
 
-class Held:
-    """Rows of a micro-batch that several steps read, kept where they are; lost ones are made again."""
-
-    def __init__(self) -> None:
-        self.frames: list[DataFrame] = []
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        self.frames.append(df.persist())
-        return self.frames[-1]
-
-    def release(self) -> None:
-        for df in self.frames:
-            df.unpersist()
-        self.frames.clear()
-
-
 def _quantiles(order: str, pieces: int) -> Column:
     """Bounds between so many even pieces of the order column; one more row per hundred at most."""
     shares = [i / pieces for i in range(1, pieces)]
@@ -104,7 +88,7 @@ class Ordered:
 
         A row's chunk is the range that it was dealt to, so no bounds reach the driver or the plan,
         whose size does not depend on the number of rows. ``hold`` keeps the numbered rows: a
-        checkpoint, or for a micro-batch, which is done again as a whole, ``Held``. So few rows that
+        checkpoint, or for a micro-batch tables that go with it. So few rows that
         cutting them costs more than it gives are one range.
         """
         # Read by the count, by the exchange's sample and by the exchange.

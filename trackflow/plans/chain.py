@@ -24,18 +24,22 @@ def moving(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
     return motion.distance(averaged(pings, cfg))
 
 
-def process(pings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def chained(pings: Ordered, cfg: Settings = DEFAULTS) -> Ordered:
     """Every processed ping, with both alert flags.
 
     The rows that count towards the distance are the rows that the alerts read, so one look back
     serves all three; the distance comes last, as its sums are the only step that needs another
     sort order than (key, order).
     """
-    rows = alerts.centred(motion.travelled(averaged(ordered_pings(pings, cfg), cfg)), cfg)
+    rows = alerts.centred(motion.travelled(averaged(pings, cfg)), cfg)
     rows = rows.last_before(
         _warned=alerts.warned_state(cfg),
         _alerted=alerts.alerted_state(cfg),
         _prev=motion.last_position(),
     )
     rows = alerts.add_speeding(alerts.add_geofence(rows, cfg), cfg)
-    return motion.add_distance(rows).rows()
+    return motion.add_distance(rows)
+
+
+def process(pings: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    return chained(ordered_pings(pings, cfg), cfg).rows()

@@ -28,7 +28,6 @@ from trackflow.plans import chain
 from trackflow.plans.fixture import conflict_pings, load_pings, raw_pings, stream_pings
 from trackflow.session import cut, shared_dir
 from trackflow.sources import files, streams, tables
-from trackflow.streaming import chain as stream_chain_step
 from trackflow.streaming import inactivity as stream_inactivity
 from trackflow.streaming import pipeline
 
@@ -669,7 +668,6 @@ def _run(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 
 def _run_pipeline(spark: SparkSession, sf_dir: str, fleet: bool) -> str:
-    pipeline.use_rocksdb(spark)
     out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     pipeline.start(stream_pings(spark, sf_dir), out, every=None, fleet=fleet).awaitTermination()
     return out
@@ -677,9 +675,8 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, fleet: bool) -> str:
 
 @query
 def stream_chain(spark, sf_dir):
-    pipeline.use_rocksdb(spark)
-    rows = _run(spark, stream_chain_step.process_stream(stream_pings(spark, sf_dir)))
-    return rows.drop(*pipeline.PRIVATE, "received_at_utc_ms")
+    rows = tables.read_batches(spark, _run_pipeline(spark, sf_dir, False) + "/processed")
+    return rows.drop("received_at_utc_ms")
 
 
 @query

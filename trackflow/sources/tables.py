@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackflow.operators.state import latest_per_taxi
+from trackflow.sources.versions import Versioned
 
 
 def write_cleaned(cleaned: DataFrame, path: str) -> bool:
@@ -54,19 +54,9 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path).drop("batch")
 
 
-def write_latest(changes: DataFrame, path: str, batch_id: int) -> None:
-    """Upsert as an append: the newest row of each taxi that the batch touched."""
-    write_batch(latest_per_taxi(changes), path, batch_id)
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Current row per taxi over all batches."""
-    return latest_per_taxi(read_batches(spark, path))
-
-
-def compact_latest(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the accumulated batches as one row per taxi in a new folder."""
-    read_latest(spark, path).write.mode("overwrite").parquet(f"{target}/batch=0")
+def read_latest(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """Current row per taxi, or that as of a version; None before the first one."""
+    return Versioned(spark, path, "taxi_id").read(version)
 
 
 def write_report(windows: DataFrame, summary: DataFrame, path: str) -> None:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,14 +22,15 @@ from trackflow.functions.messages import (
 from trackflow.operators import points
 from trackflow.operators.alerts import all_alerts, incident_log
 from trackflow.operators.fleet import as_differences, as_message, closing_rows, fleet_totals
-from trackflow.operators.ordered import Held
+from trackflow.operators.state import latest_per_taxi
+from trackflow.session import Held
 from trackflow.sources.streams import batch_sink, kafka_stream, sink
-from trackflow.sources.tables import write_batch, write_latest, write_point_batch
-from trackflow.streaming.chain import process_stream
+from trackflow.sources.tables import write_batch, write_point_batch
+from trackflow.sources.versions import Versioned
+from trackflow.streaming.chain import PRIVATE, ChainStep
 
 Publish = Callable[[DataFrame, str, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PRIVATE = ["_d_active", "_d_ended", "_d_transit", "_d_metres"]
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -54,6 +57,14 @@ def wall_clock_ms() -> int:
     return time.time_ns() // 1_000_000
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
+    """Run independent jobs of a micro-batch side by side: each is small, and most of its time is waiting."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        # Threads inherit the query's job group, so that stopping it stops their jobs.
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()
+
+
 class FleetSink:
     """Fleet rows per micro-batch; the closing rows of one batch open the next.
 
@@ -65,20 +76,24 @@ class FleetSink:
         self.out, self.cfg = out, cfg
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        held = Held(batch.sparkSession, self.out)
+        rows, closing = self.rows(batch, batch_id, held)
+        write_batch(closing, f"{self.out}/fleet_state", batch_id)
+        write_batch(rows, f"{self.out}/fleet", batch_id)
+        held.release()
+
+    def rows(self, batch: DataFrame, batch_id: int, hold: Held) -> tuple[DataFrame, DataFrame]:
+        """(fleet rows of the batch, rows that open the next one)."""
         spark = batch.sparkSession
         rows, opening = batch, None
         if batch_id > 0:
             opening = spark.read.parquet(f"{self.out}/fleet_state/batch={batch_id - 1}")
             rows = batch.select(*_slim(batch)).unionByName(as_differences(opening))
-        held = Held()
-        totals = fleet_totals(rows, self.cfg, with_state=True, hold=held).persist()
-        write_batch(closing_rows(totals), f"{self.out}/fleet_state", batch_id)
+        totals = hold(fleet_totals(rows, self.cfg, with_state=True, hold=hold))
         own = totals if opening is None else totals.join(
             F.broadcast(opening.select("seq")), "seq", "left_anti"
         )
-        write_batch(own.drop("_base", "active", "ended", "transit", "metres"), f"{self.out}/fleet", batch_id)
-        totals.unpersist()
-        held.release()
+        return own.drop("_base", "active", "ended", "transit", "metres"), closing_rows(totals)
 
 
 def _slim(batch: DataFrame) -> list[str]:
@@ -86,7 +101,7 @@ def _slim(batch: DataFrame) -> list[str]:
 
 
 class PipelineSink:
-    """All tables from one pass over each micro-batch; repeating a batch replaces its files.
+    """The chain and all its tables for each micro-batch; repeating a batch replaces its files.
 
     With ``publish(messages, topic, batch_id)`` the three kinds of events also leave as messages,
     at least once. With a ``clock`` the processed time is read when the chain has computed the
@@ -98,34 +113,43 @@ class PipelineSink:
         clock: Callable[[], int] | None = None,
     ):
         self.out, self.cfg, self.publish, self.clock = out, cfg, publish, clock
+        self.chain = ChainStep(out, cfg)
         self.fleet = FleetSink(out, cfg) if fleet else None
         if publish is not None:
             cfg.require_topics()
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        computed = batch.persist()
-        batch = computed
+    def __call__(self, pings: DataFrame, batch_id: int) -> None:
+        spark, held = pings.sparkSession, Held(pings.sparkSession, self.out)
+        batch, states = self.chain.rows(pings, batch_id, held)
         if self.clock is not None:
-            computed.count()
-            batch = computed.withColumn("processed_at_utc_ms", F.lit(self.clock()).cast("bigint"))
+            batch.count()
+            batch = batch.withColumn("processed_at_utc_ms", F.lit(self.clock()).cast("bigint"))
         shown = batch.drop(*PRIVATE)
         raised = all_alerts(shown)
-        write_batch(shown, f"{self.out}/processed", batch_id)
-        write_batch(incident_log(raised), f"{self.out}/incidents", batch_id)
-        write_latest(shown, f"{self.out}/latest", batch_id)
-        write_point_batch(points.taxi_points(shown), f"{self.out}/points/taxi_metrics", batch_id)
-        write_point_batch(points.alert_points(raised), f"{self.out}/points/alerts", batch_id)
+        latest = latest_per_taxi(shown)
+        steps = [
+            lambda: self.chain.close(states, batch_id),
+            lambda: write_batch(shown, f"{self.out}/processed", batch_id),
+            lambda: write_batch(incident_log(raised), f"{self.out}/incidents", batch_id),
+            lambda: Versioned(spark, f"{self.out}/latest", "taxi_id").upsert(latest, batch_id),
+            lambda: write_point_batch(points.taxi_points(shown), f"{self.out}/points/taxi_metrics", batch_id),
+            lambda: write_point_batch(points.alert_points(raised), f"{self.out}/points/alerts", batch_id),
+        ]
         if self.fleet is not None:
-            self.fleet(batch, batch_id)
-            written = batch.sparkSession.read.parquet(f"{self.out}/fleet/batch={batch_id}")
-            write_point_batch(points.fleet_points(written), f"{self.out}/points/fleet_metrics", batch_id)
+            steps.append(lambda: self._fleet(batch, batch_id, held))
+        if self.publish is not None:
+            steps.append(lambda: self.publish(processed_messages(shown), self.cfg.processed_topic, batch_id))
+            steps.append(lambda: self.publish(alert_messages(raised), self.cfg.alerts_topic, batch_id))
+        together(spark, *steps)
+        held.release()
+
+    def _fleet(self, batch: DataFrame, batch_id: int, held: Held) -> None:
+        rows, closing = self.fleet.rows(batch, batch_id, held)
+        write_batch(closing, f"{self.out}/fleet_state", batch_id)
+        write_batch(rows, f"{self.out}/fleet", batch_id)
+        write_point_batch(points.fleet_points(rows), f"{self.out}/points/fleet_metrics", batch_id)
         if self.publish is not None:
-            self.publish(processed_messages(shown), self.cfg.processed_topic, batch_id)
-            self.publish(alert_messages(raised), self.cfg.alerts_topic, batch_id)
-            if self.fleet is not None:
-                messages = fleet_messages(as_message(written))
-                self.publish(messages, self.cfg.fleet_topic, batch_id)
-        computed.unpersist()
+            self.publish(fleet_messages(as_message(rows)), self.cfg.fleet_topic, batch_id)
 
 
 def kafka_publisher(servers: str) -> Publish:
@@ -141,12 +165,8 @@ def start(
     fleet: bool = True, publish: Publish | None = None, clock: Callable[[], int] | None = None,
 ) -> StreamingQuery:
     """The whole job over a stream of typed pings."""
-    if cfg.state_ttl_s and every is None:
-        # Expiry by processing time keeps asking for further batches, so such a run never ends.
-        raise ValueError("state_ttl_s needs a trigger interval")
-    processed = process_stream(pings, cfg)
     tables = PipelineSink(out, cfg, fleet, publish, clock)
-    return batch_sink(processed, f"{out}/_checkpoint", tables, every).start()
+    return batch_sink(pings, f"{out}/_checkpoint", tables, every).start()
 
 
 def start_from_messages(
