@@ -550,5 +550,24 @@ SELECT event_s // 300 * 300 AS window_start, event_s // 300 * 300 + 300 AS windo
   CAST(sum(processed_at_utc_ms - sent_at_utc_ms) AS BIGINT) AS latency_sum_ms,
   max(processed_at_utc_ms - sent_at_utc_ms) AS latency_max_ms,
   min(processed_at_utc_ms - sent_at_utc_ms) AS latency_min_ms
-FROM pings GROUP BY 1 HAVING event_s // 300 * 300 + 300 <= (SELECT max(event_s) FROM pings)""")
+FROM pings GROUP BY 1""")
+ORACLE["stream_window_latest"] = ORACLE["latest_per_tumbling_5s"]
+STEPS["due"] = "SELECT *, seq + CASE WHEN taxi_id % 10 = 0 THEN 2000 ELSE 0 END AS due FROM pings"
+STEPS["sliced"] = "SELECT *, greatest(CAST(ceil(4.0 * due / (SELECT max(due) FROM due)) AS BIGINT), 1) AS slice FROM due"
+STEPS["marks"] = """
+SELECT slice, max(max(event_s)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM sliced GROUP BY slice"""
+define("late_rows", """
+SELECT seq, taxi_id, event_s, event_s // 300 * 300 AS window_start
+FROM sliced JOIN marks USING (slice) WHERE event_s // 300 * 300 + 300 <= mark""")
+define("arrival_order", """
+SELECT ping, topic, partition, ms * 2097152 + row_number() OVER (PARTITION BY ms ORDER BY topic, partition, ping) - 1 AS seq
+FROM (SELECT seq AS ping, topic, partition, max(sent_at_utc_ms) OVER (PARTITION BY topic, partition ORDER BY seq) AS ms
+      FROM (SELECT *, CASE WHEN taxi_id % 3 = 2 THEN 'b' ELSE 'a' END AS topic, CAST(taxi_id % 3 % 2 AS INT) AS partition FROM pings))""")
+ORACLE["stream_arrival_order"] = ORACLE["arrival_order"]
+ORACLE["latest_versions"] = ORACLE["stream_latest"]
+ORACLE["stored_fleet_trend"] = ORACLE["fleet_metrics_trend"]
+ORACLE["stored_incident_trend"] = ORACLE["fleet_incident_trend"]
+ORACLE["stored_last_50"] = ORACLE["last_50_incidents"]
+ORACLE["stored_points"] = f"SELECT * FROM ({ORACLE['points_taxi']}) WHERE time_ms >= 1704672000000 AND time_ms < 1705276800000"
+ORACLE["benchmark_report"] = ORACLE["latency_windows_day"]
 ORACLE["stream_inactive_trips"] = ORACLE["inactive_trips"]

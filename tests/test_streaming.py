@@ -61,7 +61,7 @@ def test_pipeline_equals_batch_with_restart(spark, rows, tmp_path, batches, cfg)
     take_in_two_runs(spark, rows, path, out, batches, cfg=cfg)
     want = process(rows).cache()
     same(tables.read_batches(spark, f"{out}/processed"), want)
-    same(tables.read_batches(spark, f"{out}/incidents"), alerts.incident_log(alerts.all_alerts(want)))
+    same(tables.read_log(spark, f"{out}/incidents"), alerts.incident_log(alerts.all_alerts(want)))
     same(tables.read_latest(spark, f"{out}/latest"), state.latest_per_taxi(want))
     same(tables.read_batches(spark, f"{out}/fleet"), fleet.fleet_rows(moving(ordered_pings(rows))))
 
@@ -139,26 +139,6 @@ def test_silence_timers_equal_batch(spark, rows, tmp_path):
     same(spark.read.parquet(str(tmp_path / "out")), want.select(*watch.NAMES))
 
 
-def test_window_stream(spark, rows, tmp_path):
-    on_time = rows.withColumn("event_s", F.lit(1_201_910_400) + F.col("seq"))
-    feed(on_time, str(tmp_path / "in"), 2)
-
-    def run(build, name):
-        source = streams.file_stream(spark, str(tmp_path / "in"), on_time.schema, files_per_trigger=1)
-        sink = streams.sink(build(source), str(tmp_path / f"cp{name}"), every=None, path=str(tmp_path / name))
-        sink.start().awaitTermination()
-        return spark.read.parquet(str(tmp_path / name))
-
-    top = on_time.agg(F.max("event_s")).first()[0]
-    counts = run(lambda s: pipeline.window_counts(s, 300), "counts")
-    start = F.col("event_s") - F.col("event_s") % 300
-    want = on_time.groupBy(start.alias("window_start")).agg(F.count("*").alias("pings"))
-    same(counts.select("window_start", "pings"), want.where(F.col("window_start") + 300 <= top))
-    latest = run(lambda s: pipeline.latest_per_window(s, 60), "latest")
-    done = on_time.where(F.col("event_s") - F.col("event_s") % 60 + 60 <= top)
-    same(latest, state.latest_per_tumbling(done, 60))
-
-
 def test_kafka_options():
     assert streams.topic_list(" a, b ,,c ") == ["a", "b", "c"]
     with pytest.raises(ValueError):

@@ -57,6 +57,8 @@ class Settings:
     max_group_rows: int = 2_000_000
     # Forget a silent taxi's streaming state after this long; 0 keeps it until the trip ends.
     state_ttl_s: int = 0
+    # Partitions of all source topics together; of more than one, messages are merged by sending time.
+    source_partitions: int = 1
     source_topics: str = ""
     processed_topic: str = ""
     alerts_topic: str = ""
@@ -74,6 +76,8 @@ class Settings:
             raise ValueError("refresh_interval_s must be between 1 and 10")
         if self.emit_interval_s < 1 or self.rebaseline_s < 1:
             raise ValueError("intervals must be at least one second")
+        if self.source_partitions < 1:
+            raise ValueError("source_partitions must be positive")
         if self.max_group_rows < 1:
             raise ValueError("max_group_rows must be positive")
 

@@ -8,6 +8,8 @@ of each key holds what all steps leave: the state that opens the key's next micr
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,13 @@ class Carried(Ordered):
 
     A key's rows of a micro-batch are bounded by its trigger, so keys are never cut."""
 
-    def __init__(self, df: DataFrame, key: list[str], order: str, steps: int = 0):
+    def __init__(
+        self, df: DataFrame, key: list[str], order: str, steps: int = 0,
+        tape: list[Callable[[DataFrame], DataFrame]] | None = None,
+    ):
         super().__init__(df, key, order, False)
         self.steps = steps  # steps that look back so far: their number names what they carry
+        self.tape = [] if tape is None else tape  # what was done to the rows, to be done to further ones
 
     @classmethod
     def opened(cls, df: DataFrame, key: str, order: str, state: DataFrame | None) -> "Carried":
@@ -38,11 +44,28 @@ class Carried(Ordered):
             rows = rows.join(side, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
         return cls(rows, [key], order)
 
+    def _do(self, change: Callable[[DataFrame], DataFrame]) -> "Carried":
+        return Carried(change(self.df), self.key, self.order, self.steps, [*self.tape, change])
+
+    def again(self, opened: "Carried") -> "Carried":
+        """The same steps over another micro-batch with the same columns; columns are not built anew."""
+        df = opened.df
+        for change in self.tape:
+            df = change(df)
+        return Carried(df, self.key, self.order, self.steps, self.tape)
+
     def like(self, df: DataFrame) -> "Carried":
-        return Carried(df, self.key, self.order, self.steps)
+        return Carried(df, self.key, self.order, self.steps, self.tape)
 
     def where(self, condition: Column) -> "Carried":
-        return self.like(self.df.withColumn(ALIVE, F.col(ALIVE) & F.coalesce(condition, F.lit(False))))
+        alive = F.col(ALIVE) & F.coalesce(condition, F.lit(False))
+        return self._do(lambda df: df.withColumn(ALIVE, alive))
+
+    def add(self, **columns: Column) -> "Carried":
+        return self._do(lambda df: df.withColumns(columns))
+
+    def drop(self, *names: str) -> "Carried":
+        return self._do(lambda df: df.drop(*names))
 
     def settled(self) -> "Carried":
         return self
@@ -75,9 +98,8 @@ class Carried(Ordered):
         names = self._next(list(values))
         alive = {n: F.when(F.col(ALIVE), v) for n, v in values.items()}
         found = {n: F.coalesce(F.last(v, ignorenulls=True).over(before), self._inflow(names[n])) for n, v in alive.items()}
-        out = self.df.withColumns(found)
-        out = out.withColumns({LEFT + names[n]: F.coalesce(v, F.col(n)) for n, v in alive.items()})
-        return self.like(out)
+        left = {LEFT + names[n]: F.coalesce(v, F.col(n)) for n, v in alive.items()}
+        return self._do(lambda df: df.withColumns(found).withColumns(left))
 
     def sum_since(self, reset: Column | None, exact: bool = False, **values: Column) -> "Carried":
         if reset is not None and not exact:
@@ -88,14 +110,20 @@ class Carried(Ordered):
         mark = F.col(ALIVE) & (F.coalesce(reset, F.lit(False)) if reset is not None else F.lit(False))
         zero = F.lit(0).cast("bigint")
         added = {f"_v{n}": F.when(F.col(ALIVE), F.coalesce(v, zero)).otherwise(zero) for n, v in values.items()}
-        df = self.df.withColumns({**added, "_reset": mark})
-        df = df.withColumns({n: F.sum(f"_v{n}").over(upto) for n in values})
+        sums = {n: F.sum(f"_v{n}").over(upto) for n in values}
         # A running sum less its value at the last reset; before any, what flowed in comes on top.
-        df = df.withColumns({f"_b{n}": F.last(F.when(F.col("_reset"), F.col(n)), True).over(before) for n in values})
-        base = {n: F.coalesce(F.col(f"_b{n}"), -F.coalesce(self._inflow(names[n]).cast("bigint"), zero)) for n in values}
-        df = df.withColumns({n: F.col(n) - base[n] for n in values})
-        df = df.withColumns({LEFT + names[n]: F.when(F.col("_reset"), zero).otherwise(F.col(n)) for n in values})
-        return self.like(df.drop("_reset", *added, *[f"_b{n}" for n in values]))
+        at_reset = {f"_b{n}": F.last(F.when(F.col("_reset"), F.col(n)), True).over(before) for n in values}
+        inflow = {n: F.coalesce(self._inflow(names[n]).cast("bigint"), zero) for n in values}
+        since = {n: F.col(n) - F.coalesce(F.col(f"_b{n}"), -inflow[n]) for n in values}
+        left = {LEFT + names[n]: F.when(F.col("_reset"), zero).otherwise(F.col(n)) for n in values}
+        steps = [added | {"_reset": mark}, sums, at_reset, since, left]
+
+        def change(df: DataFrame) -> DataFrame:
+            for columns in steps:
+                df = df.withColumns(columns)
+            return df.drop("_reset", *added, *at_reset)
+
+        return self._do(change)
 
     def totals(self, top: dict[str, Column], **sums: Column) -> "Carried":
         raise ValueError("totals are taken over the rows of all keys")
@@ -104,21 +132,24 @@ class Carried(Ordered):
         carried = self._next(["kept"])["kept"]
         mark = F.coalesce(restart, F.lit(False)) if restart is not None else F.lit(False)
         names, alive = self.df.columns, F.col(ALIVE)
-        inflow = self._inflow(carried)
-        df = self.df.select(
-            *names,
-            (mark & alive).alias("_restart"),
-            F.when(alive, F.col(time).cast("bigint")).alias("_time"),
-            inflow.cast("bigint").alias("_inflow"),
-            F.row_number().over(self._window()).alias("_place"),
-        )
-        steps = ["_restart", "_time", "_inflow"]
-        schema = T.StructType([*df.select(*names, *steps).schema.fields, T.StructField("_keep", T.BooleanType())])
-        df = df.mapInArrow(thin([*names, *steps], interval, "_keep"), schema)
-        df = df.withColumn(ALIVE, alive & F.col("_keep"))
+        steps = {
+            "_restart": mark & alive,
+            "_time": F.when(alive, F.col(time).cast("bigint")),
+            "_inflow": self._inflow(carried).cast("bigint"),
+        }
+        place = F.row_number().over(self._window()).alias("_place")
+        columns = [*names, *[c.alias(n) for n, c in steps.items()]]
+        kept_names = [*names, *steps]
+        schema = T.StructType([*self.df.select(*columns).schema.fields, T.StructField("_keep", T.BooleanType())])
         # What is left: the last kept time, none after a restart.
         upto = self._window().rowsBetween(Window.unboundedPreceding, 0)
         kept = F.when(alive, F.struct(F.when(~F.col("_restart"), F.col("_time")).alias("s")))
         last = F.last(kept, ignorenulls=True).over(upto)
         left = F.when(last.isNotNull(), last["s"]).otherwise(F.col("_inflow"))
-        return self.like(df.withColumn(LEFT + carried, left).drop("_keep", *steps))
+
+        def change(df: DataFrame) -> DataFrame:
+            df = df.select(*columns, place).mapInArrow(thin(kept_names, interval, "_keep"), schema)
+            df = df.withColumn(ALIVE, alive & F.col("_keep")).withColumn(LEFT + carried, left)
+            return df.drop("_keep", *steps)
+
+        return self._do(change)

@@ -71,7 +71,7 @@ def fleet_totals(
     totals = totals.drop(*[f"_d_{n}" for n in TOTALS])
 
     records = totals.df.where(F.col("event_s") > F.coalesce(F.col("_top"), F.col("event_s") - 1))
-    records = totals.like(rows.hold(records.select(order, CHUNK, "event_s", *TOTALS)))
+    records = totals.like(totals.hold(records.select(order, CHUNK, "event_s", *TOTALS)))
     # Totals at the base before this one. The base before the first change counts as an empty
     # fleet, so that a change needs a base whose own predecessor exists.
     snapshot = F.struct(*[F.col(n).alias(n) for n in TOTALS])
@@ -89,7 +89,7 @@ def fleet_totals(
             for n in TOTALS
         ]
     )
-    bases = rows.hold(bases.df.select(order, CHUNK, percents.alias("_own")))
+    bases = totals.hold(bases.df.select(order, CHUNK, percents.alias("_own")))
     marked = totals.like(totals.drop("_top").df.join(bases, [order, CHUNK], "left"))
     marked = marked.last_before(upto=True, within=bases, _kept=F.col("_own"))
     change = F.col("_kept")

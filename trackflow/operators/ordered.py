@@ -31,6 +31,10 @@ STRIDE = 64  # bounds are searched in two steps of about this many
 FEW = 10_000  # rows of a sequence that are not worth several chunks
 
 
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
 def _quantiles(order: str, pieces: int) -> Column:
     """Bounds between so many even pieces of the order column; one more row per hundred at most."""
     shares = [i / pieces for i in range(1, pieces)]
@@ -97,7 +101,11 @@ class Ordered:
         tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
         pieces = max(-(-2 * n // max_group_rows) if n > max_group_rows else 1, min(tasks, -(-n // FEW)))
         ranged = read.repartitionByRange(pieces, F.col(order).asc())
-        ranged = hold(ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint")))
+        ranged = ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint"))
+        if pieces > 1 or hold is cut:
+            ranged = hold(ranged)
+        else:
+            hold = _as_is  # one range of few rows is cheaper computed again than kept
         if hold is cut:
             read.unpersist()
         return cls(ranged, [], order, pieces > 1, hold)

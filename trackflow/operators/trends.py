@@ -25,15 +25,28 @@ def iso(time_ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(time_ms), "yyyy-MM-dd'T'HH:mm:ss.SSS")
 
 
-def fleet_metrics_trend(fleet_points: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Mean of the three counts per window, cut to whole numbers, labelled with the window's end."""
-    names = ["active_taxis_count", "in_transit_taxis_count", "trip_ended_taxis_count"]
+FLEET_COUNTS = ["active_taxis_count", "in_transit_taxis_count", "trip_ended_taxis_count"]
+
+
+def fleet_parts(fleet_points: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Per window the sum and the number of each count: parts of a trend that can be added up."""
     stop = window_stop(F.col("time_ms"), cfg.trend_window_s)
-    means = fleet_points.groupBy(stop.alias("_stop")).agg(
-        *[int_div(F.sum(n), F.count(n)).alias(n) for n in names]
+    sums = [agg(n).alias(f"{n}_{kind}") for n in FLEET_COUNTS for kind, agg in (("sum", F.sum), ("n", F.count))]
+    return fleet_points.groupBy(stop.alias("stop_ms")).agg(*sums)
+
+
+def fleet_trend_of_parts(parts: DataFrame) -> DataFrame:
+    """The trend of any number of parts."""
+    means = parts.groupBy("stop_ms").agg(
+        *[int_div(F.sum(f"{n}_sum"), F.sum(f"{n}_n")).alias(n) for n in FLEET_COUNTS]
     )
-    filled = means.fillna(0, subset=names)
-    return filled.orderBy("_stop").select(iso(F.col("_stop")).alias("time"), *names)
+    filled = means.fillna(0, subset=FLEET_COUNTS)
+    return filled.orderBy("stop_ms").select(iso(F.col("stop_ms")).alias("time"), *FLEET_COUNTS)
+
+
+def fleet_metrics_trend(fleet_points: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Mean of the three counts per window, cut to whole numbers, labelled with the window's end."""
+    return fleet_trend_of_parts(fleet_parts(fleet_points, cfg))
 
 
 def latency_summary(
@@ -74,26 +87,36 @@ def latency_summary(
     return stats.select(F.inline(rows))
 
 
-def incident_trend(
-    alert_points: DataFrame, cfg: Settings = DEFAULTS, per_taxi: bool = False,
-    taxi_id: str | None = None,
-) -> DataFrame:
-    """Alerts of each kind per window, newest window first; for the fleet, all taxis, or one."""
-    points = alert_points if taxi_id is None else alert_points.where(F.col("taxi_id") == taxi_id)
-    keys = ["taxi_id"] if per_taxi or taxi_id is not None else []
+def incident_parts(alert_points: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Per taxi and window the number of alerts of each kind."""
     stop = window_stop(F.col("time_ms"), cfg.trend_window_s)
     kind = F.col("alert_type")
-    counts = points.groupBy(*keys, stop.alias("_stop")).agg(
+    return alert_points.groupBy("taxi_id", stop.alias("stop_ms")).agg(
         F.count_if(kind == GEOFENCE_ALERT).alias("geofence_violation_count"),
         F.count_if(kind == SPEED_ALERT).alias("speed_violation_count"),
     )
-    total = F.col("geofence_violation_count") + F.col("speed_violation_count")
-    return counts.orderBy(F.col("_stop").desc(), *keys).select(
-        *keys, iso(F.col("_stop")).alias("time"), "geofence_violation_count",
-        "speed_violation_count", total.alias("total_violation_count"),
+
+
+def incident_trend_of_parts(parts: DataFrame, per_taxi: bool = False, taxi_id: str | None = None) -> DataFrame:
+    """The trend of any number of parts, newest window first; for the fleet, all taxis, or one."""
+    rows = parts if taxi_id is None else parts.where(F.col("taxi_id") == taxi_id)
+    keys = ["taxi_id"] if per_taxi or taxi_id is not None else []
+    names = ["geofence_violation_count", "speed_violation_count"]
+    counts = rows.groupBy(*keys, "stop_ms").agg(*[F.sum(n).alias(n) for n in names])
+    return counts.orderBy(F.col("stop_ms").desc(), *keys).select(
+        *keys, iso(F.col("stop_ms")).alias("time"), *names,
+        (F.col(names[0]) + F.col(names[1])).alias("total_violation_count"),
     )
 
 
+def incident_trend(
+    alert_points: DataFrame, cfg: Settings = DEFAULTS, per_taxi: bool = False,
+    taxi_id: str | None = None,
+) -> DataFrame:
+    """Alerts of each kind per window, newest window first; for the fleet, all taxis, or one."""
+    return incident_trend_of_parts(incident_parts(alert_points, cfg), per_taxi, taxi_id)
+
+
 def taxi_trend(points: DataFrame, value: Column, name: str, taxi_id: str | None = None) -> DataFrame:
     """One value over time: for one taxi in time order, or for every taxi without a global order.
 

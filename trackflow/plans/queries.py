@@ -25,11 +25,12 @@ from trackflow.operators import (
 )
 from trackflow.operators.ordered import Ordered
 from trackflow.plans import chain
-from trackflow.plans.fixture import conflict_pings, load_pings, raw_pings, stream_pings
-from trackflow.session import cut, shared_dir
+from trackflow.plans.fixture import EPOCH_MS_2024_01_01, conflict_pings, load_pings, raw_pings, stream_pings
+from trackflow.session import Held, cut, shared_dir
 from trackflow.sources import files, streams, tables
+from trackflow.sources.versions import Versioned
 from trackflow.streaming import inactivity as stream_inactivity
-from trackflow.streaming import pipeline
+from trackflow.streaming import arrival, pipeline, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -681,7 +682,7 @@ def stream_chain(spark, sf_dir):
 
 @query
 def stream_incidents(spark, sf_dir):
-    return tables.read_batches(spark, _run_pipeline(spark, sf_dir, False) + "/incidents")
+    return tables.read_log(spark, _run_pipeline(spark, sf_dir, False) + "/incidents")
 
 
 @query
@@ -695,9 +696,120 @@ def stream_fleet(spark, sf_dir):
     return tables.read_batches(spark, _run_pipeline(spark, sf_dir, True) + "/fleet")
 
 
+def _run_windows(spark: SparkSession, sf_dir: str, aggregates: windows.Aggregates, seconds: int) -> DataFrame:
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    sink = windows.Windows(out, aggregates, seconds)
+    streams.batch_sink(stream_pings(spark, sf_dir), f"{out}/checkpoint", sink, every=None).start().awaitTermination()
+    sink.close(spark)
+    return sink.closed(spark)
+
+
 @query
 def stream_window_counts(spark, sf_dir):
-    return _run(spark, pipeline.window_counts(stream_pings(spark, sf_dir)))
+    return _run_windows(spark, sf_dir, windows.counts(), 300)
+
+
+@query
+def stream_window_latest(spark, sf_dir):
+    rows = _run_windows(spark, sf_dir, windows.latest(PING), DEFAULTS.emit_interval_s)
+    return rows.select(*latest_per_tumbling_5s(spark, sf_dir).columns)
+
+
+SLICES = 4  # micro-batches of the queries that hand the given table to a sink slice by slice
+
+
+def _slices(rows: DataFrame, order: str = "seq") -> list[DataFrame]:
+    top = rows.agg(F.max(order)).first()[0] or 0
+    part = F.col(order) * SLICES
+    return [rows.where((part > top * i if i else F.lit(True)) & (part <= top * (i + 1))) for i in range(SLICES)]
+
+
+@query
+def late_rows(spark, sf_dir):
+    """Rows of windows that were final when they came: a tenth of the taxis sends 2,000 messages late."""
+    sink = windows.Windows(f"{shared_dir(spark)}/late-{uuid.uuid4().hex}", windows.counts())
+    rows = load_pings(spark, sf_dir).select(*PING, "sent_at_utc_ms", "processed_at_utc_ms")
+    due = F.col("seq") + F.when(F.col("taxi_id") % 10 == 0, 2000).otherwise(0)
+    for i, part in enumerate(_slices(rows.withColumn("_due", due), "_due")):
+        sink(part, i)
+    return sink.late(spark).select("seq", "taxi_id", "event_s", "window_start")
+
+
+def _partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pings as messages of three partitions of two topics, offsets in sending order."""
+    source = F.col("taxi_id") % 3
+    rows = load_pings(spark, sf_dir).select(
+        F.col("seq").alias("ping"), "taxi_id", "sent_at_utc_ms",
+        F.when(source == 2, "b").otherwise("a").alias("topic"), (source % 2).cast("int").alias("partition"),
+    )
+    return rows.withColumn("offset", F.col("ping"))
+
+
+@query
+def arrival_order(spark, sf_dir):
+    return arrival.in_arrival_order(_partitioned(spark, sf_dir)).select("ping", "topic", "partition", "seq")
+
+
+@query
+def stream_arrival_order(spark, sf_dir):
+    """The same over micro-batches in which one partition runs ahead of the others."""
+    out = f"{shared_dir(spark)}/arrival-{uuid.uuid4().hex}"
+    rows = _partitioned(spark, sf_dir)
+    merged = arrival.Arrival(out, partitions=3)
+    ahead = F.when(F.col("topic") == "b", F.col("ping") - 500).otherwise(F.col("ping"))
+    parts = [p.drop("_due") for p in _slices(rows.withColumn("_due", ahead), "_due")]
+    for i, part in enumerate([*parts, rows.limit(0)]):
+        held = Held(spark, out)
+        tables.write_batch(merged.release(part, i, held, end=i == len(parts)), f"{out}/released", i)
+        held.release()
+    return tables.read_batches(spark, f"{out}/released").select("ping", "topic", "partition", "seq")
+
+
+@query
+def latest_versions(spark, sf_dir):
+    """The latest state after upserts, merged while it grew."""
+    table = Versioned(spark, f"{shared_dir(spark)}/latest-{uuid.uuid4().hex}", "taxi_id", most_parts=2)
+    for i, part in enumerate(_slices(cut(_processed(spark, sf_dir)))):
+        table.upsert(state.latest_per_taxi(part), i)
+    return table.read().select("taxi_id", "seq", "trip_status", "speed", "avg_speed", "total_distance_km")
+
+
+@query
+def stored_fleet_trend(spark, sf_dir):
+    parts = tables.read_batches(spark, _run_pipeline(spark, sf_dir, True) + "/trends/fleet_metrics")
+    return trends.fleet_trend_of_parts(parts)
+
+
+@query
+def stored_incident_trend(spark, sf_dir):
+    parts = tables.read_batches(spark, _run_pipeline(spark, sf_dir, False) + "/trends/alerts")
+    return trends.incident_trend_of_parts(parts)
+
+
+@query
+def stored_last_50(spark, sf_dir):
+    path = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}"
+    for i, part in enumerate(_slices(cut(_log(spark, sf_dir)))):
+        tables.write_log_batch(part, path, i)
+    return alerts.last_incidents(tables.newest_log_rows(spark, path, 50))
+
+
+@query
+def stored_points(spark, sf_dir):
+    """Points of one week, read back from the table by day."""
+    path = f"{shared_dir(spark)}/points-{uuid.uuid4().hex}"
+    tables.write_points(points_taxi(spark, sf_dir), path)
+    week = 7 * 86_400_000
+    return tables.read_points(spark, path, EPOCH_MS_2024_01_01 + week, EPOCH_MS_2024_01_01 + 2 * week)
+
+
+@query
+def benchmark_report(spark, sf_dir):
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    msgs = _messages(spark, sf_dir)
+    series = benchmark.latency_windows(msgs, Settings(bench_window_ms=86_400_000))
+    tables.write_report(series, benchmark.run_summary(msgs), path)
+    return tables.read_report(spark, path, series.schema)
 
 
 @query

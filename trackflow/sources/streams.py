@@ -20,10 +20,10 @@ def topic_list(topics: str) -> list[str]:
 def kafka_stream(
     spark: SparkSession, servers: str, topics: str, group: str = "", max_per_trigger: int = 1_000_000
 ) -> DataFrame:
-    """Values of the topics from the earliest offset, with (partition, offset) as arrival order.
+    """Values of the topics from the earliest offset, with (topic, partition, offset).
 
-    A taxi's messages share a partition, so the offset orders them.
-    """
+    ``seq`` is the offset: the arrival order where there is one partition. Those of several get theirs
+    from ``streaming.arrival``."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -34,7 +34,7 @@ def kafka_stream(
     if group:
         reader = reader.option("groupIdPrefix", group)
     return reader.load().select(
-        F.col("value").cast("string").alias("value"), "partition", F.col("offset").alias("seq")
+        F.col("value").cast("string").alias("value"), "topic", "partition", "offset", F.col("offset").alias("seq")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackflow.sources.versions import Versioned
+from trackflow.sources.versions import Folder, Versioned
 
 
 def write_cleaned(cleaned: DataFrame, path: str) -> bool:
@@ -49,6 +49,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The last micro-batch of a table, -1 before the first."""
+    return max((int(n.split("=")[1]) for n in Folder(spark, path).names() if n.startswith("batch=")), default=-1)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path).drop("batch")
@@ -59,8 +64,53 @@ def read_latest(spark: SparkSession, path: str, version: int | None = None) -> D
     return Versioned(spark, path, "taxi_id").read(version)
 
 
+def write_log_batch(log: DataFrame, path: str, batch_id: int) -> None:
+    """Alert log rows of one micro-batch by day, and an index of the folders: rows, first and last seq.
+
+    Repeating a batch replaces its folders."""
+    dated = log.withColumns({"log_date": F.to_date("updated_at"), "batch": F.lit(batch_id)})
+    rows = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("log_date", "batch").parquet(f"{path}/rows")
+    index = dated.groupBy("log_date", "batch").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+    write_batch(index.drop("batch"), f"{path}/index", batch_id)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the folders in the index: those that a failed attempt left under another day are not."""
+    rows, index = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/index")
+    index = index.select(F.col("log_date").alias("_date"), F.col("batch").alias("_batch"))
+    same = F.col("log_date").eqNullSafe(F.col("_date")) & (F.col("batch") == F.col("_batch"))
+    return rows.join(index, same, "left_semi").drop("log_date", "batch")
+
+
+def newest_log_rows(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The rows of the log that can be among its ``n`` newest: those of the few folders that hold them.
+
+    Of the ``n`` folders with the latest last rows, the ones with the latest first rows that have ``n`` rows
+    together give a row that none of the ``n`` newest is older than; folders that end before it are not read."""
+    index = spark.read.parquet(f"{path}/index")
+    folders = index.orderBy(F.col("last_seq").desc()).limit(n).collect()
+    have, oldest = 0, None
+    for f in sorted(folders, key=lambda f: -f.first_seq):
+        have, oldest = have + f.n, f.first_seq
+        if have >= n:
+            break
+    wanted = [f for f in folders if f.last_seq >= oldest] if have >= n else folders
+    paths = [f"{path}/rows/log_date={f.log_date or '__HIVE_DEFAULT_PARTITION__'}/batch={f.batch}" for f in wanted]
+    if not paths:
+        return read_log(spark, path)
+    return spark.read.parquet(*paths)
+
+
 def write_report(windows: DataFrame, summary: DataFrame, path: str) -> None:
     """Benchmark report as JSON: metadata and the window series."""
     summary.write.mode("overwrite").json(f"{path}/analysis_metadata")
     series = windows.orderBy("window_start_utc_ms")
     series.write.mode("overwrite").json(f"{path}/time_series_data")
+
+
+def read_report(spark: SparkSession, path: str, series: T.StructType) -> DataFrame:
+    """The window series of a report."""
+    return spark.read.schema(series).json(f"{path}/time_series_data")

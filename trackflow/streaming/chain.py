@@ -36,6 +36,7 @@ class ChainStep:
 
     def __init__(self, out: str, cfg: Settings = DEFAULTS):
         self.out, self.cfg = out, cfg
+        self.built: dict[tuple[str, ...], Carried] = {}  # the chain's steps, by the columns they begin with
 
     def _state(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
         state = Versioned(batch.sparkSession, f"{self.out}/state", "taxi_id").read(batch_id - 1)
@@ -50,7 +51,11 @@ class ChainStep:
         if "received_at_utc_ms" not in batch.columns:
             batch = batch.withColumn("received_at_utc_ms", F.lit(None).cast("bigint"))
         pings = Carried.opened(batch.select(*INPUT), "taxi_id", "seq", self._state(batch, batch_id))
-        chain = differences(chained(pings, self.cfg), self.cfg)
+        names = tuple(pings.df.columns)
+        if names in self.built:
+            chain = self.built[names].again(pings)
+        else:
+            chain = self.built[names] = differences(chained(pings, self.cfg), self.cfg)
         chain = chain.like(hold(chain.df))
         left = chain.closing().withColumn(TOUCHED, F.unix_millis(F.current_timestamp()))
         return chain.rows().select(*PROCESSED.fieldNames(), *PRIVATE), left

@@ -23,10 +23,12 @@ from trackflow.operators import points
 from trackflow.operators.alerts import all_alerts, incident_log
 from trackflow.operators.fleet import as_differences, as_message, closing_rows, fleet_totals
 from trackflow.operators.state import latest_per_taxi
+from trackflow.operators.trends import fleet_parts, incident_parts
 from trackflow.session import Held
 from trackflow.sources.streams import batch_sink, kafka_stream, sink
-from trackflow.sources.tables import write_batch, write_point_batch
-from trackflow.sources.versions import Versioned
+from trackflow.sources.tables import write_batch, write_log_batch, write_point_batch
+from trackflow.sources.versions import Folder, Versioned
+from trackflow.streaming.arrival import Arrival
 from trackflow.streaming.chain import PRIVATE, ChainStep
 
 Publish = Callable[[DataFrame, str, int], None]
@@ -120,9 +122,19 @@ class PipelineSink:
 
     def __call__(self, pings: DataFrame, batch_id: int) -> None:
         spark, held = pings.sparkSession, Held(pings.sparkSession, self.out)
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+        # Planning anew between stages costs more than it gives in batches of a trigger's size.
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            self._tables(pings, batch_id, held)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        held.release()
+
+    def _tables(self, pings: DataFrame, batch_id: int, held: Held) -> None:
+        spark = pings.sparkSession
         batch, states = self.chain.rows(pings, batch_id, held)
-        if self.clock is not None:
-            batch.count()
+        if self.clock is not None:  # the rows have just been computed and written
             batch = batch.withColumn("processed_at_utc_ms", F.lit(self.clock()).cast("bigint"))
         shown = batch.drop(*PRIVATE)
         raised = all_alerts(shown)
@@ -130,10 +142,11 @@ class PipelineSink:
         steps = [
             lambda: self.chain.close(states, batch_id),
             lambda: write_batch(shown, f"{self.out}/processed", batch_id),
-            lambda: write_batch(incident_log(raised), f"{self.out}/incidents", batch_id),
+            lambda: write_log_batch(incident_log(raised), f"{self.out}/incidents", batch_id),
             lambda: Versioned(spark, f"{self.out}/latest", "taxi_id").upsert(latest, batch_id),
             lambda: write_point_batch(points.taxi_points(shown), f"{self.out}/points/taxi_metrics", batch_id),
             lambda: write_point_batch(points.alert_points(raised), f"{self.out}/points/alerts", batch_id),
+            lambda: write_batch(incident_parts(points.alert_points(raised), self.cfg), f"{self.out}/trends/alerts", batch_id),
         ]
         if self.fleet is not None:
             steps.append(lambda: self._fleet(batch, batch_id, held))
@@ -141,15 +154,37 @@ class PipelineSink:
             steps.append(lambda: self.publish(processed_messages(shown), self.cfg.processed_topic, batch_id))
             steps.append(lambda: self.publish(alert_messages(raised), self.cfg.alerts_topic, batch_id))
         together(spark, *steps)
-        held.release()
 
     def _fleet(self, batch: DataFrame, batch_id: int, held: Held) -> None:
         rows, closing = self.fleet.rows(batch, batch_id, held)
-        write_batch(closing, f"{self.out}/fleet_state", batch_id)
-        write_batch(rows, f"{self.out}/fleet", batch_id)
-        write_point_batch(points.fleet_points(rows), f"{self.out}/points/fleet_metrics", batch_id)
+        metrics = points.fleet_points(rows)
+        steps = [
+            lambda: write_batch(closing, f"{self.out}/fleet_state", batch_id),
+            lambda: write_batch(rows, f"{self.out}/fleet", batch_id),
+            lambda: write_point_batch(metrics, f"{self.out}/points/fleet_metrics", batch_id),
+            lambda: write_batch(fleet_parts(metrics, self.cfg), f"{self.out}/trends/fleet_metrics", batch_id),
+        ]
         if self.publish is not None:
-            self.publish(fleet_messages(as_message(rows)), self.cfg.fleet_topic, batch_id)
+            steps.append(lambda: self.publish(fleet_messages(as_message(rows)), self.cfg.fleet_topic, batch_id))
+        together(batch.sparkSession, *steps)
+
+
+class MergedSink:
+    """The job over messages of several partitions (topic, partition, offset): one arrival order first."""
+
+    def __init__(self, arrival: Arrival, tables: PipelineSink):
+        self.arrival, self.tables = arrival, tables
+
+    def __call__(self, pings: DataFrame, batch_id: int, end: bool = False) -> None:
+        held = Held(pings.sparkSession, self.tables.out)
+        self.tables(held(self.arrival.release(pings, batch_id, held, end)), batch_id)
+        held.release()
+
+    def close(self, spark: SparkSession) -> None:
+        """Hand on what waits for other partitions, as a last batch: the input has ended."""
+        last = self.arrival.last_batch(spark)
+        if last >= 0:
+            self(self.arrival.nothing(spark, last), last + 1, end=True)
 
 
 def kafka_publisher(servers: str) -> Publish:
@@ -160,13 +195,36 @@ def kafka_publisher(servers: str) -> Publish:
     return publish
 
 
+CLOSED = "closed"
+
+
+def job_sink(
+    out: str, cfg: Settings = DEFAULTS, fleet: bool = True, publish: Publish | None = None,
+    clock: Callable[[], int] | None = None,
+) -> PipelineSink | MergedSink:
+    tables = PipelineSink(out, cfg, fleet, publish, clock)
+    if cfg.source_partitions == 1:
+        return tables
+    return MergedSink(Arrival(out, cfg.source_partitions, cfg.source_idleness_s()), tables)
+
+
 def start(
     pings: DataFrame, out: str, cfg: Settings = DEFAULTS, every: str | None = "1 second",
     fleet: bool = True, publish: Publish | None = None, clock: Callable[[], int] | None = None,
 ) -> StreamingQuery:
-    """The whole job over a stream of typed pings."""
-    tables = PipelineSink(out, cfg, fleet, publish, clock)
-    return batch_sink(pings, f"{out}/_checkpoint", tables, every).start()
+    """The whole job over a stream of typed pings; those of several partitions have topic, partition, offset."""
+    if CLOSED in Folder(pings.sparkSession, out).names():
+        raise ValueError(f"the input of {out} has ended")
+    return batch_sink(pings, f"{out}/_checkpoint", job_sink(out, cfg, fleet, publish, clock), every).start()
+
+
+def take_all(pings: DataFrame, out: str, cfg: Settings = DEFAULTS, **kwargs) -> None:
+    """The whole job over a bounded input, to its end: nothing waits any more, and the job cannot go on."""
+    start(pings, out, cfg, every=None, **kwargs).awaitTermination()
+    sink = job_sink(out, cfg, **kwargs)
+    if isinstance(sink, MergedSink):
+        sink.close(pings.sparkSession)
+    Folder(pings.sparkSession, out).write(CLOSED, "")
 
 
 def start_from_messages(
@@ -184,28 +242,3 @@ def run(spark: SparkSession, cfg: Settings, servers: str, out: str) -> list[Stre
     use_rocksdb(spark)
     raw = kafka_stream(spark, servers, cfg.source_topics)
     return start_from_messages(raw, out, cfg, publish=kafka_publisher(servers))
-
-
-def window_counts(pings: DataFrame, seconds: int = 300, lateness: str = "0 seconds") -> DataFrame:
-    """Counts and latency statistics per event-time window, final once the watermark passes it."""
-    timed = pings.withColumn("ts", F.timestamp_seconds("event_s")).withWatermark("ts", lateness)
-    latency = F.col("processed_at_utc_ms") - F.col("sent_at_utc_ms")
-    return timed.groupBy(F.window("ts", f"{seconds} seconds").alias("_w")).agg(
-        F.count(F.lit(1)).alias("pings"),
-        F.sum(latency).alias("latency_sum_ms"),
-        F.max(latency).alias("latency_max_ms"),
-        F.min(latency).alias("latency_min_ms"),
-    ).select(
-        F.unix_seconds("_w.start").alias("window_start"),
-        F.unix_seconds("_w.end").alias("window_end"),
-        "pings", "latency_sum_ms", "latency_max_ms", "latency_min_ms",
-    )
-
-
-def latest_per_window(pings: DataFrame, seconds: int = 5, lateness: str = "0 seconds") -> DataFrame:
-    """Last ping in arrival order of each taxi and event-time window."""
-    rest = [c for c in pings.columns if c != "taxi_id"]
-    timed = pings.withColumn("ts", F.timestamp_seconds("event_s")).withWatermark("ts", lateness)
-    last = timed.groupBy("taxi_id", F.window("ts", f"{seconds} seconds").alias("_w"))
-    last = last.agg(F.max_by(F.struct(*rest), "seq").alias("_last"))
-    return last.select("taxi_id", F.unix_seconds("_w.start").alias("window_start"), "_last.*")
