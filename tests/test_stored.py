@@ -230,7 +230,7 @@ def test_newest_rows_of_the_log(spark, tmp_path):
     for batch in range(30):
         day = f"2008-02-{1 + batch // 2:02d} 10:00:00" if batch != 20 else "2008-02-01 00:00:00"
         rows = [(batch * 10 + i, "SPEED_VIOLATION", day) for i in range(10)]
-        tables.write_log_batch(spark.createDataFrame(rows, "seq bigint, alert_type string, updated_at string"), path, batch)
+        tables.write_log_batch(spark.createDataFrame(rows, "seq bigint, alert_type string, updated_at string").coalesce(1), path, batch)
     tables.write_log_batch(spark.createDataFrame([(295 + i, "X", None) for i in range(3)], "seq bigint, alert_type string, updated_at string"), path, 29)
     for n in (1, 3, 5, 25, 100, 1000):
         got = tables.newest_log_rows(spark, path, n)
