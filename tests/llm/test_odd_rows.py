@@ -86,7 +86,7 @@ def test_quality(odd, labels):
     assert OPERATORS["quality"](odd, labels).count() == len(ROWS)
     assert rows[(8, 100_000)].n_repeat_words == 100_000 and rows[(8, 100_000)].base_failed
     assert rows[(3, 0)].base_failed and not rows[(3, 0)].kept
-    assert rows[(1, 16)].kept and rows[(1, 15)].word_chars == 49
+    assert rows[(1, 16)].kept and rows[(1, 16)].word_chars == 49
 
 
 def test_packing(odd, labels):
@@ -165,7 +165,7 @@ def test_vectors(spark):
 
 def test_stages(spark, odd, none, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    for docs in (spark.createDataFrame(ROWS, NAMES), spark.createDataFrame([], NAMES)):
+    for docs in (spark.createDataFrame(ROWS, NAMES), odd, none):
         for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
             out = stage(spark, docs, str(tmp_path))
             if i < len(corpus_pipeline.STAGES) - 1:

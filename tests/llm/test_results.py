@@ -51,8 +51,30 @@ def test_langid_kernel():
     """The product of presence matrix and weights equals kernel values with the landmarks."""
     rows = [("aa", "la le lu la le"), ("bb", "xo xi xu xo xi"), ("aa", "le la lo"), ("bb", "xu xa xi")]
     model = langid.train(rows, langid.Fit())
-    names, scores = langid.scores(pa.array(["la la le", "xo xu", "", "la le la le lo lu xo"]), model)
+    names, scores, fits = langid.scores(pa.array(["la la le", "xo xu", "", "la le la le lo lu xo"]), model)
     assert names == ["aa", "bb", "und", "aa"] and scores[2] == 0 and (scores[:2] > 0.5).all()
+    assert fits[2] == 0
+
+
+def test_other_languages_do_not_fit(spark):
+    """Texts in a language that was not learned fit none; held-out texts of learned ones do."""
+    docs = spark.read.parquet(f"{BIGGER}/documents.parquet").where("lang is not null").toPandas()
+    fold_of = docs.doc_id.map(lambda d: fold(d, 5))
+    learned, other = docs[docs.lang != "es"], docs[docs.lang == "es"]
+    rows = [(r.lang, r.text) for r in learned[fold_of != 0].itertuples() if len(r.text) < 1 << 14]
+    model = langid.train(rows, langid.Fit())
+    held = [t for t in learned[fold_of == 0].text if len(t) > 100]
+    assert (langid.scores(pa.array(held), model)[2] >= 1).mean() > 0.98
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    ]
+    assert (langid.scores(pa.array(foreign), model)[2] < 1).all()
+    assert (langid.scores(pa.array([t for t in other.text if len(t) > 300]), model)[2] < 1).mean() > 0.9
+    names, _, fits = langid.scores(pa.array(["some text"]), langid.train([("en", "123")], langid.Fit()))
+    assert names == [langid.UNKNOWN] and np.isnan(fits).all()
 
 
 def test_packing_round_trip(spark, docs):

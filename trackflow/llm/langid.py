@@ -49,13 +49,16 @@ class Fit:
 
 @dataclass(frozen=True)
 class Model:
-    """classes: letter class of each code point (0: no letter, 1: a rare one); weights: a row per n-gram."""
+    """classes: letter class of each code point (0: no letter, 1: a rare one); weights: a row per n-gram,
+    whose last column says whether any landmark has it; usual: per language the share of known n-grams
+    that its windows hardly ever fall below."""
 
     languages: list[str]
     classes: np.ndarray
     base: int
     weights: np.ndarray
     bias: np.ndarray
+    usual: np.ndarray
 
 
 def _letters() -> np.ndarray:
@@ -155,7 +158,7 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     width = gram_space(base)
     languages = sorted(set(owner[letters_in > 0]))
     if not languages:
-        return Model([], classes, base, np.zeros((width, 0)), np.zeros(0))
+        return Model([], classes, base, np.zeros((width, 0)), np.zeros(0), np.zeros(0))
     # Windows spread evenly over those of the sample.
     good = []
     for name in languages:
@@ -184,45 +187,65 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     mean_x, mean_y = (weight * x).sum(axis=0), (weight * y).sum(axis=0)
     cx, cy = x - mean_x, y - mean_y
     solved = np.linalg.solve(cx.T @ (weight * cx) + fit.ridge / len(good) * np.eye(x.shape[1]), cx.T @ (weight * cy))
-    weights = (features @ (whiten @ solved).astype(np.float32)).astype(np.float32)[row]
-    return Model(languages, classes, base, weights, mean_y - mean_x @ solved)
-
-
-def scores(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+    weights = (features @ (whiten @ solved).astype(np.float32)).astype(np.float32)
+    known = np.ones((len(own) + 1, 1), np.float32)
+    known[-1] = 0
+    weights = np.concatenate((weights, known), axis=1)[row]
+    # Windows that are no landmarks: as far below the median as three times the first percentile.
+    others = ~np.isin(good, marks)
+    usual = np.zeros(len(languages))
+    for c in range(len(languages)):
+        some = good[others & (label == c)]
+        if len(some):
+            shares = [weights[grams[bounds[i] : bounds[i + 1]], -1].mean() for i in some]
+            low, middle = np.quantile(shares, [0.01, 0.5])
+            usual[c] = max(middle - 3 * (middle - low), 0.0)
+    return Model(languages, classes, base, weights, mean_y - mean_x @ solved, usual)
+
+
+def scores(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and fit of each text; fits are not numbers if nothing was learned."""
     if not model.languages:
-        return [UNKNOWN] * len(column), np.zeros(len(column))
+        return [UNKNOWN] * len(column), np.zeros(len(column)), np.full(len(column), np.nan)
     points, offsets = code_points(column)
     grams, bounds, letters, first = gram_sets(points, offsets, model.classes, model.base)
     sizes = np.maximum(np.diff(bounds), 1)
-    margins = row_sums(model.weights, grams, bounds) / np.sqrt(sizes)[:, None] + model.bias
+    sums = row_sums(model.weights, grams, bounds)
+    margins = np.column_stack((sums[:, :-1] / np.sqrt(sizes)[:, None] + model.bias, sums[:, -1] / sizes))
     total = np.add.reduceat(letters, first[:-1])
     margins = np.add.reduceat(margins * letters[:, None], first[:-1], axis=0) / np.maximum(total, 1)[:, None]
+    margins, shares = margins[:, :-1], margins[:, -1]
     best = margins.argmax(axis=1)
     score = np.clip(margins[np.arange(len(best)), best], 0.0, 1.0)
     known = total > 0
-    return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
+    usual = model.usual[best]
+    fit = np.where(usual > 0, shares / np.maximum(usual, 1e-9), 1.0)
+    names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
+    return names, np.where(known, score, 0.0), np.where(known, fit, 0.0)
 
 
 def identify(docs: DataFrame, training: DataFrame, fit: Fit = Fit()) -> DataFrame:
-    """The rows of docs with lang_pred and score (0 to 1) in place of columns of these names.
+    """The rows of docs with lang_pred, score (0 to 1) and lang_fit in place of columns of these names.
+
+    lang_fit compares the share of a text's n-grams that the landmarks know with what its language hardly
+    ever falls below: under 1 the text is in none of the languages; null if nothing could be learned.
 
     training has text and lang; a bounded sample of it (see Fit) is learned from when this is called.
     Null texts and texts without a letter get `und` and 0, and so do all texts if nothing could be
     learned. Repeated rows stay."""
     model = train(sample(training, fit), fit)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop("lang_pred", "score", "lang_fit")
     fields = docs.columns
     at = fields.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, limit=CHUNK_BYTES):
-                names, values = scores(part.column(at), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(names, pa.string()), pa.array(values)], names=[*fields, "lang_pred", "score"]
-                )
+                names, values, fits = scores(part.column(at), shared.value)
+                columns = [*part.columns, pa.array(names, pa.string()), pa.array(values), pa.array(fits, from_pandas=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*fields, "lang_pred", "score", "lang_fit"])
 
     schema = StructType([*docs.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = schema.add("lang_fit", DoubleType())
     return docs.mapInArrow(run, schema)

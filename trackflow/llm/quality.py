@@ -27,10 +27,9 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Rules:
-    """A line is frequent above max(min_docs, host_share * documents of the host)."""
+    """A line is frequent in more than max_docs documents of a host, however large that is."""
 
-    min_docs: int = 10
-    host_share: float = 0.01
+    max_docs: int = 30
     max_removed: float = 0.5
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -139,11 +138,9 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     # One row for each distinct text of a host.
     texts = rows.groupBy("host", "text_key").agg(F.min("row_id").alias("row_id"))
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     counted = rows.select("row_id", "lines").join(texts, "row_id").select("host", F.explode("lines").alias("line"))
     counted = counted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
-    counted = counted.where(F.col("n_docs") > rules.min_docs).join(hosts, "host")
-    frequent = counted.where(F.col("n_docs") > rules.host_share * F.col("host_docs")).select("host", "line")
+    frequent = counted.where(F.col("n_docs") > rules.max_docs).select("host", "line")
 
     pairs = F.explode(F.arrays_zip("lines", "line_words"))
     spread = rows.select("row_id", "host", pairs.alias("p")).select(
