@@ -7,9 +7,13 @@ the body that reaches it, the node with the highest sum below it belongs to the
 
 Formatting tags (b, span, a ...) are no nodes of their own, so a paragraph is a leaf. Menus, footers,
 side bars, scripts and styles are cut off first, by tag. Forms, headers and elements with a telling
-class, id or role are cut off only if they hold neither an article or main element nor, in a page
-without one, most of the text outside links; of these, headers of an article and elements not named as adverts or hidden go only
-if most of their text is in links.
+class, id or role are cut off unless they are wrappers: they hold all article and main elements that they
+are not in themselves, or in a page without one most of the text outside links. Sections of comments, notices,
+adverts and hidden elements go whatever they hold otherwise; other named elements and headers of an
+article go only if most of their text is in links.
+
+A page is read in one forward pass, and each step of it looks at the innermost open element of a kind
+by its place, so the time is in proportion to the page's length whatever it holds.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,13 +58,18 @@ CUT_NAMES = frozenset(
     " notices popup modal overlay comment comments disqus replies share sharing social related recommended"
     " newsletter subscribe signup login pagination pager toolbar widget".split()
 )
+# Of these any part of a name tells, as in comment-list or cookie_banner.
+APART_NAMES = frozenset("comment comments disqus cookie cookies gdpr".split())
+NOTICES = frozenset("consent notice notices popup modal replies newsletter".split())
+LEAVES = frozenset("p li dd dt td th h1 h2 h3 h4 h5 h6 blockquote pre".split())
 KEPT_TAGS = frozenset("html body main article".split())
 WHOLE = frozenset("article main".split())
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>", re.S
-)
+_START = re.compile(r"<(?=[a-zA-Z!?]|/[a-zA-Z])")
+_ASIDE = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"=\s*+[\"']|>")
+_PARTS = re.compile(r"[-_]+")
 _LABEL = re.compile(r"[\s/](?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"[\s/]hidden(?=[\s=/>])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
@@ -78,16 +88,27 @@ def names_of(source: str) -> set[str]:
     return {x for m in _LABEL.finditer(source) for x in "".join(m.groups("")).lower().split()}
 
 
+def apart(names: set[str]) -> bool:
+    """Whether a name tells of comments or cookies."""
+    return any(p in APART_NAMES for n in names for p in _PARTS.split(n))
+
+
 def doubt(tag: str, source: str, in_article: bool) -> int:
-    """0 for an element that stays, 1 for one to be cut unless it holds the article, 2 if its links decide as well."""
+    """0 for an element that stays, 1 for one to be cut unless it is a wrapper, 2 if its links decide as well."""
     if tag == "form":
         return 1
     if tag == "header":
         return 2 if in_article else 1
-    if tag in KEPT_TAGS or len(source) < len(tag) + 5:
+    if tag in ("html", "body", "main") or len(source) < len(tag) + 5:
         return 0
     names = names_of(source)
-    return 1 if names & ADVERT_NAMES or "hidden" in names else 2 if names & CUT_NAMES else 0
+    if tag == "article":
+        return 1 if names & {"comment", "comments"} else 0
+    if names & ADVERT_NAMES or "hidden" in names or apart(names):
+        return 1
+    if names & NOTICES:
+        return 2 if tag in LEAVES else 1
+    return 2 if names & CUT_NAMES else 0
 
 
 class Page:
@@ -99,30 +120,59 @@ class Page:
         # (block, text), or (block, None) where a block begins or ends.
         self.runs: list[tuple[int, str | None]] = []
         self.stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block they are in
-        self.anchors = 0
+        self.places: dict[str, list[int]] = {}  # places of open elements in the stack, by tag
+        self.open_blocks: list[int] = []  # and of open block elements
+        self.anchors = self.articles = 0
+        self.endless: set[int] = set()  # quotes from which no tag ends
         self.read(source)
 
     def read(self, source: str) -> None:
         at, size = 0, len(source)
+        last = source.rfind(">") + 1  # no tag ends after it
         while at < size:
-            found = _TOKEN.search(source, at)
+            found = _START.search(source, at)
             if found is None:
                 self.text(source[at:])
                 return
-            if found.start() > at:
-                self.text(source[at : found.start()])
-            at, token = found.end(), found.group()
-            if token[1] in "!?":
+            begin = found.start()
+            aside = source[begin + 1] in "!?"
+            end = _ASIDE.match(source, begin).end() if aside else self.tag_end(source, begin) if begin < last else -1
+            if end < 0:
+                self.text(source[at:])
+                return
+            if begin > at:
+                self.text(source[at:begin])
+            at = end
+            if aside:
                 continue
-            tag = _NAME.match(token).group(1).lower()
-            if token[1] == "/":
+            tag = _NAME.match(source, begin).group(1).lower()
+            if source[begin + 1] == "/":
                 self.close(tag)
                 continue
-            self.open(tag, token)
+            self.open(tag, source[begin:end])
             if tag in RAW:
-                end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, at)
+                over = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, at, last)
                 self.close(tag)
-                at = end.end() if end else size
+                at = over.end() if over else size
+
+    def tag_end(self, source: str, begin: int) -> int:
+        """Where the tag that begins there ends, quoted values passed over; -1 if nowhere.
+
+        If no end is found past the quotes, they count for nothing. Such quotes are remembered, and a
+        later search that comes to one of them ends there."""
+        at, passed = begin, []
+        while True:
+            mark = _MARK.search(source, at)
+            if mark is None or mark.end() in self.endless:
+                break
+            if mark.group() == ">":
+                return mark.end()
+            passed.append(mark.end())
+            at = source.find(mark.group()[-1], mark.end()) + 1
+            if not at:
+                break
+        self.endless.update(passed)
+        return source.find(">", begin) + 1 or -1
 
     def text(self, run: str) -> None:
         run = html.unescape(run) if "&" in run else run
@@ -135,8 +185,8 @@ class Page:
                 self.links[block] += n
 
     def open(self, tag: str, source: str) -> None:
-        if tag in BLOCKS:
-            self.end_up_to({"p"}, {"button", "table", "td", "th", "caption"}, inline=True)
+        if tag in BLOCKS and self.open_blocks and self.stack[self.open_blocks[-1]][0] == "p":
+            self.end_up_to({"p"}, {"button"})
         if tag in ENDS:
             self.end_up_to(*ENDS[tag])
         block = self.stack[-1][1]
@@ -145,7 +195,7 @@ class Page:
         elif tag == "a":
             self.link_tags[block] += 1
         cut = self.cut[block] or is_cut(tag, source)
-        doubted = 0 if cut else doubt(tag, source, any(t in WHOLE for t, _ in self.stack))
+        doubted = 0 if cut else doubt(tag, source, self.articles > 0)
         if tag in BLOCKS or cut != self.cut[block] or doubted:
             self.doubts.append(doubted)
             self.tag.append(tag)
@@ -158,53 +208,62 @@ class Page:
             if tag in BLOCKS:
                 self.runs.append((block, None))
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.stack))
+            if tag in BLOCKS:
+                self.open_blocks.append(len(self.stack))
             self.stack.append((tag, block))
             self.anchors += tag == "a"
+            self.articles += tag in WHOLE
 
     def pop(self) -> None:
         tag, block = self.stack.pop()
+        self.places[tag].pop()
         self.anchors -= tag == "a"
+        self.articles -= tag in WHOLE
         if tag in BLOCKS:
+            self.open_blocks.pop()
             self.runs.append((block, None))
 
-    def end_up_to(self, tags: set[str], bounds: set[str], inline: bool = False) -> None:
-        """End the innermost of tags, if it is open inside the bounds (inline: with no block between)."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.stack[i][0]
-            if tag in tags:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if tag in bounds or inline and tag in BLOCKS:
-                return
+    def innermost(self, tags: set[str]) -> int:
+        """Place of the innermost open element of these, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
-    def close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if tag not in BLOCKS and self.stack[i][0] in BLOCKS:
-                return
+    def end_up_to(self, tags: set[str], bounds: set[str]) -> None:
+        """End the innermost of tags, if it is open inside the bounds."""
+        place = self.innermost(tags)
+        if place > self.innermost(bounds):
+            while len(self.stack) > place:
+                self.pop()
 
+    def close(self, tag: str) -> None:
+        place = self.innermost({tag})
+        # A formatting element does not end across a block.
+        if place and (tag in BLOCKS or not self.open_blocks or self.open_blocks[-1] < place):
+            while len(self.stack) > place:
+                self.pop()
 
     def settle(self) -> None:
         """Cut the doubted elements that do not hold the article."""
         n = len(self.tag)
         chars, links = list(self.chars), list(self.links)
-        holds = [t in WHOLE and not c for t, c in zip(self.tag, self.cut, strict=True)]
+        # Articles in each element, and around it; a comment that is an article is none of them.
+        whole = [int(t in WHOLE and not c and not d) for t, c, d in zip(self.tag, self.cut, self.doubts, strict=True)]
+        inside, around = list(whole), [0] * n
         for i in range(n - 1, 0, -1):
             up = self.parent[i]
             chars[up] += chars[i]
             links[up] += links[i]
-            holds[up] = holds[up] or holds[i]
-        whole = chars[0] - links[0]
+            inside[up] += inside[i]
+        text = chars[0] - links[0]
         for i in range(1, n):
+            up = self.parent[i]
+            around[i] = around[up] + whole[up]
+            holds = inside[i] and inside[i] + around[i] == inside[0]
             # Most of the text tells the article only where no element says so.
-            most = not holds[0] and 2 * (chars[i] - links[i]) > whole
-            if self.doubts[i] and not holds[i] and not most:
+            most = not inside[0] and 2 * (chars[i] - links[i]) > text
+            if self.doubts[i] and not holds and not most:
                 self.cut[i] = self.cut[i] or self.doubts[i] == 1 or 2 * links[i] > chars[i]
-            if self.cut[self.parent[i]]:
+            if self.cut[up]:
                 self.cut[i] = True
         for i in range(n):
             if self.cut[i]:
@@ -246,11 +305,11 @@ def main_text(source: str | None) -> str:
     if not sums[best]:
         best = body
 
-    chosen = [False] * n
+    steps = [0] * (n + 1)  # where chosen subtrees begin and end
 
     def choose(i: int) -> None:
-        if not chosen[i]:
-            chosen[i : last[i] + 1] = [True] * (last[i] + 1 - i)
+        steps[i] += 1
+        steps[last[i] + 1] -= 1
 
     path = [best]
     while path[-1] > body:
@@ -269,6 +328,7 @@ def main_text(source: str | None) -> str:
             if density[i] and density[i] >= threshold:
                 choose(top[i])
 
+    chosen = [depth > 0 for depth in accumulate(steps)]
     blocks: list[str] = []
     open_run: list[str] = []
     for block, run in page.runs:
