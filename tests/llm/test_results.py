@@ -292,6 +292,45 @@ def test_neighbours_recall(spark):
     assert hit >= 0.95 * 20 * 45 and len(got) == 900
 
 
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_neighbours_are_found_through_the_index(spark, blocks):
+    """Recall and the share of vectors verified, on given vectors; a bound from one block prunes the others."""
+    x = np.array(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas().embedding.tolist())
+    ids, plan, work = np.arange(len(x)), neighbours.Plan(), neighbours.Work()
+    unit = np.abs(x).max()
+    norm = math.sqrt(np.square(x / unit).sum(axis=1).max()) * (1 + 1e-12)
+    index = [neighbours.BlockIndex(ids[b::blocks], x[b::blocks], norm, unit, plan) for b in range(blocks)]
+    hit = 0
+    for q in range(0, len(x), 20):
+        found, bound = [], -math.inf
+        for block in index:
+            found.append(next(block.search(ids[q : q + 1], x[q : q + 1], np.array([bound]), work)))
+            bound = max(bound, np.sort(found[0][1])[-plan.k])
+        scores = np.sort(np.concatenate([s for _, s in found]))[-plan.k :]
+        exact = x @ x[q]
+        exact[q] = -math.inf
+        hit += (scores >= np.sort(exact)[-plan.k] - 1e-12).sum()
+    assert hit >= 0.93 * plan.k * len(x) / 20
+    # Small blocks give looser bounds.
+    assert work.verified < (0.6 if blocks == 1 else 0.7) * work.possible
+
+
+def test_neighbours_of_each_length(spark):
+    """Vectors are compared within their length; huge entries do not overflow the index."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(3 if i < 30 else 5).tolist()) for i in range(60)]
+    rows += [(i, (rng.standard_normal(2) * 1e200).tolist()) for i in range(60, 80)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.search(frame, "vec_id % 10 = 0", neighbours.Plan(k=4)).toPandas()
+    for lo, hi in ((0, 30), (30, 60), (60, 80)):
+        for q in range(lo, hi, 10):
+            own = got[got.query_id == q].sort_values("rank")
+            with np.errstate(over="ignore"):
+                exact = {i: float((np.array(v) * np.array(rows[q][1])).sum()) for i, v in rows[lo:hi] if i != q}
+            assert len(own) == 4 and set(own.vec_id) <= set(exact)
+            assert own.score.tolist() == pytest.approx([exact[i] for i in own.vec_id])
+
+
 def test_jump_hash_moves_only_into_the_new_shard():
     keys = np.arange(20_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for n in (1, 7, 24):
