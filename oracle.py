@@ -569,5 +569,6 @@ ORACLE["stored_fleet_trend"] = ORACLE["fleet_metrics_trend"]
 ORACLE["stored_incident_trend"] = ORACLE["fleet_incident_trend"]
 ORACLE["stored_last_50"] = ORACLE["last_50_incidents"]
 ORACLE["stored_points"] = f"SELECT * FROM ({ORACLE['points_taxi']}) WHERE time_ms >= 1704672000000 AND time_ms < 1705276800000"
+ORACLE["topic_messages"] = ORACLE["emit_messages"]
 ORACLE["benchmark_report"] = ORACLE["latency_windows_day"]
 ORACLE["stream_inactive_trips"] = ORACLE["inactive_trips"]

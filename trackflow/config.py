@@ -25,6 +25,8 @@ ENV_NAMES = {
     "file_limit": "DATASET_SIZE_LIMIT",
     "replay_mode": "DATA_REPLAY_MODE",
     "replay_speed": "DATA_REPLAY_SPEED",
+    "flush_rows": "KAFKA_REDIS_CONSUMER_BATCH_SIZE_LIMIT",
+    "flush_s": "KAFKA_REDIS_CONSUMER_BATCH_INTERVAL_IN_SECONDS",
     "source_topics": "KAFKA_SOURCE_TOPICS",
     "processed_topic": "KAFKA_TAXI_PROCESSED_DATA_SINK_TOPIC",
     "alerts_topic": "KAFKA_TAXI_VIOLATION_ALERTS_SINK_TOPIC",
@@ -57,6 +59,9 @@ class Settings:
     max_group_rows: int = 2_000_000
     # Forget a silent taxi's streaming state after this long; 0 keeps it until the trip ends.
     state_ttl_s: int = 0
+    # A micro-batch closes when so many messages wait, or when the oldest has waited so long.
+    flush_rows: int = 500
+    flush_s: int = 1
     # Partitions of all source topics together; of more than one, messages are merged by sending time.
     source_partitions: int = 1
     source_topics: str = ""
@@ -76,8 +81,8 @@ class Settings:
             raise ValueError("refresh_interval_s must be between 1 and 10")
         if self.emit_interval_s < 1 or self.rebaseline_s < 1:
             raise ValueError("intervals must be at least one second")
-        if self.source_partitions < 1:
-            raise ValueError("source_partitions must be positive")
+        if self.source_partitions < 1 or self.flush_rows < 1 or self.flush_s < 0:
+            raise ValueError("source_partitions and flush_rows must be positive")
         if self.max_group_rows < 1:
             raise ValueError("max_group_rows must be positive")
 

@@ -27,7 +27,7 @@ from trackflow.operators.ordered import Ordered
 from trackflow.plans import chain
 from trackflow.plans.fixture import EPOCH_MS_2024_01_01, conflict_pings, load_pings, raw_pings, stream_pings
 from trackflow.session import Held, cut, shared_dir
-from trackflow.sources import files, streams, tables
+from trackflow.sources import files, streams, tables, topiclog
 from trackflow.sources.versions import Versioned
 from trackflow.streaming import inactivity as stream_inactivity
 from trackflow.streaming import arrival, pipeline, windows
@@ -803,6 +803,19 @@ def stored_points(spark, sf_dir):
     return tables.read_points(spark, path, EPOCH_MS_2024_01_01 + week, EPOCH_MS_2024_01_01 + 2 * week)
 
 
+@query
+def topic_messages(spark, sf_dir):
+    """Processed messages appended to a topic in three partitions, and read back."""
+    from trackflow.schema import PROCESSED_MESSAGE
+
+    received = (F.col("sent_at_utc_ms") + 3).alias("received_at_utc_ms")
+    texts = messages.processed_messages(_processed(spark, sf_dir).select("*", received))
+    path = f"{shared_dir(spark)}/topics-{uuid.uuid4().hex}"
+    topiclog.append_to_topic(texts, path, "processed", partitions=3, batch=0)
+    parsed = topiclog.read_topic(spark, path, "processed").withColumn("_m", messages.parse_json(F.col("value"), PROCESSED_MESSAGE))
+    return parsed.select("key", "_m.*").drop(messages.CORRUPT)
+
+
 @query
 def benchmark_report(spark, sf_dir):
     path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"

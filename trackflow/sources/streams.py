@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from trackflow.config import DEFAULTS, Settings
+
 
 def topic_list(topics: str) -> list[str]:
     names = [t.strip() for t in topics.split(",") if t.strip()]
@@ -17,8 +19,14 @@ def topic_list(topics: str) -> list[str]:
     return names
 
 
+def flush_options(cfg: Settings) -> dict[str, str]:
+    """A micro-batch closes by size or by time."""
+    return {"minOffsetsPerTrigger": str(cfg.flush_rows), "maxTriggerDelay": f"{cfg.flush_s}s"}
+
+
 def kafka_stream(
-    spark: SparkSession, servers: str, topics: str, group: str = "", max_per_trigger: int = 1_000_000
+    spark: SparkSession, servers: str, topics: str, group: str = "", max_per_trigger: int = 1_000_000,
+    cfg: Settings = DEFAULTS,
 ) -> DataFrame:
     """Values of the topics from the earliest offset, with (topic, partition, offset).
 
@@ -30,6 +38,7 @@ def kafka_stream(
         .option("subscribe", ",".join(topic_list(topics)))
         .option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", max_per_trigger)
+        .options(**flush_options(cfg))
     )
     if group:
         reader = reader.option("groupIdPrefix", group)
@@ -40,7 +49,7 @@ def kafka_stream(
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet",
-    pattern: str | None = None, files_per_trigger: int | None = None,
+    pattern: str | None = None, files_per_trigger: int | None = 1000,
 ) -> DataFrame:
     reader = spark.readStream.format(kind).schema(schema)
     if pattern:

@@ -61,9 +61,16 @@ def wall_clock_ms() -> int:
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> None:
     """Run independent jobs of a micro-batch side by side: each is small, and most of its time is waiting."""
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+
+    def run(step: Callable[[], object]) -> object:
+        # A new thread knows nothing of the query's session, where data sources are looked up.
+        sessions.setActiveSession(spark._jsparkSession)
+        return step()
+
     with ThreadPoolExecutor(len(steps)) as pool:
         # Threads inherit the query's job group, so that stopping it stops their jobs.
-        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+        for done in [pool.submit(inheritable_thread_target(spark)(run), step) for step in steps]:
             done.result()
 
 
@@ -240,5 +247,5 @@ def run(spark: SparkSession, cfg: Settings, servers: str, out: str) -> list[Stre
     """From settings to topics and tables: source, parse, chain, sinks."""
     cfg.require_topics()
     use_rocksdb(spark)
-    raw = kafka_stream(spark, servers, cfg.source_topics)
+    raw = kafka_stream(spark, servers, cfg.source_topics, cfg=cfg)
     return start_from_messages(raw, out, cfg, publish=kafka_publisher(servers))
