@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from trackflow.llm import langid, mixing, neardup, neighbours, packing, scoring, sharding
+from trackflow.llm import langid, mixing, neardup, neighbours, packing, quality, scoring, sharding
 from trackflow.llm import text as tx
 from trackflow.llm.components import components
 from trackflow.llm.queries import QUERIES, vocabulary
@@ -359,3 +359,35 @@ def test_extraction_against_the_article(spark):
 def test_store_survives(spark):
     frame = stored(spark.range(10).withColumn("r", F.rand()), "t")
     assert frame.collect() == frame.collect()
+
+
+def test_frequent_lines_of_a_large_host(spark):
+    """A line in 50 documents of a host of 20,000 is frequent, as in a small host; one in 30 is not."""
+    big = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(
+            F.lit("own line number "), F.col("id"), F.lit(" of the text with enough different words to be kept as it is\n"),
+            F.when(F.col("id") < 50, "Shared  LINE of fifty").otherwise(F.when(F.col("id") < 80, "shared line of thirty").otherwise("")),
+        ).alias("text"),
+        F.lit("big").alias("source"),
+    )
+    small = spark.range(40).select(
+        (F.col("id") + 100_000).alias("doc_id"), F.concat(F.lit("shared line of forty\n\n own "), F.col("id")).alias("text"), F.lit("small").alias("source")
+    )
+    docs = big.unionByName(small).withColumns({"row": F.lit("own"), "clean": F.lit("own"), "host": F.lit("own"), "cut": F.lit("own")})
+    removed = {r.doc_id: r.removed_words for r in quality.judge(docs).where("removed_words > 0").collect()}
+    assert removed == {**{i: 4 for i in range(50)}, **{100_000 + i: 4 for i in range(40)}}
+    stripped = quality.strip(docs)
+    assert stripped.columns == docs.columns
+    got = {r.doc_id: r.text for r in stripped.collect()}
+    assert len(got) == 20_040 and got[0].endswith("kept as it is") and got[50].endswith("shared line of thirty")
+    assert got[100_003] == "\n own 3"
+
+
+def test_strip_of_odd_rows(spark):
+    rows = [(i, "A b\n\nsame\n x" if i % 2 else "SAME\nÉ same") for i in range(40)] + [(99, None), (99, ""), (98, "same"), (98, "same")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id bigint, text string, source string")
+    got = [(r.doc_id, r.text) for r in quality.strip(docs, quality.Rules(max_docs=2)).collect()]
+    assert len(got) == 44 and (99, None) in got and (99, "") in got and got.count((98, "")) == 2
+    assert (1, "A b\n\n x") in got and (0, "É same") in got
+    assert quality.strip(docs.limit(0)).collect() == []

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackflow.llm import text as tx
@@ -81,14 +81,22 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[tx.Words, dict[s
     }
 
 
-def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per text the distinct normalised lines: their number, hashes and words in all repeats."""
+def full_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines with a word of lower-cased texts: text, number within it, hash, words."""
     words = tx.Words(data, offsets)
-    line = np.cumsum(data == 10)[words.starts] + words.doc if len(words.starts) else np.zeros(0, np.int64)
+    breaks = np.cumsum(data == 10)
+    line = breaks[words.starts] + words.doc if len(words.starts) else np.zeros(0, np.int64)
     cuts = np.flatnonzero(np.diff(line, prepend=-1)) if len(line) else np.zeros(0, np.int64)
     bounds = np.append(cuts, len(line))
-    hashed = tx.group_hash(words.hashes(), bounds)
-    doc, size = words.doc[cuts], np.diff(bounds)
+    doc = words.doc[cuts]
+    # A line break itself counts to the lines before it.
+    before = np.append(0, breaks)[offsets[:-1]] + np.arange(len(offsets) - 1)
+    return doc, line[cuts] - before[doc], tx.group_hash(words.hashes(), bounds), np.diff(bounds)
+
+
+def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text the distinct normalised lines: their number, hashes and words in all repeats."""
+    doc, _, hashed, size = full_lines(data, offsets)
     order = np.lexsort((hashed, doc))
     doc, hashed, size = doc[order], hashed[order], size[order]
     new = np.ones(len(doc), bool)
@@ -126,6 +134,68 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(columns)
 
 
+def host() -> Column:
+    return F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+
+
+def frequent_lines(rows: DataFrame, rules: Rules) -> DataFrame:
+    """(host, line) of the lines in more texts of their host than the limit; rows: row_id, host, text_key, lines."""
+    # One row for each distinct text of a host.
+    texts = rows.groupBy("host", "text_key").agg(F.min("row_id").alias("row_id"))
+    counted = rows.select("row_id", "lines").join(texts, "row_id").select("host", F.explode("lines").alias("line"))
+    counted = counted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+    return counted.where(F.col("n_docs") > rules.max_docs).select("host", "line")
+
+
+def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of texts that have a row number, without other counts."""
+    for batch in batches:
+        for part in tx.chunks(batch):
+            data, offsets = tx.buffers(part.column("text"))
+            n, lines, _ = line_hashes(*tx.buffers(pc.utf8_lower(part.column("text"))))
+            keys = tx.Words(data, offsets).span_hash(offsets[:-1], offsets[1:])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row_id": part.column("row_id"),
+                    "host": part.column("host"),
+                    "text_key": pa.array(keys.view(np.int64)),
+                    "lines": tx.lists(lines.view(np.int64), n, pa.int64()),
+                }
+            )
+
+
+def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the lines whose hashes come with them."""
+    for batch in batches:
+        for part in tx.chunks(batch):
+            doc, number, hashed, _ = full_lines(*tx.buffers(pc.utf8_lower(part.column("text"))))
+            bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
+            texts = []
+            for i, (text, cut) in enumerate(zip(part.column("text").to_pylist(), part.column("cut").to_pylist(), strict=True)):
+                own = slice(bounds[i], bounds[i + 1])
+                gone = set(number[own][np.isin(hashed[own].view(np.int64), cut)].tolist())
+                texts.append("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone))
+            yield pa.RecordBatch.from_pydict({"row_id": part.column("row_id"), "clean": pa.array(texts, pa.string())})
+
+
+def strip(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of docs, all columns, with the frequent lines of their host taken out of the text.
+
+    Lines without a word stay, as do null texts; a text of frequent lines alone becomes empty. Only texts
+    with such lines are written anew."""
+    whole = docs.select(F.struct("*").alias("row"), host().alias("host"), F.col("text").cast("string").alias("text"))
+    # Row numbers are fixed by being written.
+    whole = stored(whole.withColumn("row_id", F.monotonically_increasing_id()), "quality-texts")
+    schema = "row_id long, host string, text_key long, lines array<long>"
+    rows = stored(whole.select("row_id", "host", "text").mapInArrow(lines_of, schema), "quality-lines")
+    spread = rows.select("row_id", "host", F.explode("lines").alias("line"))
+    hits = spread.join(frequent_lines(rows, rules), ["host", "line"], "left_semi")
+    hits = hits.groupBy("row_id").agg(F.collect_list("line").alias("cut"))
+    clean = whole.select("row_id", "text").join(hits, "row_id").mapInArrow(without, "row_id long, clean string")
+    out = whole.join(clean, "row_id", "left")
+    return out.select(F.col("row").withField("text", F.coalesce("clean", "row.text")).alias("row")).select("row.*")
+
+
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """doc_id, the base counts, base_failed, removed_words, kept; a row per input row.
 
@@ -134,13 +204,8 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     rows = stored(slim.mapInArrow(measure, _MEASURED.format(id=id_type)), "quality-rows")
-    rows = rows.withColumn("host", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
-
-    # One row for each distinct text of a host.
-    texts = rows.groupBy("host", "text_key").agg(F.min("row_id").alias("row_id"))
-    counted = rows.select("row_id", "lines").join(texts, "row_id").select("host", F.explode("lines").alias("line"))
-    counted = counted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
-    frequent = counted.where(F.col("n_docs") > rules.max_docs).select("host", "line")
+    rows = rows.withColumn("host", host())
+    frequent = frequent_lines(rows, rules)
 
     pairs = F.explode(F.arrays_zip("lines", "line_words"))
     spread = rows.select("row_id", "host", pairs.alias("p")).select(
