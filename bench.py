@@ -6,6 +6,7 @@ import json
 import os
 import time
 import uuid
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -41,7 +42,6 @@ def stream_run(spark: SparkSession, folder: str, batches: int = 8) -> dict:
     from trackflow.sources.streams import file_stream
     from trackflow.streaming import pipeline
 
-    pipeline.use_rocksdb(spark)
     out = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
     events = spark.read.parquet(f"{folder}/events.parquet")
     events.repartitionByRange(batches, "event_id").write.parquet(f"{out}/in")
@@ -60,6 +60,52 @@ def stream_run(spark: SparkSession, folder: str, batches: int = 8) -> dict:
     }
 
 
+def paced_run(spark: SparkSession, folder: str, rate: int, seconds: int = 30) -> dict:
+    """The job at the published load: so many rows a second, one file each. A row's latency is from its
+    file's appearance until all tables of its micro-batch are written; the first, cold batch is apart."""
+    import pyarrow.parquet as pq
+
+    from trackflow.plans.fixture import events_to_pings
+    from trackflow.session import shared_dir
+    from trackflow.sources.streams import file_stream
+    from trackflow.streaming import pipeline
+
+    out = f"{shared_dir(spark)}/paced-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    table = pq.read_table(f"{folder}/events.parquet").slice(0, rate * (seconds + 1))
+    os.makedirs(f"{out}/in")
+    appeared = []
+
+    def send(i: int) -> None:
+        pq.write_table(table.slice(i * rate, rate), f"{out}/part-{i}")
+        os.rename(f"{out}/part-{i}", f"{out}/in/part-{i:04d}.parquet")
+        appeared.append(time.time())
+
+    send(0)
+    stream = file_stream(spark, f"{out}/in", events.schema)
+    job = pipeline.start(events_to_pings(stream, events), f"{out}/tables", every="0 seconds", clock=pipeline.wall_clock_ms)
+    while not any(p["numInputRows"] for p in job.recentProgress):
+        time.sleep(0.1)
+    began = time.time()
+    for i in range(1, seconds + 1):
+        time.sleep(max(began + i - time.time(), 0))
+        send(i)
+    job.processAllAvailable()
+    done = []
+    for p in job.recentProgress:
+        if p["numInputRows"]:
+            start = datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).timestamp()
+            done.append((p["numInputRows"] // rate, start + p["durationMs"]["triggerExecution"] / 1000))
+    job.stop()
+    latency, at = [], 0
+    for files, end in done:
+        latency += [end - t for t in appeared[at : at + files]]
+        at += files
+    warm = sorted(latency[done[0][0] :])
+    shares = {f"p{q}_latency_s": round(warm[min(len(warm) * q // 100, len(warm) - 1)], 3) for q in (50, 95, 99)}
+    return {"rows_per_s": rate, "batches": len(done), "cold_s": round(latency[0], 3), **shares}
+
+
 def main() -> None:
     from trackflow.plans.queries import QUERIES
 
@@ -84,6 +130,7 @@ def main() -> None:
                 "events": events,
                 "chain_events_per_s": round(events / times["processed_stream"]),
                 "stream": stream_run(spark, folder),
+                "stream_paced": [paced_run(spark, folder, rate) for rate in (40, 120)],
             }
         )
     )

@@ -120,3 +120,40 @@ def test_dense_key_takes_linear_time():
     times = np.arange(2_000_000)
     kept, last = pick(times, None, 5)
     assert kept == list(range(0, 2_000_000, 5)) and last == 1_999_995
+
+
+def test_plan_of_a_global_sequence_does_not_grow(spark):
+    """Neither bounds nor constant chunks in the plan, however many chunks there are."""
+    sizes = []
+    for n, limit in ((300, 20), (30_000, 200)):
+        df = spark.range(n).select((F.col("id") * 3).alias("seq"), F.col("id").alias("v"))
+        rows = Ordered.globally(df, "seq", limit)
+        assert rows.df.select(CHUNK).distinct().count() >= n // limit
+        plan = rows.totals({}, s=F.col("v")).rows()._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan))
+        assert "Window" in plan and "windowspecdefinition(0" not in plan
+    assert abs(sizes[0] - sizes[1]) < 200
+
+
+def test_totals(spark):
+    """Running sums and the largest value before each row, over one range and over many."""
+    rnd = random.Random(4)
+    rows = [(i * 2, rnd.choice([None, rnd.randint(-9, 9)]), rnd.randint(0, 99)) for i in range(300)]
+    df = spark.createDataFrame(rows, "seq bigint, v bigint, t bigint")
+    for limit in (10_000, 20):
+        got = Ordered.globally(df, "seq", limit).totals({"top": F.col("t")}, s=F.coalesce("v", F.lit(0))).rows()
+        total, top = 0, None
+        for (_, v, t), r in zip(rows, got.orderBy("seq").collect(), strict=True):
+            total += v or 0
+            assert (r.s, r.top) == (total, top)
+            top = t if top is None else max(top, t)
+
+
+def test_last_value_within_few_rows(spark):
+    df = spark.range(400).select(F.col("id").alias("seq"))
+    rows = Ordered.globally(df, "seq", 20)
+    few = rows.df.where("seq % 90 = 7").select("seq", CHUNK, F.col("seq").alias("mark"))
+    marked = rows.like(rows.df.join(few, ["seq", CHUNK], "left"))
+    got = marked.last_before(upto=True, within=few, kept=F.col("mark")).rows().orderBy("seq").collect()
+    for r in got:
+        assert r.kept == (None if r.seq < 7 else (r.seq - 7) // 90 * 90 + 7)
