@@ -391,3 +391,62 @@ def test_strip_of_odd_rows(spark):
     assert len(got) == 44 and (99, None) in got and (99, "") in got and got.count((98, "")) == 2
     assert (1, "A b\n\n x") in got and (0, "É same") in got
     assert quality.strip(docs.limit(0)).collect() == []
+
+
+def plain_jump(key, shards):
+    """The published scalar form of jump consistent hashing."""
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash_against_scalar():
+    rng = np.random.default_rng(8)
+    keys = np.append(rng.integers(0, 1 << 64, 500, dtype=np.uint64), np.array([0, 1, (1 << 64) - 1], np.uint64))
+    for shards in (1, 2, 24, 25, 1000):
+        assert sharding.jump_hash(keys, shards).tolist() == [plain_jump(int(k), shards) for k in keys]
+
+
+def test_langid_against_plain_kernel_ridge():
+    """Margins by sets of strings, a kernel matrix and a plain solution equal those of the sparse product."""
+    rows = [("aa", "la le lu la le li"), ("bb", "xo xi xu xo xi"), ("aa", "le la lo, le!"), ("bb", "xu xa xi xe"), ("cc", "mir mor mur"), ("cc", "mur  mar")]
+    new = ["la xo mir", "le le", "xi-xi", "mor mur la", "zz"]
+
+    def grams_of(text):
+        text = re.sub("[^a-z]+", " ", text.lower())
+        found = {text[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1)}
+        return {g for g in found if g.strip()}
+
+    def kernel(a, b):
+        return len(a & b) / math.sqrt(len(a) * len(b))
+
+    fit = langid.Fit()
+    sets, names = [grams_of(t) for _, t in rows], sorted({n for n, _ in rows})
+    label = np.array([names.index(n) for n, _ in rows])
+    marks = np.array([[kernel(a, b) for b in sets] for a in sets])
+    values, vectors = np.linalg.eigh(marks)
+    sound = values > 1e-6 * values[-1]
+    whiten = vectors[:, sound] / np.sqrt(values[sound])
+    x, y = marks @ whiten, np.eye(len(names))[label]
+    weight = (1 / np.bincount(label))[label][:, None]
+    weight /= weight.sum()
+    mean_x, mean_y = (weight * x).sum(axis=0), (weight * y).sum(axis=0)
+    solved = np.linalg.solve(
+        (x - mean_x).T @ (weight * (x - mean_x)) + fit.ridge / len(rows) * np.eye(x.shape[1]), (x - mean_x).T @ (weight * (y - mean_y))
+    )
+    got, scores, _ = langid.scores(pa.array(new), langid.train(rows, fit))
+    for text, name, score in zip(new, got, scores, strict=True):
+        own = grams_of(text)
+        # N-grams of letters that no row has are known to none, but count for the length.
+        margins = (np.array([kernel(own, s) for s in sets]) @ whiten - mean_x) @ solved + mean_y
+        assert names[int(margins.argmax())] == name and score == pytest.approx(min(max(margins.max(), 0), 1), abs=1e-4)
+
+
+def test_neighbours_and_languages_of_equal_texts(spark):
+    """Ties: equal texts get equal predictions, whatever their row."""
+    docs = spark.createDataFrame([(i, "la le li lo lu" if i % 2 else "xo xa xi", "aa" if i % 2 else "bb") for i in range(20)], "doc_id bigint, text string, lang string")
+    rows = langid.identify(docs, docs).collect()
+    assert len({(r.text, r.lang_pred, r.score) for r in rows}) == 2

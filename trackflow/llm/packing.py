@@ -292,8 +292,8 @@ def pack(docs: DataFrame, vocabulary: str, plan: Plan = Plan()) -> DataFrame:
     pieces = stored(slim.mapInArrow(run, schema), "packing")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = pieces.groupBy("part").agg((F.max("local") + 1).alias("_n"))
-    # One row per input partition.
+    # One row per input partition: whether that is few enough to be broadcast is measured at run time.
     starts = counts.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return pieces.join(F.broadcast(starts), "part").select(
+    return pieces.join(starts, "part").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("_start") + F.col("local")).alias("sequence_id"), "offset"
     )
