@@ -95,8 +95,8 @@ class Ordered:
         checkpoint, or for a micro-batch tables that go with it. So few rows that
         cutting them costs more than it gives are one range.
         """
-        # Read by the count, by the exchange's sample and by the exchange.
-        read = df.persist() if hold is cut else hold(df)
+        # Read by the count, by the exchange's sample and by the exchange. Rows of a micro-batch are at rest.
+        read = df.persist() if hold is cut else df
         n = read.count()
         tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
         pieces = max(-(-2 * n // max_group_rows) if n > max_group_rows else 1, min(tasks, -(-n // FEW)))

@@ -87,6 +87,11 @@ class Versioned:
         manifest = self.manifest(upto)
         return None if manifest is None else self._merged(manifest).drop(VERSION)
 
+    def rows(self, upto: int | None = None) -> int:
+        """Rows in the folders of a version, replaced ones included, without a job."""
+        manifest = self.manifest(upto)
+        return sum(n for _, n in manifest.parts) if manifest else 0
+
     def _merged(self, manifest: Manifest) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(manifest.schema))
         rows = self.spark.read.schema(schema).parquet(*[f"{self.path}/parts/{p}" for p, _ in manifest.parts])

@@ -44,6 +44,11 @@ class ChainStep:
             state = state.where(F.col(TOUCHED) > F.unix_millis(F.current_timestamp()) - self.cfg.state_ttl_s * 1000)
         return state
 
+    def size(self, batch: DataFrame, batch_id: int) -> int:
+        """Rows that a micro-batch has to go through: its own, or the states if they are more."""
+        states = Versioned(batch.sparkSession, f"{self.out}/state", "taxi_id").rows(batch_id - 1)
+        return max(batch.count(), states)
+
     def rows(self, batch: DataFrame, batch_id: int, hold: Held) -> tuple[DataFrame, DataFrame]:
         """(processed rows with their fleet differences, states that the batch leaves).
 

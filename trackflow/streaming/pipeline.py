@@ -32,6 +32,7 @@ from trackflow.streaming.arrival import Arrival
 from trackflow.streaming.chain import PRIVATE, ChainStep
 
 Publish = Callable[[DataFrame, str, int], None]
+TASK_ROWS = 10_000  # rows of a micro-batch that are worth a task
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -129,13 +130,20 @@ class PipelineSink:
 
     def __call__(self, pings: DataFrame, batch_id: int) -> None:
         spark, held = pings.sparkSession, Held(pings.sparkSession, self.out)
-        adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-        # Planning anew between stages costs more than it gives in batches of a trigger's size.
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+        before = {n: spark.conf.get(n) for n in names}
+        pings = pings.persist()  # counted, then computed: the source is read once
+        # Planning anew between stages costs more than it gives in batches of a trigger's size; the
+        # number of tasks is chosen at the start instead, by the rows that there are.
+        tasks = min(int(before[names[1]]), max(self.chain.size(pings, batch_id) // TASK_ROWS, 1))
+        spark.conf.set(names[0], "false")
+        spark.conf.set(names[1], str(tasks))
         try:
             self._tables(pings, batch_id, held)
         finally:
-            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            for name, value in before.items():
+                spark.conf.set(name, value)
+            pings.unpersist()
         held.release()
 
     def _tables(self, pings: DataFrame, batch_id: int, held: Held) -> None:
