@@ -163,14 +163,32 @@ def test_scoring_against_plain(spark):
         assert got[i].base_score == pytest.approx(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words))
 
 
+def test_scoring_in_pieces(spark):
+    """Many buckets, tasks to a bucket, chunks and rows to a table give the plain scores, however large the corpus."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("abcdé"), rng.integers(1, 6))) for _ in range(rng.integers(0, 30))) for _ in range(60)]
+    rows = [(i, t, i % 5 != 1, True) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean, scored boolean").repartition(3)
+    small = scoring.Sizes(bucket_bytes=300, salt_bytes=1500, chunk_bytes=400, chunk_keys=50, row_keys=7)
+    got = {r.doc_id: r for r in scoring.score_marked(frame, small).collect()}
+    assert len(got) == len(texts)
+    training = [t for i, t in enumerate(texts) if i % 5 != 1]
+    for i, t in enumerate(texts):
+        assert got[i].score == pytest.approx(ppm(training, t))
+    # Rare n-grams count in a corpus of any size: counts of ten times the texts, plus their own effect, are the plain ones.
+    rare = spark.createDataFrame([(0, "the zyxwvu")], "doc_id bigint, text string")
+    many = ["the the the"] * 3000 + ["zyxwvu"]
+    one = scoring.score(rare, spark.createDataFrame([(t,) for t in many], "text string"), small).first()
+    assert one.score == pytest.approx(ppm(many, "the zyxwvu")) and one.n_known == 3
+
+
 def test_scoring_sums_to_one():
-    """Over all symbols, after any context, with n-grams that the trie has dropped."""
+    """Over all symbols, after any context."""
     keys, _ = scoring.grams(*tx.buffers(pa.array(["banana bandana", "ban the banana", "cabana"])))
     lengths = {}
     for k in range(1, scoring.ORDER + 2):
-        names, n = scoring._sums(keys & ((1 << (scoring.BITS * k)) - 1), np.ones(len(keys), np.int64))
-        lengths[k] = (names[n > 1], n[n > 1])
-    scorer = scoring.Scorer(scoring.build(lengths, len(keys), 3))
+        lengths[k] = scoring._sums(keys & ((1 << (scoring.BITS * k)) - 1), np.ones(len(keys), np.int64))
+    scorer = scoring.Scorer(scoring.build(lengths))
     for context in ("", "b", "ana", "xyzzy", "bana", " the"):
         key, _ = scoring.grams(*tx.buffers(pa.array([context])))
         every = (key[-1] >> scoring.BITS << scoring.BITS) + np.arange(1, scoring.ALPHABET + 1)

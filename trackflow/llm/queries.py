@@ -53,7 +53,8 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = scoring.score(docs, docs.where(id_fold("doc_id", 5) != 1))
+    learned = F.coalesce(id_fold("doc_id", 5) != 1, F.lit(False))
+    scored = scoring.score_marked(docs.withColumns({"train": learned, "scored": F.lit(True)}))
     held_out = F.coalesce(id_fold("doc_id", 5) == 1, F.lit(True)).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

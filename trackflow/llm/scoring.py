@@ -3,34 +3,39 @@
 The model is a trie of byte contexts of up to ORDER bytes, counted over all training texts. A byte is
 predicted in the longest context known; if it has not been seen there, an escape leads to the next
 shorter context, in which the bytes of the longer one are excluded. Escapes are estimated by method C:
-a context with n occurrences and u different bytes escapes with u / (n + u), and occurrences of bytes
-that the trie does not keep count as escapes, too. Below the empty context all 257 symbols (the bytes
-and the text's end) that were not excluded are equally likely.
+a context with n occurrences and u different bytes escapes with u / (n + u). Below the empty context
+all 257 symbols (the bytes and the text's end) that were not excluded are equally likely.
 
-Contexts are counted by the cluster as n-grams of the longest length; shorter ones are sums of those.
-The trie keeps the n-grams that make up at least a share 1 / 2**20 of all training symbols, for any
-corpus, so at most 2**20 of each length: that bounds what is broadcast. As an n-gram is never more
-frequent than its suffix, the symbols of a context are always among those of its suffix, as exclusion
-needs.
+Every n-gram counts, however rare, so the model grows with the corpus and is nowhere whole. As the trie
+does not change while it scores, a symbol's probability depends on its (ORDER + 1)-gram alone:
 
-As the trie does not change while it scores, what a context passes on to the next shorter one (mass,
-exclusions, escapes) is precomputed, and a text is scored by a few table lookups per byte.
+1. Texts are dealt into chunks. A chunk's distinct n-grams are sent, with their counts in its training
+   texts, to buckets: all n-grams whose two bytes before the last one are the same meet in one bucket.
+2. A bucket adds the counts up. What it holds are all contexts of two and more bytes that end alike, so
+   it can build its part of the trie; shorter contexts (at most 257 + 257 ** 2 n-grams) are broadcast.
+3. A bucket answers each chunk with the probabilities of the n-grams that it asked for.
+4. A chunk's texts meet its answers and add them up.
 
-Besides, unigram word scores are given. Words of at least the same share of all are looked up in a
-broadcast table; counts of the rest are joined.
+Buckets are as many as the texts' bytes ask for, and a bucket's requests are dealt to several tasks when
+there are many. Unigram word scores take the same way, with words as keys and counts as answers.
+Keys and answers travel as sorted, compressed arrays.
+
+As an n-gram is never more frequent than its suffix, the symbols of a context are always among those of
+its suffix, as exclusion needs.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trackflow.llm import text as tx
 from trackflow.llm.shared import stored
@@ -39,7 +44,7 @@ ORDER = 5
 BITS = 9
 END = 257  # symbols: 1 to 256 are bytes, 257 is the text's end, 0 stands before a text
 ALPHABET = 257
-SHARE = 1 << 20
+GRAMS, WORDS, TEXTS = 0, 1, 2  # kinds of rows
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _END_WORD = np.uint64(0x51ED270B7A1F4C3D)  # hash of the end token
@@ -83,6 +88,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out, bounds
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """What a task holds at once. Results do not depend on it."""
+
+    bucket_bytes: int = 1 << 24  # of all texts, for each bucket
+    salt_bytes: int = 1 << 38  # of all texts, for each task that serves a bucket
+    chunk_bytes: int = 1 << 26
+    chunk_keys: int = 1_500_000
+    row_keys: int = 1 << 20
+
+
 class Counts:
     """Counts of keys, merged now and then so that memory stays bounded."""
 
@@ -90,51 +106,159 @@ class Counts:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held, self.most = 0, most
 
-    def add(self, keys: np.ndarray) -> None:
-        found, n = np.unique(keys, return_counts=True)
-        self.parts.append((found, n))
-        self.held += len(found)
+    def add(self, keys: np.ndarray, counted: np.ndarray) -> None:
+        """Occurrences of keys; those that are not counted make a key known with a count of 0."""
+        self.add_counts(*np.unique(keys[counted], return_counts=True))
+        rest = np.unique(keys[~counted])
+        self.add_counts(rest, np.zeros(len(rest), np.int64))
+
+    def add_counts(self, keys: np.ndarray, n: np.ndarray) -> None:
+        """Counts of distinct keys in ascending order."""
+        if len(keys):
+            self.parts.append((keys, n))
+            self.held += len(keys)
         if self.held > self.most:
             self.merge()
+            # A large table is not merged again before it has doubled.
+            self.most = max(self.most, 2 * self.held)
 
     def merge(self) -> None:
         if len(self.parts) > 1:
             keys, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            self.parts = [(keys[cuts], np.add.reduceat(n, cuts))]
+            self.parts = [_sums(keys, n)]
         self.held = sum(len(k) for k, _ in self.parts)
 
-    def take(self, kind: int) -> pa.RecordBatch | None:
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
         self.merge()
-        if not self.parts:
-            return None
-        keys, n = self.parts[0]
+        out = self.parts[0] if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.parts, self.held = [], 0
-        kinds = pa.array(np.full(len(keys), kind, np.int32))
-        return pa.RecordBatch.from_pydict({"kind": kinds, "key": pa.array(keys.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+        return out
+
+
+def pack(values: np.ndarray) -> bytes:
+    """A compressed array of 8-byte values, their bytes in planes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: pa.Scalar, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_py()), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpack_keys(packed: pa.Scalar) -> np.ndarray:
+    return np.cumsum(unpack(packed))
+
+
+def bucket_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key; n-grams of one two-byte context lie together."""
+    named = (keys >> BITS) & ((1 << (2 * BITS)) - 1) if kind == GRAMS else keys
+    return (tx.mix(named.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def count(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): counts of the longest n-grams (kind 0) and of words (kind 1) over all texts."""
+def requests(docs: DataFrame, buckets: int, sizes: Sizes) -> DataFrame:
+    """Per chunk and bucket the distinct keys and their training counts; and the texts to score.
+
+    docs: doc_id, text, train, scored. Rows: chunk, kind, bucket, keys, counts, doc_id, text."""
+    id_field = docs.schema["doc_id"]
+    schema = StructType.fromDDL("chunk long, kind int, bucket long, keys binary, counts binary")
+    schema = schema.add("doc_id", id_field.dataType).add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = (Counts(), Counts())
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        tables = (Counts(2 * sizes.chunk_keys), Counts(2 * sizes.chunk_keys))
+        id_type = None
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for kind, table in enumerate(tables):
+                keys, n = table.take()
+                home = bucket_of(kind, keys, buckets)
+                order = np.argsort(home, kind="stable")
+                keys, n, home = keys[order], n[order], home[order]
+                names, cuts = np.unique(home, return_index=True)
+                spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(home)], strict=True))
+                for lo in range(0, len(spans), 1000):
+                    some = spans[lo : lo + 1000]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "chunk": pa.array([chunk] * len(some)),
+                            "kind": pa.array([kind] * len(some), pa.int32()),
+                            "bucket": pa.array(names[lo : lo + 1000]),
+                            "keys": pa.array([pack_keys(keys[a:b]) for a, b in some], pa.binary()),
+                            "counts": pa.array([pack(n[a:b]) for a, b in some], pa.binary()),
+                            "doc_id": pa.nulls(len(some), id_type),
+                            "text": pa.nulls(len(some), pa.string()),
+                        }
+                    )
+
         for batch in batches:
             for part in tx.chunks(batch):
+                id_type = part.column("doc_id").type
                 data, offsets = lowered(part.column("text"))
-                tables[0].add(grams(data, offsets)[0])
-                tables[1].add(word_hashes(data, offsets)[0].view(np.int64))
-                for kind, table in enumerate(tables):
-                    if table.held > table.most // 2:
-                        yield table.take(kind)
-        for kind, table in enumerate(tables):
-            if (last := table.take(kind)) is not None:
-                yield last
+                train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
+                for table, (keys, bounds) in zip(tables, (grams(data, offsets), word_hashes(data, offsets)), strict=True):
+                    table.add(keys.view(np.int64), np.repeat(train, np.diff(bounds)))
+                wanted = part.filter(part.column("scored"))
+                n = wanted.num_rows
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "chunk": pa.array(np.full(n, chunk)),
+                        "kind": pa.array(np.full(n, TEXTS, np.int32)),
+                        "bucket": pa.nulls(n, pa.int64()),
+                        "keys": pa.nulls(n, pa.binary()),
+                        "counts": pa.nulls(n, pa.binary()),
+                        "doc_id": wanted.column("doc_id"),
+                        "text": wanted.column("text"),
+                    }
+                )
+                size += len(data)
+                if size > sizes.chunk_bytes or max(t.held for t in tables) > 2 * sizes.chunk_keys:
+                    yield from sent()
+                    chunk, size = chunk + 1, 0
+        if size or any(t.held for t in tables):
+            yield from sent()
+
+    return docs.select("doc_id", "text", "train", "scored").mapInArrow(run, schema)
+
+
+def added(parts: DataFrame, by: list[str], sizes: Sizes) -> DataFrame:
+    """Training counts of parts added up per group of by: its columns, keys, counts, total, distinct.
+
+    A group may have several rows, of different keys."""
+    schema = StructType([parts.schema[c] for c in by]).add("keys", "binary").add("counts", "binary")
+    schema = schema.add("total", "long").add("distinct", "long")
+    arrow = pa.schema([(c, pa.int32() if c == "kind" else pa.int64()) for c in by])
+    for name, kind in (("keys", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64())):
+        arrow = arrow.append(pa.field(name, kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, table = None, Counts()
+
+        def done() -> Iterator[pa.RecordBatch]:
+            keys, n = table.take()
+            keys, n = keys[n > 0], n[n > 0]
+            for lo in range(0, len(keys), sizes.row_keys):
+                at = slice(lo, lo + sizes.row_keys)
+                row = dict(zip(by, group, strict=True)) | {"keys": pack_keys(keys[at]), "counts": pack(n[at])}
+                row |= {"total": int(n[at].sum()), "distinct": len(n[at])}
+                yield pa.RecordBatch.from_pylist([row], arrow)
+
+        for batch in batches:
+            names = zip(*(batch.column(c).to_pylist() for c in by), strict=True)
+            for i, name in enumerate(names):
+                if name != group:
+                    if group is not None:
+                        yield from done()
+                    group, table = name, Counts()
+                table.add_counts(unpack_keys(batch.column("keys")[i]), unpack(batch.column("counts")[i]))
+        if group is not None:
+            yield from done()
 
-    counted = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return parts.select(*by, "keys", "counts").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 class Table:
@@ -199,37 +323,28 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[cuts], (np.add.reduceat(values, cuts) if len(cuts) else values[:0])
 
 
-def build(lengths: dict[int, tuple[np.ndarray, np.ndarray]], symbols: int, texts: int) -> Trie:
-    """The trie of n-gram counts: {length: (keys, counts)} of the n-grams that are kept.
+def build(lengths: dict[int, tuple[np.ndarray, np.ndarray]]) -> Trie:
+    """The trie of n-gram counts {length: (keys, counts)}.
 
-    symbols and texts: how many the counts were made from."""
+    n-grams of some lengths may be fewer than all: of contexts with a certain end. Then contexts with
+    other ends are not asked for."""
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     gram_keys, gram_counts, gram_logs = [], [], []
     context_keys, escape, passed_escape, passed_total = [], [], [], []
-    below: tuple[np.ndarray, ...] | None = None  # keys, totals, kinds, dropped counts of the shorter contexts
+    below: tuple[np.ndarray, ...] | None = None  # keys, totals, kinds of the shorter contexts
     for k in range(ORDER + 1):
         keys, counts = lengths.get(k + 1, empty)
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.float64)
         context = keys >> BITS
-        names, kept = _sums(context, counts)
+        names, totals = _sums(context, counts)
         _, kinds = _sums(context, np.ones(len(keys)))
-        # How often the context occurred, with symbols that are not kept: its own count as an n-gram.
-        # Before a text, that is the number of texts.
-        if k == 0:
-            totals = np.full(len(names), float(symbols))
-        else:
-            at = np.searchsorted(gram_keys[k - 1], names)
-            totals = gram_counts[k - 1][np.minimum(at, len(gram_keys[k - 1]) - 1)].copy()
-            totals[names == 0] = texts
-        dropped = np.maximum(totals - kept, 0.0)
-        totals = kept + dropped
         row = np.searchsorted(names, context)
         gram_keys.append(keys)
         gram_counts.append(counts)
         gram_logs.append(np.log10(counts / (totals + kinds)[row]))
         context_keys.append(names)
-        escape.append(np.log10((kinds + dropped) / (totals + kinds)))
+        escape.append(np.log10(kinds / (totals + kinds)))
         if below is None:
             left = max(ALPHABET - (int(kinds[0]) if len(kinds) else 0), 1)
             passed_escape.append(np.zeros(len(names)))
@@ -239,12 +354,12 @@ def build(lengths: dict[int, tuple[np.ndarray, np.ndarray]], symbols: int, texts
             up = np.searchsorted(below[0], names & ((1 << (BITS * (k - 1))) - 1))
             shorter = np.searchsorted(gram_keys[k - 1], keys & ((1 << (BITS * k)) - 1))
             _, excluded = _sums(context, gram_counts[k - 1][shorter])
-            others = below[2][up] - kinds + below[3][up]
-            total = np.maximum(below[1][up] - excluded, 0.0) + below[2][up] - kinds
+            others = below[2][up] - kinds
+            total = np.maximum(below[1][up] - excluded, 0.0) + others
             with np.errstate(divide="ignore", invalid="ignore"):
                 passed_escape.append(np.where(total > 0, np.log10(others / total), 0.0))
                 passed_total.append(np.where(total > 0, np.log10(total), 0.0))
-        below = (names, totals, kinds, dropped)
+        below = (names, totals, kinds)
     return Trie(
         gram_keys, gram_counts, gram_logs, context_keys, escape, passed_escape, passed_total, float(np.log10(ALPHABET))
     )
@@ -292,97 +407,173 @@ class Scorer:
 
 
 @dataclass(frozen=True)
-class Model:
-    trie: Trie
-    words: np.ndarray  # frequent words' hashes, sorted
-    word_counts: np.ndarray
-    train_tokens: int
+class Facts:
+    """What all buckets share."""
+
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # n-grams of one and of two symbols
+    tokens: int
     vocabulary: int
 
 
-def gather(counts: DataFrame) -> Model:
-    """The bounded model of stored counts; only n-grams and words of at least the share get here."""
-    facts = {r.kind: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    symbols = facts[0].n if 0 in facts else 0
-    tokens, vocabulary = (facts[1].n, facts[1].v) if 1 in facts else (0, 0)
-    lengths = {}
-    longest = counts.where("kind = 0").select("key", "n")
-    for length in range(ORDER + 1, 0, -1):
-        shorter = longest.groupBy((F.col("key").bitwiseAND((1 << (BITS * length)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        rows = (longest if length > ORDER else shorter).where(F.col("n") * SHARE >= symbols).toArrow()
-        lengths[length] = (rows["key"].to_numpy(), rows["n"].to_numpy())
-    words = counts.where(F.col("kind") == 1).where(F.col("n") * SHARE >= tokens).select("key", "n").toArrow()
-    keys, n = words["key"].to_numpy().view(np.uint64), words["n"].to_numpy()
-    order = np.argsort(keys)
-    # Every text has one end.
-    ends = longest.where(F.col("key").bitwiseAND((1 << BITS) - 1) == END).agg(F.sum("n")).first()[0] or 0
-    return Model(build(lengths, symbols, ends), keys[order], n[order], tokens, vocabulary)
-
-
-def score(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score, n_symbols.
+def facts(counts: DataFrame) -> Facts:
+    sums = counts.groupBy("kind").agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).collect()
+    words = next((r for r in sums if r.kind == WORDS), None)
 
-    training has text. Texts are taken with A to Z in lower case; a null one is empty, that is its end
-    alone. Repeated rows stay. Without training texts all symbols are equally likely and base_score is
-    that of unknown words."""
-    counts = stored(count(training.select(F.col("text").cast("string").alias("text"))), "lm-counts")
-    model = gather(counts)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    name = uuid.uuid4().hex
-    tokens, vocabulary = model.train_tokens, model.vocabulary
-    floor = tokens + 0.5 * (vocabulary + 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pairs, n = _sums(unpack_keys(batch.column("keys")[i]) & _mask(2), unpack(batch.column("counts")[i]))
+                yield pa.RecordBatch.from_pydict({"key": pa.array(pairs), "n": pa.array(n)})
+
+    pairs = counts.where(F.col("kind") == GRAMS).select("keys", "counts").mapInArrow(run, "key long, n long")
+    found = pairs.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    two = _sums(found["key"].to_numpy(), found["n"].to_numpy())
+    return Facts({1: _sums(two[0] & _mask(1), two[1]), 2: two}, words.n if words else 0, words.v if words else 0)
+
+
+def _mask(length: int) -> int:
+    return (1 << (BITS * length)) - 1
+
+
+class Bucket:
+    """A bucket's counts, and its answers."""
+
+    def __init__(self, kind: int, short: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.kind, self.short = kind, short
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.made: Scorer | Table | None = None
+        self.counts = np.zeros(0)
+
+    def answer(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probabilities of n-grams, counts of words."""
+        if self.made is None:
+            empty = np.zeros(0, np.int64)
+            known, n = (np.concatenate(x) for x in zip((empty, empty), *self.parts, strict=True))
+            self.parts = []
+            if self.kind == WORDS:
+                self.made, self.counts = Table(known), np.append(n, 0).astype(np.float64)
+            else:
+                lengths = dict(self.short)
+                lengths[ORDER + 1] = _sums(known, n)
+                for length in range(ORDER, 2, -1):
+                    longer, n = lengths[length + 1]
+                    lengths[length] = _sums(longer & _mask(length), n)
+                self.made = Scorer(build(lengths))
+        if isinstance(self.made, Scorer):
+            return self.made.symbols(keys)
+        return self.counts[self.made.find(keys)]
+
+
+def answers(parts: DataFrame, counts: DataFrame, shared: Facts, salts: int) -> DataFrame:
+    """(chunk, kind, keys, answers) for the keys that chunks ask for."""
+    by = ["kind", "bucket", "salt"]
+    asked = parts.select(*by, F.lit(1).alias("phase"), "chunk", "keys", F.lit(None).cast("binary").alias("counts"))
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")
+    known = counts.select("kind", "bucket", salt, F.lit(0).alias("phase"), F.lit(None).cast("long").alias("chunk"), "keys", "counts")
+    short = parts.sparkSession.sparkContext.broadcast(shared.short)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, words = tx.held(name, lambda: (Scorer(shared.value.trie), Table(shared.value.words.view(np.int64))))
-        logs = np.log10((shared.value.word_counts + 0.5) / floor)
-        row = TaskContext.get().partitionId() << 36
+        group, bucket = None, None
         for batch in batches:
-            for part in tx.chunks(batch):
-                data, offsets = lowered(part.column("text"))
-                keys, bounds = grams(data, offsets)
-                hashed, word_bounds = word_hashes(data, offsets)
-                at = words.find(hashed.view(np.int64))
-                known = at >= 0
-                rare = np.flatnonzero(~known)
-                doc = np.searchsorted(word_bounds, rare, "right") - 1
-                values = np.where(known, logs[np.maximum(at, 0)] if len(logs) else 0.0, 0.0)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row_id": pa.array(np.arange(row, row + part.num_rows)),
-                        "doc_id": part.column("doc_id"),
-                        "n_symbols": pa.array(np.diff(bounds)),
-                        "score": pa.array(tx.totals(scorer.symbols(keys), bounds)),
-                        "n_tokens": pa.array(np.diff(word_bounds)),
-                        "frequent": pa.array(tx.totals(known, word_bounds)),
-                        "frequent_score": pa.array(tx.totals(values, word_bounds)),
-                        "rare": tx.lists(hashed[rare].view(np.int64), np.bincount(doc, minlength=part.num_rows), pa.int64()),
-                    }
-                )
-                row += part.num_rows
+            keys, counts = batch.column("keys"), batch.column("counts")
+            names = zip(*(batch.column(c).to_pylist() for c in [*by, "phase", "chunk"]), strict=True)
+            for i, (*name, phase, chunk) in enumerate(names):
+                if name != group:
+                    group, bucket = name, Bucket(name[0], short.value)
+                if phase == 0:
+                    bucket.parts.append((unpack_keys(keys[i]), unpack(counts[i])))
+                else:
+                    row = [chunk], [name[0]], [keys[i].as_py()], [pack(bucket.answer(unpack_keys(keys[i])))]
+                    kinds = pa.int64(), pa.int32(), pa.binary(), pa.binary()
+                    columns = [pa.array(x, t) for x, t in zip(row, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["chunk", "kind", "keys", "answers"])
+
+    dealt = asked.unionByName(known).repartition(*by).sortWithinPartitions(*by, "phase")
+    return dealt.mapInArrow(run, "chunk long, kind int, keys binary, answers binary")
+
+
+class Answers:
+    """What a chunk's keys got."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.table, self.values = Table(keys), values
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        return self.values[self.table.find(keys)]
+
+
+def summed(texts: DataFrame, found: DataFrame, shared: Facts) -> DataFrame:
+    """The scores of the texts of each chunk, from the answers that it got."""
+    tokens = shared.tokens
+    floor = tokens + 0.5 * (shared.vocabulary + 1)
+    left = texts.select("chunk", "kind", "doc_id", "text")
+    both = left.unionByName(found, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    schema = StructType([texts.schema["doc_id"]])
+    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double")):
+        schema = schema.add(name, kind)
+    schema = schema.add("score", "double").add("n_symbols", "long")
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"row_id long, doc_id {id_type}, n_symbols long, score double, n_tokens long, frequent long,"
-        " frequent_score double, rare array<long>"
-    )
-    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = stored(slim.mapInArrow(run, schema), "lm-rows")
-    rare = rows.select("row_id", F.explode("rare").alias("key"))
-    rest = counts.where((F.col("kind") == 1) & (F.col("n") * SHARE < tokens)).select("key", "n")
-    met = rare.join(rest, "key").groupBy("row_id").agg(
-        F.count(F.lit(1)).alias("met"), F.sum(F.log10((F.col("n") + 0.5) / floor)).alias("met_score")
-    )
-    joined = rows.drop("rare").join(met, "row_id", "left").na.fill({"met": 0, "met_score": 0.0})
-    known = F.col("frequent") + F.col("met")
-    # An empty model gives every word the share of one unknown among none.
-    unknown = float(np.log10(0.5 / floor))
-    base = F.col("frequent_score") + F.col("met_score") + (F.col("n_tokens") - known) * unknown
-    return joined.select(
-        "doc_id",
-        "n_tokens",
-        known.alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        "score",
-        "n_symbols",
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        parts: tuple[list, list] = ([], [])
+        tables: list[Answers] = []
+        for batch in batches:
+            chunk, kind = (batch.column(c).to_numpy() for c in ("chunk", "kind"))
+            changes = np.flatnonzero((chunk[1:] != chunk[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows], strict=True):
+                if chunk[a] != now:
+                    now, parts, tables = chunk[a], ([], []), []
+                if kind[a] != TEXTS:
+                    for i in range(a, b):
+                        keys, values = unpack_keys(batch.column("keys")[i]), unpack(batch.column("answers")[i], np.float64)
+                        parts[kind[a]].append((keys, values))
+                    continue
+                if not tables:
+                    tables, parts = [Answers(p) for p in parts], ([], [])
+                for part in tx.chunks(batch.slice(a, b - a)):
+                    data, offsets = lowered(part.column("text"))
+                    keys, bounds = grams(data, offsets)
+                    hashed, word_bounds = word_hashes(data, offsets)
+                    n = tables[WORDS][hashed.view(np.int64)]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "doc_id": part.column("doc_id"),
+                            "n_tokens": pa.array(np.diff(word_bounds)),
+                            "n_known": pa.array(tx.totals(n > 0, word_bounds)),
+                            "train_tokens": pa.array(np.full(part.num_rows, tokens)),
+                            "base_score": pa.array(tx.totals(np.log10((n + 0.5) / floor), word_bounds)),
+                            "score": pa.array(tx.totals(tables[GRAMS][keys], bounds)),
+                            "n_symbols": pa.array(np.diff(bounds)),
+                        }
+                    )
+
+    return both.mapInArrow(run, schema)
+
+
+def score_marked(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """As score, for one table: docs has doc_id, text, train and scored (booleans)."""
+    size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    buckets, salts = max(1, -(-size // sizes.bucket_bytes)), max(1, -(-size // sizes.salt_bytes))
+    rows = stored(requests(docs, buckets, sizes), "lm-requests")
+    parts = rows.where(F.col("kind") != TEXTS).withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts).cast("long")))
+    counts = parts
+    if salts > 1:
+        counts = added(counts, ["kind", "bucket", "salt"], sizes)
+    counts = stored(added(counts, ["kind", "bucket"], sizes), "lm-counts")
+    shared = facts(counts)
+    return summed(rows.where(F.col("kind") == TEXTS), answers(parts, counts, shared, salts), shared)
+
+
+def score(docs: DataFrame, training: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """Per row of docs: doc_id, n_tokens, n_known, train_tokens, base_score, score, n_symbols.
+
+    training has text. Texts are taken with A to Z in lower case; a null one is empty, that is its end
+    alone. Repeated rows stay. Without training texts all symbols are equally likely and base_score is
+    that of unknown words."""
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select("doc_id", text, F.lit(False).alias("train"), F.lit(True).alias("scored"))
+    id_type = docs.schema["doc_id"].dataType
+    no_id = F.lit(None).cast(id_type).alias("doc_id")
+    learned = training.select(no_id, text, F.lit(True).alias("train"), F.lit(False).alias("scored"))
+    return score_marked(rows.unionByName(learned), sizes)
