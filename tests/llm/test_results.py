@@ -175,10 +175,10 @@ def test_scoring_in_pieces(spark):
     training = [t for i, t in enumerate(texts) if i % 5 != 1]
     for i, t in enumerate(texts):
         assert got[i].score == pytest.approx(ppm(training, t))
-    # Rare n-grams count in a corpus of any size: counts of ten times the texts, plus their own effect, are the plain ones.
+    # An n-gram that occurs once counts beside thousands of others.
     rare = spark.createDataFrame([(0, "the zyxwvu")], "doc_id bigint, text string")
     many = ["the the the"] * 3000 + ["zyxwvu"]
-    one = scoring.score(rare, spark.createDataFrame([(t,) for t in many], "text string"), small).first()
+    one = scoring.score(rare, spark.createDataFrame([(t,) for t in many], "text string")).first()
     assert one.score == pytest.approx(ppm(many, "the zyxwvu")) and one.n_known == 3
 
 

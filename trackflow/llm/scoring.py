@@ -92,7 +92,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 class Sizes:
     """What a task holds at once. Results do not depend on it."""
 
-    bucket_bytes: int = 1 << 24  # of all texts, for each bucket
+    bucket_bytes: int = 1 << 25  # of all texts, for each bucket; there are no fewer than shuffle partitions
     salt_bytes: int = 1 << 38  # of all texts, for each task that serves a bucket
     chunk_bytes: int = 1 << 26
     chunk_keys: int = 1_500_000
@@ -141,6 +141,11 @@ def pack(values: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
+def rounded(values: np.ndarray) -> np.ndarray:
+    """Doubles to 29 significant bits, which pack into less."""
+    return ((values.view(np.int64) + (1 << 23)) & -(1 << 24)).view(np.float64)
+
+
 def unpack(packed: pa.Scalar, kind: type = np.int64) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_py()), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
@@ -225,7 +230,7 @@ def requests(docs: DataFrame, buckets: int, sizes: Sizes) -> DataFrame:
     return docs.select("doc_id", "text", "train", "scored").mapInArrow(run, schema)
 
 
-def added(parts: DataFrame, by: list[str], sizes: Sizes) -> DataFrame:
+def added(parts: DataFrame, by: list[str], tasks: int, sizes: Sizes) -> DataFrame:
     """Training counts of parts added up per group of by: its columns, keys, counts, total, distinct.
 
     A group may have several rows, of different keys."""
@@ -258,7 +263,7 @@ def added(parts: DataFrame, by: list[str], sizes: Sizes) -> DataFrame:
         if group is not None:
             yield from done()
 
-    return parts.select(*by, "keys", "counts").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    return parts.select(*by, "keys", "counts").repartition(tasks, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 class Table:
@@ -464,7 +469,7 @@ class Bucket:
         return self.counts[self.made.find(keys)]
 
 
-def answers(parts: DataFrame, counts: DataFrame, shared: Facts, salts: int) -> DataFrame:
+def answers(parts: DataFrame, counts: DataFrame, shared: Facts, salts: int, tasks: int) -> DataFrame:
     """(chunk, kind, keys, answers) for the keys that chunks ask for."""
     by = ["kind", "bucket", "salt"]
     asked = parts.select(*by, F.lit(1).alias("phase"), "chunk", "keys", F.lit(None).cast("binary").alias("counts"))
@@ -483,12 +488,12 @@ def answers(parts: DataFrame, counts: DataFrame, shared: Facts, salts: int) -> D
                 if phase == 0:
                     bucket.parts.append((unpack_keys(keys[i]), unpack(counts[i])))
                 else:
-                    row = [chunk], [name[0]], [keys[i].as_py()], [pack(bucket.answer(unpack_keys(keys[i])))]
+                    row = [chunk], [name[0]], [keys[i].as_py()], [pack(rounded(bucket.answer(unpack_keys(keys[i]))))]
                     kinds = pa.int64(), pa.int32(), pa.binary(), pa.binary()
                     columns = [pa.array(x, t) for x, t in zip(row, kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=["chunk", "kind", "keys", "answers"])
 
-    dealt = asked.unionByName(known).repartition(*by).sortWithinPartitions(*by, "phase")
+    dealt = asked.unionByName(known).repartition(tasks, *by).sortWithinPartitions(*by, "phase")
     return dealt.mapInArrow(run, "chunk long, kind int, keys binary, answers binary")
 
 
@@ -503,12 +508,15 @@ class Answers:
         return self.values[self.table.find(keys)]
 
 
-def summed(texts: DataFrame, found: DataFrame, shared: Facts) -> DataFrame:
+def summed(texts: DataFrame, found: DataFrame, shared: Facts, tasks: int) -> DataFrame:
     """The scores of the texts of each chunk, from the answers that it got."""
     tokens = shared.tokens
     floor = tokens + 0.5 * (shared.vocabulary + 1)
     left = texts.select("chunk", "kind", "doc_id", "text")
-    both = left.unionByName(found, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    both = left.unionByName(found, allowMissingColumns=True)
+    # Chunks are numbered within the partitions that they come from; tasks get them in turn.
+    turn = F.pmod(F.shiftright("chunk", 32) + F.col("chunk").bitwiseAND((1 << 32) - 1) * 31, F.lit(tasks)).cast("int")
+    both = both.repartitionById(tasks, turn).sortWithinPartitions("chunk", "kind")
     schema = StructType([texts.schema["doc_id"]])
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double")):
         schema = schema.add(name, kind)
@@ -554,15 +562,17 @@ def summed(texts: DataFrame, found: DataFrame, shared: Facts) -> DataFrame:
 def score_marked(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     """As score, for one table: docs has doc_id, text, train and scored (booleans)."""
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    buckets, salts = max(1, -(-size // sizes.bucket_bytes)), max(1, -(-size // sizes.salt_bytes))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets, salts = max(least, -(-size // sizes.bucket_bytes)), max(1, -(-size // sizes.salt_bytes))
     rows = stored(requests(docs, buckets, sizes), "lm-requests")
     parts = rows.where(F.col("kind") != TEXTS).withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts).cast("long")))
     counts = parts
     if salts > 1:
-        counts = added(counts, ["kind", "bucket", "salt"], sizes)
-    counts = stored(added(counts, ["kind", "bucket"], sizes), "lm-counts")
+        counts = added(counts, ["kind", "bucket", "salt"], buckets * salts, sizes)
+    counts = stored(added(counts, ["kind", "bucket"], buckets, sizes), "lm-counts")
     shared = facts(counts)
-    return summed(rows.where(F.col("kind") == TEXTS), answers(parts, counts, shared, salts), shared)
+    found = answers(parts, counts, shared, salts, buckets * salts)
+    return summed(rows.where(F.col("kind") == TEXTS), found, shared, max(least, -(-size // sizes.chunk_bytes)))
 
 
 def score(docs: DataFrame, training: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
