@@ -169,7 +169,7 @@ def test_scoring_in_pieces(spark):
     texts = [" ".join("".join(rng.choice(list("abcdé"), rng.integers(1, 6))) for _ in range(rng.integers(0, 30))) for _ in range(60)]
     rows = [(i, t, i % 5 != 1, True) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean, scored boolean").repartition(3)
-    small = scoring.Sizes(bucket_bytes=300, salt_bytes=1500, chunk_bytes=400, chunk_keys=50, row_keys=7)
+    small = scoring.Sizes(bucket_bytes=300, salt_bytes=1500, chunk_bytes=400, chunk_keys=50, row_keys=7, piece_bytes=16)
     got = {r.doc_id: r for r in scoring.score_marked(frame, small).collect()}
     assert len(got) == len(texts)
     training = [t for i, t in enumerate(texts) if i % 5 != 1]
@@ -182,6 +182,19 @@ def test_scoring_in_pieces(spark):
     assert one.score == pytest.approx(ppm(many, "the zyxwvu")) and one.n_known == 3
 
 
+def test_scoring_pieces_of_long_texts():
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab \n\té"), 900)), "x" * 500 + " a " + "y" * 333, " " * 400, "z" * 400, "ab " * 200 + "é" * 90]
+    for text in texts:
+        data, offsets = tx.buffers(pa.array([text]))
+        keys, _, hashed, _ = next(scoring.pieces(data, offsets, 10**6))
+        for size in (1, 7, 64):
+            parts = list(scoring.pieces(data, offsets, size))
+            assert len(parts) > 1 or " " not in text
+            assert (np.concatenate([p[0] for p in parts]) == keys).all() and (np.concatenate([p[2] for p in parts]) == hashed).all()
+            assert all(p[1][-1] == len(p[0]) and p[3][-1] == len(p[2]) for p in parts)
+
+
 def test_scoring_sums_to_one():
     """Over all symbols, after any context."""
     keys, _ = scoring.grams(*tx.buffers(pa.array(["banana bandana", "ban the banana", "cabana"])))

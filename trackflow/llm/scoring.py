@@ -88,6 +88,35 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out, bounds
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """n-grams and word hashes of texts with their bounds; one long text comes in pieces of about size bytes.
+
+    A piece ends after white space (a longer word stays whole) and sees the ORDER bytes before it; the
+    text's end is in the last one."""
+    if len(offsets) > 2 or len(data) <= 2 * size:
+        yield *grams(data, offsets), *word_hashes(data, offsets)
+        return
+    lo = 0
+    while lo < len(data):
+        hi = min(lo + size, len(data))
+        if hi < len(data):
+            blank = np.flatnonzero(tx.blank(data[lo:hi]))
+            while not len(blank) and hi < len(data):
+                more = min(hi + size, len(data))
+                blank = np.flatnonzero(tx.blank(data[hi:more])) + (hi - lo)
+                hi = more
+                # Of a long word's following piece only what belongs to the word is taken.
+                blank = blank[:1]
+            hi = lo + int(blank[-1]) + 1 if len(blank) else len(data)
+        last = hi == len(data)
+        before = min(lo, ORDER)
+        keys, _ = grams(data[lo - before : hi], np.array([0, hi - lo + before]))
+        hashed, _ = word_hashes(data[lo:hi], np.array([0, hi - lo]))
+        keys, hashed = (keys[before:], hashed) if last else (keys[before:-1], hashed[:-1])
+        yield keys, np.array([0, len(keys)]), hashed, np.array([0, len(hashed)])
+        lo = hi
+
+
 @dataclass(frozen=True)
 class Sizes:
     """What a task holds at once. Results do not depend on it."""
@@ -97,6 +126,7 @@ class Sizes:
     chunk_bytes: int = 1 << 26
     chunk_keys: int = 1_500_000
     row_keys: int = 1 << 20
+    piece_bytes: int = 1 << 20  # of a long text
 
 
 class Counts:
@@ -205,8 +235,9 @@ def requests(docs: DataFrame, buckets: int, sizes: Sizes) -> DataFrame:
                 id_type = part.column("doc_id").type
                 data, offsets = lowered(part.column("text"))
                 train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
-                for table, (keys, bounds) in zip(tables, (grams(data, offsets), word_hashes(data, offsets)), strict=True):
-                    table.add(keys.view(np.int64), np.repeat(train, np.diff(bounds)))
+                for keys, bounds, hashed, word_bounds in pieces(data, offsets, sizes.piece_bytes):
+                    tables[GRAMS].add(keys, np.repeat(train, np.diff(bounds)))
+                    tables[WORDS].add(hashed.view(np.int64), np.repeat(train, np.diff(word_bounds)))
                 wanted = part.filter(part.column("scored"))
                 n = wanted.num_rows
                 yield pa.RecordBatch.from_pydict(
@@ -508,12 +539,12 @@ class Answers:
         return self.values[self.table.find(keys)]
 
 
-def summed(texts: DataFrame, found: DataFrame, shared: Facts, tasks: int) -> DataFrame:
+def summed(texts: DataFrame, replies: DataFrame, shared: Facts, tasks: int, sizes: Sizes) -> DataFrame:
     """The scores of the texts of each chunk, from the answers that it got."""
     tokens = shared.tokens
     floor = tokens + 0.5 * (shared.vocabulary + 1)
     left = texts.select("chunk", "kind", "doc_id", "text")
-    both = left.unionByName(found, allowMissingColumns=True)
+    both = left.unionByName(replies, allowMissingColumns=True)
     # Chunks are numbered within the partitions that they come from; tasks get them in turn.
     turn = F.pmod(F.shiftright("chunk", 32) + F.col("chunk").bitwiseAND((1 << 32) - 1) * 31, F.lit(tasks)).cast("int")
     both = both.repartitionById(tasks, turn).sortWithinPartitions("chunk", "kind")
@@ -541,18 +572,24 @@ def summed(texts: DataFrame, found: DataFrame, shared: Facts, tasks: int) -> Dat
                     tables, parts = [Answers(p) for p in parts], ([], [])
                 for part in tx.chunks(batch.slice(a, b - a)):
                     data, offsets = lowered(part.column("text"))
-                    keys, bounds = grams(data, offsets)
-                    hashed, word_bounds = word_hashes(data, offsets)
-                    n = tables[WORDS][hashed.view(np.int64)]
+                    found = np.zeros((5, part.num_rows))
+                    for keys, bounds, hashed, word_bounds in pieces(data, offsets, sizes.piece_bytes):
+                        n = tables[WORDS][hashed.view(np.int64)]
+                        found[0] += np.diff(word_bounds)
+                        found[1] += tx.totals(n > 0, word_bounds)
+                        found[2] += tx.totals(np.log10((n + 0.5) / floor), word_bounds)
+                        found[3] += tx.totals(tables[GRAMS][keys], bounds)
+                        found[4] += np.diff(bounds)
+                    whole = found.astype(np.int64)
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": part.column("doc_id"),
-                            "n_tokens": pa.array(np.diff(word_bounds)),
-                            "n_known": pa.array(tx.totals(n > 0, word_bounds)),
+                            "n_tokens": pa.array(whole[0]),
+                            "n_known": pa.array(whole[1]),
                             "train_tokens": pa.array(np.full(part.num_rows, tokens)),
-                            "base_score": pa.array(tx.totals(np.log10((n + 0.5) / floor), word_bounds)),
-                            "score": pa.array(tx.totals(tables[GRAMS][keys], bounds)),
-                            "n_symbols": pa.array(np.diff(bounds)),
+                            "base_score": pa.array(found[2]),
+                            "score": pa.array(found[3]),
+                            "n_symbols": pa.array(whole[4]),
                         }
                     )
 
@@ -572,7 +609,7 @@ def score_marked(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     counts = stored(added(counts, ["kind", "bucket"], buckets, sizes), "lm-counts")
     shared = facts(counts)
     found = answers(parts, counts, shared, salts, buckets * salts)
-    return summed(rows.where(F.col("kind") == TEXTS), found, shared, max(least, -(-size // sizes.chunk_bytes)))
+    return summed(rows.where(F.col("kind") == TEXTS), found, shared, max(least, -(-size // sizes.chunk_bytes)), sizes)
 
 
 def score(docs: DataFrame, training: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:

@@ -73,6 +73,11 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         lo = hi
 
 
+def blank(data: np.ndarray) -> np.ndarray:
+    """Which bytes lie between words."""
+    return _SPACE[data]
+
+
 def totals(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values between consecutive bounds; empty ranges are 0."""
     sums = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
