@@ -48,8 +48,12 @@ l AS (
   SELECT row_id, source, text, line, len(regexp_extract_all(line, '[^ ]+')) AS words
   FROM (SELECT row_id, source, text, trim(regexp_replace(lower(unnest(lines)), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS line FROM d)
   WHERE line <> ''),
+h AS (SELECT source, count(DISTINCT text) AS host_docs FROM d GROUP BY source),
 f AS (
-  SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT text) > 30),
+  SELECT n.source, n.line
+  FROM (SELECT source, line, count(DISTINCT text) AS n_docs FROM l GROUP BY source, line) n
+  JOIN h ON n.source IS NOT DISTINCT FROM h.source
+  WHERE n_docs > 30 OR (n_docs > 10 AND 100 * n_docs > host_docs)),
 x AS (
   SELECT row_id, CAST(sum(words) AS BIGINT) AS removed_words
   FROM l JOIN f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY row_id),

@@ -27,9 +27,12 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Rules:
-    """A line is frequent in more than max_docs documents of a host, however large that is."""
+    """A line is frequent in more than max_docs documents of a host, however large that is; in a host that is
+    so small that they are more than host_percent of it, already in more than min_docs."""
 
     max_docs: int = 30
+    min_docs: int = 10
+    host_percent: int = 1
     max_removed: float = 0.5
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -139,12 +142,15 @@ def host() -> Column:
 
 
 def frequent_lines(rows: DataFrame, rules: Rules) -> DataFrame:
-    """(host, line) of the lines in more texts of their host than the limit; rows: row_id, host, text_key, lines."""
+    """(host, line) of the lines in more texts of their host than the limits; rows: row_id, host, text_key, lines."""
     # One row for each distinct text of a host.
     texts = rows.groupBy("host", "text_key").agg(F.min("row_id").alias("row_id"))
     counted = rows.select("row_id", "lines").join(texts, "row_id").select("host", F.explode("lines").alias("line"))
     counted = counted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
-    return counted.where(F.col("n_docs") > rules.max_docs).select("host", "line")
+    counted = counted.where(F.col("n_docs") > min(rules.min_docs, rules.max_docs))
+    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    in_small = (F.col("n_docs") > rules.min_docs) & (100 * F.col("n_docs") > rules.host_percent * F.col("host_docs"))
+    return counted.join(hosts, "host").where((F.col("n_docs") > rules.max_docs) | in_small).select("host", "line")
 
 
 def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
