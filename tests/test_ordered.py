@@ -135,6 +135,20 @@ def test_plan_of_a_global_sequence_does_not_grow(spark):
     assert abs(sizes[0] - sizes[1]) < 200
 
 
+def test_small_chunks_do_not_make_tasks(spark):
+    """Chunks of a global sequence are cut within the tasks' ranges; equal order values stay together."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(30_000).select(F.floor(F.col("id") / 2).alias("seq"), F.lit(1).alias("v"))
+    ordered = Ordered.globally(df, "seq", 20)
+    assert ordered.df.rdd.getNumPartitions() <= tasks
+    chunks = ordered.df.groupBy(CHUNK).agg(F.count("seq").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+    chunks = chunks.orderBy(CHUNK).collect()
+    assert len(chunks) >= 1500 and max(r.n for r in chunks) <= 20
+    assert all(a.hi < b.lo for a, b in zip(chunks, chunks[1:]))
+    sums = ordered.sum_since(None, s=F.col("v")).rows().select("s").orderBy("s").collect()
+    assert [r.s for r in sums] == list(range(1, 30_001))
+
+
 def test_totals(spark):
     """Running sums and the largest value before each row, over one range and over many."""
     rnd = random.Random(4)

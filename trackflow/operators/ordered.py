@@ -29,6 +29,8 @@ WHOLE = -1  # chunk number of a key that is not cut
 MAX_SPLIT_KEYS = 1_000_000  # upper bound on the keys to cut; there are at most twice as many bounds
 STRIDE = 64  # bounds are searched in two steps of about this many
 FEW = 10_000  # rows of a sequence that are not worth several chunks
+TASK_ROWS = 1_000_000  # rows of a sequence that are worth a task beyond those of a shuffle
+RANGE_BITS = 40  # chunks of one range, as a power of two
 
 
 def _as_is(df: DataFrame) -> DataFrame:
@@ -93,15 +95,22 @@ class Ordered:
         A row's chunk is the range that it was dealt to, so no bounds reach the driver or the plan,
         whose size does not depend on the number of rows. ``hold`` keeps the numbered rows: a
         checkpoint, or for a micro-batch tables that go with it. So few rows that
-        cutting them costs more than it gives are one range.
+        cutting them costs more than it gives are one range. A range is a task, so chunks too small
+        to be worth a task each are cut within the ranges, by the rows' places there.
         """
         # Read by the count, by the exchange's sample and by the exchange. Rows of a micro-batch are at rest.
         read = df.persist() if hold is cut else df
         n = read.count()
         tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
         pieces = max(-(-2 * n // max_group_rows) if n > max_group_rows else 1, min(tasks, -(-n // FEW)))
-        ranged = read.repartitionByRange(pieces, F.col(order).asc())
+        ranges = min(pieces, max(tasks, -(-n // TASK_ROWS)))
+        ranged = read.repartitionByRange(ranges, F.col(order).asc())
         ranged = ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint"))
+        if ranges < pieces:
+            # Rows of the same order value stay together, as they do in ranges.
+            place = F.rank().over(Window.partitionBy(CHUNK).orderBy(order)).cast("bigint") - 1
+            within = F.floor(place / F.lit(max_group_rows)).cast("bigint")
+            ranged = ranged.withColumn(CHUNK, F.shiftleft(CHUNK, RANGE_BITS) + within)
         if pieces > 1 or hold is cut:
             ranged = hold(ranged)
         else:
