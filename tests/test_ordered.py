@@ -149,6 +149,17 @@ def test_small_chunks_do_not_make_tasks(spark):
     assert [r.s for r in sums] == list(range(1, 30_001))
 
 
+def test_small_chunks_are_no_groups(spark):
+    """Steps of chunks and their composition stream through Arrow; no Python call per chunk or key."""
+    df = spark.range(300).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("key"), F.col("id").alias("t"))
+    held = []
+    ordered = Ordered.by_key(df, "key", "seq", 9)
+    ordered.hold = lambda rows: held.append(rows) or rows
+    assert ordered.sample_every(5, "t").rows().count() == 150
+    plan = held[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+
+
 def test_totals(spark):
     """Running sums and the largest value before each row, over one range and over many."""
     rnd = random.Random(4)

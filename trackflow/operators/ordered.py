@@ -12,11 +12,11 @@ flows into a chunk comes back by an equi-join on (key, chunk). Results are the s
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -307,21 +307,25 @@ class Ordered:
         return self.like(df.mapInArrow(thin(names, interval), self.df.schema))
 
     def _kept_before_chunks(self, df: DataFrame, interval: int, time: str) -> DataFrame:
+        """One summary row per chunk and one scan per key, both streamed: neither a chunk nor a key is a group of its own."""
         keep = [*self.key, CHUNK]
         types = {f.name: f.dataType for f in df.schema.fields}
         keyed = [T.StructField(n, types[n]) for n in keep]
+        # The windows bring the rows of a chunk, and the chunks of a key, together and in order.
         rows = self._cut_rows(df).select(
-            *keep, self.order, F.col(time).cast("bigint").alias("_time"), "_restart"
+            *keep, F.col(time).cast("bigint").alias("_time"), "_restart",
+            F.row_number().over(self._window()).alias("_place"),
         )
-        steps = rows.groupBy(*keep).applyInPandas(
-            chunk_step(keep, self.order, interval),
+        steps = rows.mapInArrow(
+            chunk_steps(keep, interval),
             T.StructType(
                 keyed
                 + [T.StructField("_fixed", T.BooleanType()), T.StructField("_out", T.LongType())]
                 + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("_upto", "_then")]
             ),
         )
-        carry = steps.groupBy(*self.key).applyInPandas(
+        scan = Window.partitionBy(*self.key).orderBy(CHUNK)
+        carry = steps.withColumn("_place", F.row_number().over(scan)).mapInArrow(
             compose_steps(keep, interval), T.StructType(keyed + [T.StructField("_last", T.LongType())])
         )
         return self.hold(carry)
@@ -389,50 +393,99 @@ def thin(names: list[str], interval: int, flag: str | None = None) -> Callable:
     return run
 
 
-def chunk_step(names: list[str], order: str, interval: int) -> Callable:
-    """Reduce a chunk to the map from the flagged time flowing in to the one flowing out.
+class Step:
+    """The map from the kept time flowing into a chunk to the one flowing out, from its rows so far.
 
     With a restart inside, the outflow is fixed. Otherwise only rows later than all before them
-    can be flagged, each has one successor, and the outflow is a step function of the inflow whose
+    can be kept, each has one successor, and the outflow is a step function of the inflow whose
     values lie within one interval of the chunk's latest time, so it has at most that many steps.
+    Rows without a time leave the kept time as it is.
     """
 
-    def step(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        t = rows["_time"].to_numpy(dtype=np.int64)
-        restarts = np.flatnonzero(rows["_restart"].to_numpy(dtype=bool))
-        out, upto, then = None, [], []
-        if len(restarts):
-            out = pick(t[restarts[-1] + 1 :], None, interval)[1]
-        else:
-            t = np.unique(np.maximum.accumulate(t))
-            follower, final = np.searchsorted(t, t + interval), t.copy()
-            for i in range(np.searchsorted(follower, len(t)) - 1, -1, -1):
-                final[i] = final[follower[i]]
-            ends = np.flatnonzero(np.append(final[1:] != final[:-1], True))
-            upto, then = t[ends].tolist(), final[ends].tolist()
-        row = {n: [rows[n].iloc[0]] for n in names}
-        fixed = bool(len(restarts))
-        out = pd.array([out], dtype="Int64")
-        return pd.DataFrame({**row, "_fixed": [fixed], "_out": out, "_upto": [upto], "_then": [then]})
+    def __init__(self, interval: int):
+        self.interval, self.fixed, self.out = interval, False, None
+        self.latest = np.zeros(0, np.int64)  # times later than all before them
+
+    def add(self, times: np.ndarray, timed: np.ndarray, restart: np.ndarray) -> None:
+        if restart.any():
+            after = int(np.flatnonzero(restart)[-1]) + 1
+            self.fixed, self.out = True, None
+            times, timed = times[after:], timed[after:]
+        if not timed.all():
+            times = times[timed]
+        if self.fixed:
+            self.out = pick(times, self.out, self.interval)[1]
+        elif len(times):
+            top = np.maximum.accumulate(np.append(self.latest[-1:], times))
+            rising = np.append(not len(self.latest), top[1:] > top[:-1])
+            self.latest = np.append(self.latest, top[rising])
+
+    def summary(self) -> tuple[bool, int | None, list[int], list[int]]:
+        if self.fixed:
+            return True, self.out, [], []
+        t = self.latest
+        follower, final = np.searchsorted(t, t + self.interval), t.copy()
+        for i in range(int(np.searchsorted(follower, len(t))) - 1, -1, -1):
+            final[i] = final[follower[i]]
+        ends = np.flatnonzero(np.append(final[1:] != final[:-1], True)) if len(t) else []
+        return False, None, t[ends].tolist(), final[ends].tolist()
+
+
+def chunk_steps(names: list[str], interval: int) -> Callable:
+    """Reduce each chunk of the ordered rows of a task to one row with its step; chunks begin at place 1."""
+
+    def rows(keys: pa.RecordBatch, done: list[tuple]) -> pa.RecordBatch:
+        fixed, out, upto, then = zip(*done)
+        steps = [pa.array(fixed, pa.bool_()), pa.array(out, pa.int64())]
+        steps += [pa.array(x, pa.list_(pa.int64())) for x in (upto, then)]
+        return pa.RecordBatch.from_arrays([*keys.columns, *steps], [*names, "_fixed", "_out", "_upto", "_then"])
 
-    return step
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, keys = None, None  # the chunk that is still open
+        for batch in batches:
+            time = batch.column("_time")
+            timed = time.is_valid().to_numpy(zero_copy_only=False)
+            times = time.fill_null(0).to_numpy(zero_copy_only=False)
+            restart = batch.column("_restart").to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(batch.column("_place").to_numpy(zero_copy_only=False) == 1)
+            cuts = [*starts.tolist(), batch.num_rows]
+            if step is not None:
+                step.add(times[: cuts[0]], timed[: cuts[0]], restart[: cuts[0]])
+            done = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                if step is not None:
+                    done.append(step.summary())
+                step = Step(interval)
+                step.add(times[lo:hi], timed[lo:hi], restart[lo:hi])
+            opened = batch.select(names).take(pa.array(starts))
+            keys = opened if keys is None else pa.concat_batches([keys, opened])
+            if done:
+                yield rows(keys.slice(0, len(done)), done)
+                keys = keys.slice(len(done))
+        if step is not None:
+            yield rows(keys, [step.summary()])
+
+    return run
 
 
 def compose_steps(names: list[str], interval: int) -> Callable:
-    """Follow one key's chunk summaries in order; one row per chunk with the time flowing in."""
-
-    def compose(chunks: pd.DataFrame) -> pd.DataFrame:
-        chunks = chunks.sort_values(CHUNK)
-        state, inflow = None, []
-        columns = (chunks["_fixed"], chunks["_out"], chunks["_upto"], chunks["_then"])
-        for fixed, out, upto, then in zip(*columns):
-            inflow.append(state)
-            if fixed:
-                state = None if pd.isna(out) else int(out)
-            else:
-                i = 0 if state is None else int(np.searchsorted(upto, state + interval))
-                state = int(then[i]) if i < len(then) else state
-        return chunks[names].assign(_last=pd.array(inflow, dtype="Int64"))
-
-    return compose
+    """Follow the chunk summaries of each key in order; one row per chunk with the time flowing in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: int | None = None
+        for batch in batches:
+            inflow = []
+            columns = (batch.column(n).to_pylist() for n in ("_place", "_fixed", "_out", "_upto", "_then"))
+            for place, fixed, out, upto, then in zip(*columns):
+                state = None if place == 1 else state
+                inflow.append(state)
+                if fixed:
+                    state = out
+                else:
+                    i = 0 if state is None else bisect_left(upto, state + interval)
+                    state = then[i] if i < len(then) else state
+            yield pa.RecordBatch.from_arrays(
+                [*batch.select(names).columns, pa.array(inflow, pa.int64())], [*names, "_last"]
+            )
+
+    return run
