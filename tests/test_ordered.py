@@ -160,6 +160,25 @@ def test_small_chunks_are_no_groups(spark):
     assert "FlatMapGroups" not in plan and "MapInArrow" in plan
 
 
+def test_cut_key_with_chunks_longer_than_a_batch(spark):
+    """Chunks of more rows than an Arrow batch, rows without a time and restarts: as if the key were not cut."""
+    i = F.col("id")
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000))
+    rare = i.isin(100, 31_000, 31_001, 47_500)
+    df = spark.range(60_000).select(
+        i.alias("seq"), F.lit(None).cast("string").alias("key"), F.when(noise >= 30, i + noise % 7).alias("t"), rare.alias("reset")
+    )
+    kept = []
+    for limit in (100_000, 30_000, 7):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+        try:
+            rows = Ordered.by_key(df, "key", "seq", limit).sample_every(5, "t", F.col("reset")).rows()
+            kept.append(sorted(r.seq for r in rows.select("seq").collect()))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert kept[0] == kept[1] == kept[2] and {100, 31_000, 31_001, 47_500} <= set(kept[0])
+
+
 def test_totals(spark):
     """Running sums and the largest value before each row, over one range and over many."""
     rnd = random.Random(4)
