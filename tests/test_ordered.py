@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackflow.operators.ordered import CHUNK, WHOLE, Ordered, pick
+from trackflow.operators.ordered import CHUNK, WHOLE, Ordered, _chunk, pick
 
 
 def table(seed, n=400):
@@ -179,6 +179,16 @@ def test_cut_key_with_chunks_longer_than_a_batch(spark):
     assert kept[0] == kept[1] == kept[2] and {100, 31_000, 31_001, 47_500} <= set(kept[0])
 
 
+def test_chunk_of_a_row_is_found_by_bisection(spark):
+    """The work per row grows with the logarithm of the bounds; no filter looks at each of them."""
+    for n in (0, 1, 2, 63, 64, 300):
+        bounds = [i * 3 for i in range(n)]
+        inside = _chunk("id", F.array(*[F.lit(b).cast("bigint") for b in bounds]).cast("array<bigint>"), n + 1)
+        assert "filter" not in str(inside).lower()
+        rows = spark.range(-2, 3 * n + 2).select("id", inside.alias("c")).collect()
+        assert [r.c for r in rows] == [int(np.searchsorted(bounds, r.id)) for r in rows]
+
+
 def test_totals(spark):
     """Running sums and the largest value before each row, over one range and over many."""
     rnd = random.Random(4)

@@ -27,7 +27,6 @@ from trackflow.session import cut
 CHUNK = "_chunk"
 WHOLE = -1  # chunk number of a key that is not cut
 MAX_SPLIT_KEYS = 1_000_000  # upper bound on the keys to cut; there are at most twice as many bounds
-STRIDE = 64  # bounds are searched in two steps of about this many
 FEW = 10_000  # rows of a sequence that are not worth several chunks
 TASK_ROWS = 1_000_000  # rows of a sequence that are worth a task beyond those of a shuffle
 RANGE_BITS = 40  # chunks of one range, as a power of two
@@ -43,12 +42,15 @@ def _quantiles(order: str, pieces: int) -> Column:
     return F.percentile_approx(F.col(order).cast("bigint"), shares, 100 * pieces)
 
 
-def _chunk(order: str, bounds: Column) -> Column:
-    """How many of the sorted bounds lie below the order value."""
+def _chunk(order: str, bounds: Column, pieces: int) -> Column:
+    """How many of the sorted bounds, fewer than ``pieces``, lie below the order value; by bisection."""
     value = F.col(order).cast("bigint")
-    coarse = F.filter(bounds, lambda x, i: (i % STRIDE == 0) & (x < value))
-    begin = F.greatest(F.size(coarse) - 1, F.lit(0)) * STRIDE
-    return (begin + F.size(F.filter(F.slice(bounds, begin + 1, STRIDE), lambda x: x < value))).cast("bigint")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(pieces.bit_length()))])
+    # Beyond the last bound there is null, which is not below.
+    found = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < value, at + step).otherwise(at)
+    )
+    return found.cast("bigint")
 
 
 class Ordered:
@@ -82,7 +84,7 @@ class Ordered:
         kept = F.filter("_bounds", lambda x, i: (i + 1) % every == 0)
         bounds = cut(bounds.select("_key", kept.alias("_bounds")))
         out = df.join(F.broadcast(bounds), same, "left")
-        inside = F.when(F.col("_bounds").isNotNull(), _chunk(order, F.col("_bounds")))
+        inside = F.when(F.col("_bounds").isNotNull(), _chunk(order, F.col("_bounds"), pieces))
         out = out.withColumn(CHUNK, F.coalesce(inside, F.lit(WHOLE).cast("bigint")))
         return cls(out.drop("_key", "_bounds"), [key], order, True)
 
