@@ -1,10 +1,15 @@
 """Every operator and stage on nulls, empty and long texts, ties, repeated rows, clashing columns, empty tables."""
 
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trackflow.llm import extraction, langid, mixing, neardup, neighbours, packing, quality, scoring, sharding, toxicity
+from trackflow.llm import text as tx
 from trackflow.llm.queries import vocabulary
 
 LONG = " ".join(f"word{i % 977} of the long text." for i in range(20_000))
@@ -171,3 +176,81 @@ def test_stages(spark, odd, none, labels, tmp_path):
             if i < len(corpus_pipeline.STAGES) - 1:
                 assert out.columns == docs.columns, name
             out.count()
+
+
+def test_stages_on_bytes_that_are_no_text(spark, labels, tmp_path):
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    bad = F.concat("text", F.unhex(F.lit("2041FF42C320EDA08041E282")).cast("string"))
+    docs = spark.createDataFrame(ROWS, NAMES).withColumn("text", F.when(F.col("doc_id") != 9, bad).otherwise(F.col("text")))
+    docs.write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() > 0, name
+        if name != "packing":
+            # Rows pass byte for byte.
+            assert out.select(F.hex("text")).subtract(docs.select(F.hex("text"))).count() == 0, name
+
+
+def test_bytes_that_are_no_text_become_marks():
+    raw, ends = b"A\xffB\xc3 \xed\xa0\x80HELLO\xe2\x82A", [0, 8, 13, 16, 16]
+    column = pa.Array.from_buffers(pa.string(), 4, [pa.py_buffer(b"\x07"), pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(raw)])
+    assert tx.lowered(column).to_pylist() == ["a\ufffdb\ufffd \ufffd\ufffd\ufffd", "hello", "\ufffda", None]
+    assert tx.lowered(pa.array(["É", None])).to_pylist() == ["é", None]
+
+
+TEXTS = {
+    "words": "The words of a long text, É and 漢字 too. \U0001f600\n" * 700,
+    "others": " 1, 2; \n" * 5000 + "word" + " 3" * 9000,
+    "one word": "aé漢" * 9000,
+    "no letter": "12 3,, " * 5000,
+}
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_pieces_of_long_texts(name, monkeypatch):
+    """A text in pieces has the scores of the whole one."""
+    column = pa.array([TEXTS[name]])
+    rows = [("en", "The words of the text are of a kind that one can read."), ("xx", "aé漢 É漢字 aé漢")] * 3
+    model = langid.train(rows, langid.Fit())
+    toxic = toxicity.Model(b" words ", b" a long text ", 1, (0.1, 0.2, 0.3, 0.4))
+    whole, hits = langid.scores(column, model), toxicity.score(column, toxic, 1000)
+    for size in (100, 1024, 4096):
+        for words in (True, False):
+            parts = list(tx.pieces(column, size, words))
+            assert len(parts) > 1 or name == "one word" and words
+            assert "".join(p[0].as_py() for p in parts) == TEXTS[name]
+            assert all(p[0].as_py()[-1].isspace() for p in parts[:-1] if words)
+    cut = tx.pieces
+    monkeypatch.setattr(tx, "pieces", lambda column, limit=0, words=True: cut(column, 1024, words))
+    monkeypatch.setattr(langid, "CHUNK_BYTES", 1024)
+    monkeypatch.setattr(tx, "CHUNK_BYTES", 1024)
+    names, score, fit = langid.scores(column, model)
+    assert names == whole[0] and np.allclose(score, whole[1]) and np.allclose(fit, whole[2])
+    assert (toxicity.score(column, toxic, 1000) == hits).all()
+
+
+def most_held(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_long_texts_are_not_held_many_times():
+    text = "The words of a long text, É and 漢字 too. \n" * 400_000
+    column, size = pa.array([text]), len(text.encode())
+    model = langid.train([("en", text[:9000]), ("xx", "aé漢 É漢字 aé漢" * 99)], langid.Fit())
+    toxic = toxicity.Model(b" words ", b" a long text ", 1, (0.1, 0.2, 0.3, 0.4))
+    assert most_held(lambda: toxicity.score(column, toxic, 1000)) < 8 * size
+    assert most_held(lambda: langid.scores(column, model)) < 16 * size
+
+
+def test_many_languages_are_learned_a_part_at_a_time():
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    rows = [(f"l{i}", "".join(rng.choice(letters, 1 << 14))) for i in range(4) for _ in range(160)]
+    size = sum(len(t) for _, t in rows)
+    assert most_held(lambda: langid.train(rows, langid.Fit())) < 30 * size

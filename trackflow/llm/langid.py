@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
@@ -30,6 +29,7 @@ UNKNOWN = "und"
 ORDERS = 3
 WINDOW = 512
 CHUNK_BYTES = 1 << 19
+BLOCK = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -68,30 +68,38 @@ def _letters() -> np.ndarray:
 
 def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased code points of a text column, and offsets."""
-    data, offsets = tx.buffers(pc.utf8_lower(column))
+    data, offsets = tx.buffers(tx.lowered(column))
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     starts = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=starts[1:])
     return points, starts[offsets]
 
 
-def gram_sets(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray, base: int) -> tuple[np.ndarray, ...]:
-    """Windows of the texts: distinct n-grams one window after another, bounds of the windows, letters
-    in each window, and bounds of the texts in the windows. A text has a window at least.
-
-    Runs of other characters are one separator; n-grams of separators alone do not exist."""
+def separated(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letter classes of the texts' code points, a run of other characters as one 0, and bounds of the texts."""
     kind = classes[points]
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     keep = np.ones(len(kind), bool)
     keep[1:] = (kind[1:] != 0) | (kind[:-1] != 0) | (doc[1:] != doc[:-1])
-    kind, doc = kind[keep].astype(np.int64), doc[keep]
-    bounds = np.searchsorted(doc, np.arange(len(offsets)))
+    return kind[keep], np.searchsorted(doc[keep], np.arange(len(offsets)))
+
+
+def windows_of(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text and window of each place, and bounds of the texts in the windows. A text has a window at least."""
     size = np.diff(bounds)
     windows = np.maximum((size + WINDOW // 2) // WINDOW, 1)
     first = np.append(0, np.cumsum(windows))
-    place = np.arange(len(kind)) - bounds[doc]
-    window = first[doc] + place * windows[doc] // size[doc]
-    letters = np.bincount(window[kind > 0], minlength=first[-1])
+    doc = np.repeat(np.arange(len(size)), size)
+    place = np.arange(bounds[-1]) - bounds[doc]
+    return first[doc] + place * windows[doc] // size[doc], first
+
+
+def window_sets(kind: np.ndarray, window: np.ndarray, count: int, base: int) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams of count windows one after another, bounds of the windows, and letters in each.
+
+    n-grams of separators alone do not exist."""
+    kind = kind.astype(np.int64)
+    letters = np.bincount(window[kind > 0], minlength=count)
     width = gram_space(base)
     keys, start, code = [], 0, np.zeros(len(kind), np.int64)
     for n in range(1, ORDERS + 1):
@@ -107,8 +115,15 @@ def gram_sets(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray, base
     found = np.sort(np.concatenate(keys))
     if len(found):
         found = found[np.append(True, found[1:] != found[:-1])]
-    cuts = np.searchsorted(found, np.arange(first[-1] + 1) * width)
-    return found - np.repeat(np.arange(first[-1]) * width, np.diff(cuts)), cuts, letters, first
+    cuts = np.searchsorted(found, np.arange(count + 1) * width)
+    return found - np.repeat(np.arange(count) * width, np.diff(cuts)), cuts, letters
+
+
+def gram_sets(points: np.ndarray, offsets: np.ndarray, classes: np.ndarray, base: int) -> tuple[np.ndarray, ...]:
+    """What window_sets gives for the windows of the texts, and bounds of the texts in the windows."""
+    kind, bounds = separated(points, offsets, classes)
+    window, first = windows_of(bounds)
+    return *window_sets(kind, window, int(first[-1]), base), first
 
 
 def gram_space(base: int) -> int:
@@ -119,8 +134,12 @@ def row_sums(weights: np.ndarray, grams: np.ndarray, bounds: np.ndarray) -> np.n
     """The product of a 0/1 matrix, given by its rows' columns, with weights."""
     out = np.zeros((len(bounds) - 1, weights.shape[1]), weights.dtype)
     full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        out[full] = np.add.reduceat(weights[grams], bounds[full], axis=0)
+    # Some windows at a time, so that the rows of weights taken are few for any number of languages.
+    step = max(1, BLOCK // (weights.shape[1] * ORDERS * WINDOW))
+    for i in range(0, len(full), step):
+        some = full[i : i + step]
+        a, b = bounds[some[0]], bounds[some[-1] + 1]
+        out[some] = np.add.reduceat(weights[grams[a:b]], bounds[some] - a, axis=0)
     return out
 
 
@@ -144,38 +163,62 @@ def sample(docs: DataFrame, fit: Fit) -> list[tuple[str, str]]:
     return sorted((r.lang, r.text) for r in drawn.select("lang", "text").collect())
 
 
+def sample_chunks(rows: list[tuple[str, str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Code points and offsets of the sample's texts, some texts at a time."""
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in rows], pa.large_string())})
+    for part in tx.chunks(batch, limit=CHUNK_BYTES):
+        yield code_points(part.column("text"))
+
+
 def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     letters = _letters()
-    points, offsets = code_points(pa.array([t for _, t in rows], pa.string()))
-    seen, counts = np.unique(points[letters[points] > 0], return_counts=True)
-    common = seen[np.lexsort((seen, -counts))][: fit.symbols - 2]
+    counts = np.zeros(len(letters), np.int64)
+    for points, _ in sample_chunks(rows):
+        seen, times = np.unique(points, return_counts=True)
+        counts[seen] += times
+    seen = np.flatnonzero((counts > 0) & (letters > 0))
+    common = seen[np.lexsort((seen, -counts[seen]))][: fit.symbols - 2]
     classes = letters.copy()
     classes[common] = np.arange(2, 2 + len(common))
     base = fit.symbols
-    grams, bounds, letters_in, first = gram_sets(points, offsets, classes, base)
-    sizes = np.diff(bounds)
-    owner = np.repeat(np.array([lang for lang, _ in rows], object), np.diff(first))
     width = gram_space(base)
-    languages = sorted(set(owner[letters_in > 0]))
+    # Windows with letters, per language; the n-grams of those that are learned from are taken afterwards.
+    owner, lettered = [], []
+    at = 0
+    for points, offsets in sample_chunks(rows):
+        kind, bounds = separated(points, offsets, classes)
+        window, first = windows_of(bounds)
+        lettered.append(np.bincount(window[kind > 0], minlength=first[-1]) > 0)
+        names = np.array([lang for lang, _ in rows[at : at + len(bounds) - 1]], object)
+        owner.append(np.repeat(names, np.diff(first)))
+        at += len(bounds) - 1
+    owner, lettered = np.concatenate([*owner, np.zeros(0, object)]), np.concatenate([*lettered, np.zeros(0, bool)])
+    languages = sorted(set(owner[lettered]))
     if not languages:
         return Model([], classes, base, np.zeros((width, 0)), np.zeros(0), np.zeros(0))
     # Windows spread evenly over those of the sample.
     good = []
     for name in languages:
-        own = np.flatnonzero((owner == name) & (letters_in > 0))
+        own = np.flatnonzero((owner == name) & lettered)
         good.append(own[np.unique(np.linspace(0, len(own) - 1, min(len(own), fit.windows_per_language)).astype(int))])
     label = np.repeat(np.arange(len(languages)), [len(g) for g in good])
     each = max(1, fit.landmarks // len(languages))
     marks = np.concatenate([g[np.unique(np.linspace(0, len(g) - 1, min(len(g), each)).astype(int))] for g in good])
     good = np.concatenate(good)
+    needed, sets, at = np.isin(np.arange(len(owner)), good), {}, 0
+    for points, offsets in sample_chunks(rows):
+        grams, bounds, _, first = gram_sets(points, offsets, classes, base)
+        for i in np.flatnonzero(needed[at : at + first[-1]]):
+            sets[at + i] = grams[bounds[i] : bounds[i + 1]].astype(np.int32)
+        at += int(first[-1])
     # A row for each n-gram of a landmark, and one of zeros for all others.
-    own = np.unique(np.concatenate([grams[bounds[i] : bounds[i + 1]] for i in marks]))
+    own = np.unique(np.concatenate([sets[i] for i in marks]))
     row = np.full(width, len(own))
     row[own] = np.arange(len(own))
     features = np.zeros((len(own) + 1, len(marks)), np.float32)
     for j, i in enumerate(marks):
-        features[row[grams[bounds[i] : bounds[i + 1]]], j] = 1 / np.sqrt(sizes[i])
-    kernel = {i: features[row[grams[bounds[i] : bounds[i + 1]]]].sum(axis=0) / np.sqrt(sizes[i]) for i in {*good, *marks}}
+        features[row[sets[i]], j] = 1 / np.sqrt(len(sets[i]))
+    kernel = {i: features[row[sets[i]]].sum(axis=0) / np.sqrt(len(sets[i])) for i in good}
     values, vectors = np.linalg.eigh(np.array([kernel[i] for i in marks], np.float64))
     sound = values > 1e-6 * values[-1]
     whiten = vectors[:, sound] / np.sqrt(values[sound])
@@ -185,8 +228,9 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     weight = (1 / np.bincount(label))[label][:, None]
     weight /= weight.sum()
     mean_x, mean_y = (weight * x).sum(axis=0), (weight * y).sum(axis=0)
-    cx, cy = x - mean_x, y - mean_y
-    solved = np.linalg.solve(cx.T @ (weight * cx) + fit.ridge / len(good) * np.eye(x.shape[1]), cx.T @ (weight * cy))
+    x -= mean_x
+    y -= mean_y
+    solved = np.linalg.solve(x.T @ (weight * x) + fit.ridge / len(good) * np.eye(x.shape[1]), x.T @ (weight * y))
     weights = (features @ (whiten @ solved).astype(np.float32)).astype(np.float32)
     known = np.ones((len(own) + 1, 1), np.float32)
     known[-1] = 0
@@ -197,23 +241,51 @@ def train(rows: list[tuple[str, str]], fit: Fit) -> Model:
     for c in range(len(languages)):
         some = good[others & (label == c)]
         if len(some):
-            shares = [weights[grams[bounds[i] : bounds[i + 1]], -1].mean() for i in some]
+            shares = [weights[sets[i], -1].mean() for i in some]
             low, middle = np.quantile(shares, [0.01, 0.5])
             usual[c] = max(middle - 3 * (middle - low), 0.0)
     return Model(languages, classes, base, weights, mean_y - mean_x @ solved, usual)
 
 
+def _margins(grams: np.ndarray, bounds: np.ndarray, letters: np.ndarray, model: Model) -> np.ndarray:
+    """Margins and share of known n-grams of each window, times its letters."""
+    sizes = np.maximum(np.diff(bounds), 1)
+    sums = row_sums(model.weights, grams, bounds)
+    margins = np.column_stack((sums[:, :-1] / np.sqrt(sizes)[:, None] + model.bias, sums[:, -1] / sizes))
+    return margins * letters[:, None]
+
+
+def summed(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of each text, and sums over its windows. Of a long text only one byte a character is held."""
+    kinds, last = [], 1
+    for piece in tx.pieces(column, CHUNK_BYTES, words=False):
+        points, offsets = code_points(piece)
+        if piece is column:
+            grams, bounds, letters, first = gram_sets(points, offsets, model.classes, model.base)
+            margins = _margins(grams, bounds, letters, model)
+            return np.add.reduceat(letters, first[:-1]), np.add.reduceat(margins, first[:-1], axis=0)
+        kind, _ = separated(points, offsets, model.classes)
+        # A run of other characters goes on over a cut.
+        kinds.append(kind[int(last == 0 and kind[0] == 0) :])
+        last = kind[-1]
+    kind = np.concatenate(kinds)
+    windows = max((len(kind) + WINDOW // 2) // WINDOW, 1)
+    total, sums, step = 0, 0.0, CHUNK_BYTES // WINDOW
+    for lo in range(0, windows, step):
+        hi = min(lo + step, windows)
+        a, b = -(-lo * len(kind) // windows), -(-hi * len(kind) // windows)
+        window = np.arange(a, b) * windows // len(kind) - lo
+        grams, bounds, letters = window_sets(kind[a:b], window, hi - lo, model.base)
+        total, sums = total + letters.sum(), sums + _margins(grams, bounds, letters, model).sum(axis=0)
+    return np.array([total]), sums[None, :]
+
+
 def scores(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and fit of each text; fits are not numbers if nothing was learned."""
     if not model.languages:
         return [UNKNOWN] * len(column), np.zeros(len(column)), np.full(len(column), np.nan)
-    points, offsets = code_points(column)
-    grams, bounds, letters, first = gram_sets(points, offsets, model.classes, model.base)
-    sizes = np.maximum(np.diff(bounds), 1)
-    sums = row_sums(model.weights, grams, bounds)
-    margins = np.column_stack((sums[:, :-1] / np.sqrt(sizes)[:, None] + model.bias, sums[:, -1] / sizes))
-    total = np.add.reduceat(letters, first[:-1])
-    margins = np.add.reduceat(margins * letters[:, None], first[:-1], axis=0) / np.maximum(total, 1)[:, None]
+    total, margins = summed(column, model)
+    margins = margins / np.maximum(total, 1)[:, None]
     margins, shares = margins[:, :-1], margins[:, -1]
     best = margins.argmax(axis=1)
     score = np.clip(margins[np.arange(len(best)), best], 0.0, 1.0)

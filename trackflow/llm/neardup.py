@@ -25,7 +25,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,7 +136,7 @@ def sign(docs: DataFrame, plan: Plan) -> DataFrame:
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in tx.chunks(batch):
-                words = tx.Words(*tx.buffers(pc.utf8_lower(part.column("text"))))
+                words = tx.Words(*tx.buffers(tx.lowered(part.column("text"))))
                 keys, bounds = strips(words, plan.width)
                 signature = signatures(keys, bounds, plan.coordinates)
                 full = np.diff(bounds) > 0
@@ -168,7 +167,7 @@ def strip_sets(texts: DataFrame, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch):
-                words = tx.Words(*tx.buffers(pc.utf8_lower(part.column("text"))))
+                words = tx.Words(*tx.buffers(tx.lowered(part.column("text"))))
                 keys, bounds = strips(words, plan.width)
                 low = keys.astype(np.uint32)
                 raw = [np.unique(low[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

@@ -102,7 +102,7 @@ class WordTokens:
             raw = data.tobytes()
             new = where[~known]
             spans = zip(starts[new].tolist(), ends[new].tolist(), strict=True)
-            self.learn(unique[~known], [raw[a:b].decode() for a, b in spans])
+            self.learn(unique[~known], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
             at = np.searchsorted(self.keys, unique)
         count = self.count[at][inverse]
         first = self.first[at][inverse]

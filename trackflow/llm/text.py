@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
@@ -63,6 +64,50 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def lowered(column: pa.Array) -> pa.Array:
+    """A text column in lower case. Bytes that are no UTF-8, which Spark lets pass, become U+FFFD first."""
+    try:
+        return pc.utf8_lower(column)
+    except pa.ArrowInvalid:
+        raw = column.cast(pa.large_binary()).to_pylist()
+        return pc.utf8_lower(pa.array([b and b.decode("utf-8", "replace") for b in raw], pa.large_string()))
+
+
+def pieces(column: pa.Array, limit: int = CHUNK_BYTES, words: bool = True) -> Iterator[pa.Array]:
+    """The column, or, if it is one long text, columns of one piece of it each, of about limit bytes.
+
+    A text is cut behind white space, so that a longer word is a piece of its own, or else (not words)
+    before any character."""
+    data, _ = buffers(column)
+    if len(column) != 1 or len(data) <= 2 * limit:
+        yield column
+        return
+    lo = 0
+    while lo < len(data):
+        hi = _cut(data, lo, limit, words)
+        bounds = pa.py_buffer(np.array([0, hi - lo], np.int64))
+        yield pa.Array.from_buffers(pa.large_string(), 1, [None, bounds, pa.py_buffer(data[lo:hi])])
+        lo = hi
+
+
+def _cut(data: np.ndarray, lo: int, limit: int, words: bool) -> int:
+    """The end of the piece that begins at lo."""
+    hi = lo + limit
+    if hi >= len(data):
+        return len(data)
+    if not words:
+        # Bytes of one character but the first are 10xxxxxx, at most three of them.
+        return next((i for i in range(hi, hi - 4, -1) if data[i] & 0xC0 != 0x80), hi)
+    spaces = np.flatnonzero(blank(data[lo:hi]))
+    if len(spaces):
+        return lo + int(spaces[-1]) + 1
+    for at in range(hi, len(data), limit):
+        spaces = np.flatnonzero(blank(data[at : at + limit]))
+        if len(spaces):
+            return at + int(spaces[0]) + 1
+    return len(data)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about limit bytes of text, at least a row each."""
     _, offsets = buffers(batch.column(column))

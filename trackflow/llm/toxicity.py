@@ -25,7 +25,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,6 +134,10 @@ class Lengths:
         return min(max(saved, -1000), 1000)
 
     def words(self, words: tx.Words) -> np.ndarray:
+        if (words.ends - words.starts).max(initial=0) > 2 * tx.CHUNK_BYTES:
+            # Hashing so long a word takes fifty times its memory: it is compressed as it is, and not kept.
+            spans = zip(words.starts.tolist(), words.ends.tolist(), strict=True)
+            return np.array([self.of(words.data[a:b].tobytes()) for a, b in spans], np.int16)
         hashed = words.hashes()
         unique, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, unique)
@@ -223,8 +226,10 @@ def score(column: pa.Array, model: Model, most: int) -> np.ndarray:
     if len(model.chance) == 1:
         return np.full(len(column), model.chance[0])
     lengths = tx.held((model.toxic, model.ordinary), lambda: Lengths(model.toxic, model.ordinary, most))
-    words = tx.Words(*tx.buffers(pc.utf8_lower(column)))
-    hits = tx.totals(lengths.words(words) >= model.threshold, words.bounds)
+    hits = np.zeros(len(column), np.int64)
+    for piece in tx.pieces(column):
+        words = tx.Words(*tx.buffers(tx.lowered(piece)))
+        hits += tx.totals(lengths.words(words) >= model.threshold, words.bounds)
     return np.array(model.chance)[np.minimum(hits, len(model.chance) - 1)]
 
 
